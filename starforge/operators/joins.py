@@ -63,6 +63,7 @@ def lookup_join(
     take: Mapping[str, str],
     order_by: Sequence[str] | None = None,
     normalise: Normalise | Mapping[str, Normalise] | None = None,
+    unique: bool = False,
     salts: int | None = None,
     hot_share: float = 0.01,
 ) -> DataFrame:
@@ -71,6 +72,9 @@ def lookup_join(
     ``on`` maps fact column to dim column, ``take`` maps new column to dim
     column. The dim is first reduced to one row per (normalised) key, the first
     in ``order_by`` (default: the taken columns). Unmatched rows get nulls.
+    ``unique`` says that the key is the dim's primary key, which saves the
+    reduction. ``salts`` splits the rows of keys that hold at least
+    ``hot_share`` of the fact over that many partitions.
     """
 
     def norm(name: str, col: Column) -> Column:
@@ -87,7 +91,10 @@ def lookup_join(
     )
     taken = [f"_t_{new}" for new in take]
     slim = slim.dropna(subset=key_names)
-    slim = first_per_key(slim, key_names, [f"_o{i}" for i in range(len(order))], taken)
+    if unique:
+        slim = slim.select(*key_names, *taken)
+    else:
+        slim = first_per_key(slim, key_names, [f"_o{i}" for i in range(len(order))], taken)
 
     keyed = fact.withColumns({k: norm(f, F.col(f)) for k, f in zip(key_names, on)})
     if salts:

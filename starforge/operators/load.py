@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import path_exists
+from ..session import materialise, path_exists
 from ..sources.staging import check_mode
 from ..sources.writers import write_parquet
 from .joins import anti, first_per_key, latest_by
@@ -21,9 +21,11 @@ BUCKET = "key_bucket"
 
 
 class LoadStats(NamedTuple):
-    before: int
-    after: int
-    inserted: int
+    """Row counts of a load; None where the caller asked not to count."""
+
+    before: int | None
+    after: int | None
+    inserted: int | None
 
 
 def row_count(spark: SparkSession, path: str) -> int:
@@ -38,14 +40,23 @@ def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _stats(spark: SparkSession, target: str, before: int | None) -> LoadStats:
+    if before is None:
+        return LoadStats(None, None, None)
+    after = row_count(spark, target)
+    return LoadStats(before, after, after - before)
+
+
 def load(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()) -> LoadStats:
     """Truncate-and-load or append, with row counts."""
     check_mode(mode)
     spark = df.sparkSession
     before = row_count(spark, target)
     write_parquet(df, target, partition_by, mode="overwrite" if mode == "truncate_load" else "append")
-    after = row_count(spark, target)
-    return LoadStats(before, after, after if mode == "truncate_load" else after - before)
+    if mode == "truncate_load":
+        after = row_count(spark, target)
+        return LoadStats(before, after, after)
+    return _stats(spark, target, before)
 
 
 def insert_ignore(
@@ -65,28 +76,36 @@ def append_new(
     key: Sequence[str],
     order_by: Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
-    between: str | None = None,
+    between: Sequence[str] = (),
+    counted: bool = True,
 ) -> LoadStats:
     """Append the rows whose natural key the target does not hold yet.
 
-    ``between`` names a key column (time, partition) on which the target scan is
-    limited to the range of the batch, so an hourly batch does not read all of
-    history: row groups and folders outside the range are skipped.
+    ``between`` names columns that belong to the key or follow from it (event
+    time, its year). The target scan is limited to the batch's range on them, so
+    an hourly batch does not read all of history: folders and row groups outside
+    the range are skipped. The reduced batch is then written once to the shared
+    folder, since both the range and the comparison need it.
+    ``counted=False`` skips the row counts, which open every footer of the target.
     """
     spark = batch.sparkSession
     order = list(order_by or [c for c in batch.columns if c not in key] or key)
     fresh = first_per_key(batch, key, order).select(*batch.columns)
+    if not path_exists(spark, target):
+        write_parquet(fresh, target, partition_by, mode="append")
+        return _stats(spark, target, 0 if counted else None)
+    before = row_count(spark, target) if counted else None
     known = read_target(spark, target, batch.schema)
-    if between is not None:
-        if between not in key:
-            raise ValueError("the range column must be part of the key")
-        lo, hi = batch.agg(F.min(between), F.max(between)).first()
-        if lo is not None:
-            known = known.where(F.col(between).between(lo, hi) | F.col(between).isNull())
-    before = row_count(spark, target)
+    if between:
+        fresh = materialise(fresh, "append-batch")
+        ends = fresh.agg(*[f(c).alias(f"{n}_{c}") for c in between for n, f in (("lo", F.min), ("hi", F.max))])
+        row = ends.first()
+        for c in between:
+            lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
+            if lo is not None:
+                known = known.where(F.col(c).between(lo, hi) | F.col(c).isNull())
     write_parquet(anti(fresh, known, list(key)), target, partition_by, mode="append")
-    after = row_count(spark, target)
-    return LoadStats(before, after, after - before)
+    return _stats(spark, target, before)
 
 
 def key_bucket(key: Sequence[str], buckets: int) -> Column:
@@ -100,6 +119,7 @@ def upsert(
     key: Sequence[str],
     order_by: Sequence[str | Column],
     buckets: int = 16,
+    counted: bool = True,
 ) -> LoadStats:
     """Insert new keys and replace known ones; the row that is last in order wins.
 
@@ -111,9 +131,10 @@ def upsert(
     # Reduce the batch first: a key sent a million times becomes one row here.
     newest = latest_by(batch, key, order_by).select(*batch.columns)
     newest = newest.withColumn(BUCKET, key_bucket(key, buckets))
-    before = row_count(spark, target)
+    before = row_count(spark, target) if counted else None
     merged = newest
-    if before:
+    if path_exists(spark, target):
+        newest = materialise(newest, "upsert-batch")
         stored = spark.read.schema(newest.schema).parquet(target)
         # At most `buckets` values.
         touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]
@@ -128,8 +149,7 @@ def upsert(
         .partitionBy(BUCKET)
         .parquet(target)
     )
-    after = row_count(spark, target)
-    return LoadStats(before, after, after - before)
+    return _stats(spark, target, before)
 
 
 def stats_frame(spark: SparkSession, stats: Mapping[str, LoadStats]) -> DataFrame:

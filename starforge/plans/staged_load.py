@@ -44,7 +44,7 @@ def load_songplay_star(
         if fact_mode == "append_new":
             return append_new(
                 f"{root}/f_songplays", rows, ["songplay_id", "start_time"],
-                partition_by=["year", "month"], between="start_time",
+                partition_by=["year", "month"], between=["year", "start_time"],
             )
         return load(rows, f"{root}/f_songplays", fact_mode, ["year", "month"])
 

@@ -10,9 +10,6 @@ from pyspark.sql.types import StructType
 
 from ..operators.load import append_new, upsert
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -49,33 +46,24 @@ def stream_append_new(
     stream: DataFrame,
     target: str,
     key: Sequence[str],
-    event_time: str,
-    delay: str,
     checkpoint: str,
     order_by: Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
+    between: Sequence[str] = (),
 ) -> StreamingQuery:
     """Idempotent fact append.
 
-    Duplicates inside the watermark are dropped by the stream's own state, which
-    stays bounded by ``delay``. Every micro-batch is compared with the target
-    before it is appended, which covers duplicates older than the watermark and
-    a micro-batch that is run again after a failure. ``event_time`` belongs to
-    the key, so only the target's matching time range is read.
+    Every micro-batch is reduced to one row per key and compared with the target
+    before it is appended. That covers re-sent rows of any age as well as a
+    micro-batch that is run again after a failure. No watermark is set: it would
+    discard rows that arrive late, and the comparison needs no state to expire.
     """
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def append(batch: DataFrame, _: int) -> None:
-        append_new(
-            target, batch, key, order_by, partition_by,
-            between=event_time if event_time in key else None,
-        )
+        append_new(target, batch, key, order_by, partition_by, between, counted=False)
 
     return _drain(
-        stream.withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark(list(key))
-        .writeStream.foreachBatch(append)
+        stream.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -95,7 +83,7 @@ def stream_upsert(
 
     def merge(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            upsert(target, batch, key, order_by, buckets)
+            upsert(target, batch, key, order_by, buckets, counted=False)
 
     return _drain(
         stream.writeStream.foreachBatch(merge)
