@@ -65,9 +65,10 @@ def insert_ignore(
     key: Sequence[str],
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
+    counted: bool = True,
 ) -> LoadStats:
     """Insert rows with an unknown key; inside the batch the first in order wins."""
-    return append_new(target, batch, key, order_by, partition_by)
+    return append_new(target, batch, key, order_by, partition_by, counted=counted)
 
 
 def append_new(

@@ -45,9 +45,23 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark)}/starforge/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other call returns."""
-    return f"{shared_dir(spark)}/starforge/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop what this application wrote to its scratch folder; for its very end.
+
+    DataFrames that read materialised rows are of no use afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

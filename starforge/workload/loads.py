@@ -40,7 +40,7 @@ def insert_ignore(t):
     signups = rows.where(F.col("event_type") == "signup")
     others = rows.where(F.col("event_type") != "signup")
     for batch in (signups, others, signups):
-        load.insert_ignore(target, batch, ["user_id"], ["ts", "event_id"])
+        load.insert_ignore(target, batch, ["user_id"], ["ts", "event_id"], counted=False)
     return t.spark.read.parquet(target).drop("event_id")
 
 
@@ -54,7 +54,7 @@ def upsert_last_wins(t):
     target = t.scratch("upsert")
     rows = t.events.select("user_id", "event_type", "value", "ts", "event_id")
     for kinds in (["purchase", "view"], ["click", "error"], ["signup"]):
-        load.upsert(target, rows.where(F.col("event_type").isin(kinds)), ["user_id"], ["ts", "event_id"])
+        load.upsert(target, rows.where(F.col("event_type").isin(kinds)), ["user_id"], ["ts", "event_id"], counted=False)
     return t.spark.read.parquet(target).drop(load.BUCKET, "event_id")
 
 
@@ -69,7 +69,10 @@ def append_new_facts(t):
     first = rows.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     later = rows.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
     for batch in (first, later, later):
-        load.append_new(target, batch, ["user_id", "ts", "event_id"], partition_by=["day"], between=["day", "ts"])
+        load.append_new(
+            target, batch, ["user_id", "ts", "event_id"],
+            partition_by=["day"], between=["day", "ts"], counted=False,
+        )
     return t.spark.read.parquet(target)
 
 
@@ -83,7 +86,7 @@ def append_new_members(t):
     parts = t.part.select("p_partkey", "p_name", "p_brand")
     for facts in (t.lineitem.where(F.col("l_returnflag") == "R"), t.lineitem):
         members = referenced_only(parts, facts, {"p_partkey": "l_partkey"})
-        load.append_new(target, members, ["p_partkey"])
+        load.append_new(target, members, ["p_partkey"], counted=False)
     return t.spark.read.parquet(target)
 
 

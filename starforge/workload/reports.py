@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, calendar, joins, ranking
 from ..plans import immigration, songplay
+from ..session import materialise
 from .raw import (
     ARRIVAL_LIMITS,
     CATALOGUE_SQL,
@@ -149,7 +150,7 @@ def most_bought_parts(t):
         GROUP BY ALL""",
 )
 def most_played_songs(t):
-    songs = catalogue(t)
+    songs = materialise(catalogue(t), "catalogue")
     fact = songplay.build_songplays(event_log(t), songs)
     return songplay.most_played(fact, songplay.build_songs(songs), songplay.build_artists(songs))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import time_parts
 from ..operators import calendar, joins
 from ..plans import dictionary, immigration, query_tables, songplay
+from ..session import materialise
 from .raw import (
     AIRPORTS_SQL,
     ARRIVAL_LIMITS,
@@ -62,7 +63,7 @@ def dim_user_latest(t):
         FROM event_log WHERE page = 'NextSong'""",
 )
 def dim_user_tuples(t):
-    log = event_log(t)
+    log = materialise(event_log(t), "event-log")
     fact = log.where(F.col("page") == "NextSong").select(F.col("userId").alias("user_id"))
     return songplay.build_user_tuples(log, fact)
 
