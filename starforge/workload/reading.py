@@ -29,7 +29,7 @@ def scan_json(t):
 @query(
     "scan_json_nested",
     """SELECT c_mktsegment AS segment, n_name AS nation, count(*) AS entries,
-              round(avg(c_acctbal), 2) AS balance
+              round(sum(c_acctbal), 2) AS balance
        FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""",
 )
 def scan_json_nested(t):
@@ -40,7 +40,7 @@ def scan_json_nested(t):
     return (
         sources.scan_json(t.spark, path)
         .groupBy(F.col("fields.c_mktsegment").alias("segment"), F.col("fields.place.n_name").alias("nation"))
-        .agg(F.count(F.lit(1)).alias("entries"), F.round(F.avg("fields.c_acctbal"), 2).alias("balance"))
+        .agg(F.count(F.lit(1)).alias("entries"), F.round(F.sum("fields.c_acctbal"), 2).alias("balance"))
     )
 
 
