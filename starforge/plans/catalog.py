@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,14 @@ class Question:
     sql: str
 
 
+@dataclass
+class _Entry:
+    builder: Builder
+    partition_by: tuple[str, ...]
+    stored: bool
+    lock: Lock = field(default_factory=Lock)
+
+
 @dataclass
 class Catalog:
     """Tables below ``root``, each produced by a builder that may ask for others.
@@ -33,15 +43,19 @@ class Catalog:
 
     spark: SparkSession
     root: str
-    _builders: dict[str, tuple[Builder, tuple[str, ...]]] = field(default_factory=dict)
+    _entries: dict[str, _Entry] = field(default_factory=dict)
     _open: dict[str, DataFrame] = field(default_factory=dict)
 
-    def add(self, name: str, builder: Builder, partition_by: Sequence[str] = ()) -> "Catalog":
-        self._builders[name] = (builder, tuple(partition_by))
+    def add(
+        self, name: str, builder: Builder, partition_by: Sequence[str] = (), stored: bool = True
+    ) -> "Catalog":
+        """Declare a table. ``stored=False`` keeps the plan and writes no copy, for
+        a table whose builder already ends in a materialised one."""
+        self._entries[name] = _Entry(builder, tuple(partition_by), stored)
         return self
 
     def names(self) -> list[str]:
-        return list(self._builders)
+        return list(self._entries)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -50,19 +64,29 @@ class Catalog:
         return path_exists(self.spark, f"{self.path(name)}/_SUCCESS")
 
     def get(self, name: str) -> DataFrame:
-        if name not in self._open:
-            if name not in self._builders:
-                raise KeyError(f"no table {name!r} in this catalog")
-            if not self.is_stored(name):
-                builder, partition_by = self._builders[name]
-                write_parquet(builder(self), self.path(name), partition_by)
-            self._open[name] = self.spark.read.parquet(self.path(name))
-        return self._open[name]
+        if name not in self._entries:
+            raise KeyError(f"no table {name!r} in this catalog")
+        entry = self._entries[name]
+        with entry.lock:  # builders form no cycles, so waiting for a dependency ends
+            if name not in self._open:
+                if not entry.stored:
+                    self._open[name] = entry.builder(self)
+                else:
+                    if not self.is_stored(name):
+                        write_parquet(entry.builder(self), self.path(name), entry.partition_by)
+                    self._open[name] = self.spark.read.parquet(self.path(name))
+            return self._open[name]
+
+    def build(self, *names: str) -> dict[str, DataFrame]:
+        """Several tables at once; those that do not depend on each other run as
+        concurrent Spark jobs."""
+        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+            return dict(zip(names, pool.map(self.get, names)))
 
     def answer(self, question: Question, export_to: str | None = None) -> DataFrame:
         """Register the needed tables as views and run the SQL; export as JSON lines."""
-        for name in question.tables:
-            register(self.get(name), name)
+        for name, df in self.build(*question.tables).items():
+            register(df, name)
         result = self.spark.sql(question.sql)
         if export_to is not None:
             write_json(result, export_to)

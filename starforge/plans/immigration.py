@@ -250,9 +250,9 @@ def immigration_catalog(
 ) -> Catalog:
     """All staging tables, dimensions and the fact, built on first use.
 
-    Only the fact is partitioned, by year and month. Staging is read whole, so
-    it is not shuffled into folders, and a folder per dimension member would be
-    a folder per row.
+    Only the fact is partitioned, by year and month: a folder per dimension
+    member would be a folder per row. Staged arrivals are not stored again,
+    numbering them has already written them to the shared folder.
     """
     months = ("f_i94_year", "f_i94_month")
     return (
@@ -263,6 +263,7 @@ def immigration_catalog(
         .add(
             "st_i94_immigrations",
             lambda c: stage_immigrations(raw(), c.get("st_immigration_airports"), limits),
+            stored=False,
         )
         .add("d_immigration_countries", lambda c: build_countries(c.get("st_immigration_countries")))
         .add("d_immigration_airports", lambda c: build_airports(c.get("st_immigration_airports")))
@@ -271,7 +272,12 @@ def immigration_catalog(
         .add("d_date_departures", lambda c: build_departure_dates(c.get("st_i94_immigrations")))
         .add(
             "f_i94_immigrations",
-            lambda c: build_immigrations(c.get("st_i94_immigrations"), c.get("d_state_destinations")),
+            _fact,
             months,
         )
     )
+
+
+def _fact(c: Catalog) -> DataFrame:
+    tables = c.build("st_i94_immigrations", "d_state_destinations")
+    return build_immigrations(tables["st_i94_immigrations"], tables["d_state_destinations"])
