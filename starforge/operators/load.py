@@ -127,13 +127,14 @@ def upsert(
     The table is laid out in hash folders of the key. Only the folders the batch
     touches are read and rewritten (dynamic partition overwrite). An older row
     that arrives late does not replace a newer one; on equal order the batch wins.
+    A folder is one task's work: choose ``buckets`` so that a folder fits in one
+    file, and keep the number for the life of the table.
     """
     spark = batch.sparkSession
     # Reduce the batch first: a key sent a million times becomes one row here.
     newest = latest_by(batch, key, order_by).select(*batch.columns)
     newest = newest.withColumn(BUCKET, key_bucket(key, buckets))
     before = row_count(spark, target) if counted else None
-    merged = newest
     if path_exists(spark, target):
         newest = materialise(newest, "upsert-batch")
         stored = spark.read.schema(newest.schema).parquet(target)
@@ -142,10 +143,14 @@ def upsert(
         old = stored.where(F.col(BUCKET).isin(touched))
         both = old.withColumn("_new", F.lit(0)).unionByName(newest.withColumn("_new", F.lit(1)))
         order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-        merged = latest_by(both, [BUCKET, *key], [*order, F.col("_new")]).drop("_new").select(*newest.columns)
+        # One shuffle serves the merge and the layout: rows partitioned by folder are
+        # also partitioned by (folder, key). Keys are unique per side, so folders are even.
+        merged = latest_by(both.repartition(F.col(BUCKET)), [BUCKET, *key], [*order, F.col("_new")])
+        merged = merged.drop("_new").select(*newest.columns)
+    else:
+        merged = newest.hint("rebalance", F.col(BUCKET))
     (
-        merged.hint("rebalance", F.col(BUCKET))
-        .write.mode("overwrite")
+        merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(target)

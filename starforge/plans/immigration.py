@@ -173,9 +173,9 @@ def build_immigrations(staged: DataFrame, states: DataFrame) -> DataFrame:
     return validate_fk(keyed, states, "d_sd_id", "d_sd_id", DEFAULT_STATE)
 
 
-# The groups of all four questions are dimension members: countries, ports,
-# months and states. Their number has a fixed bound, so ranking them in one
-# task is safe.
+# The groups of all ranked questions are dimension members or day differences:
+# countries, ports, months, states, lengths of stay. Their number has a fixed
+# bound, so ranking them in one task is safe.
 QUESTIONS: Mapping[str, Question] = {
     "origin_countries": Question(
         "From which countries do immigrants come, and how many?",
@@ -226,6 +226,30 @@ QUESTIONS: Mapping[str, Question] = {
                  s.d_sd_population_female, s.d_sd_population_total, s.d_sd_foreign_born
         """,
     ),
+    "departure_months": Question(
+        "When do they arrive, and when do they leave?",
+        ("f_i94_immigrations", "d_date_arrivals", "d_date_departures"),
+        """
+        SELECT a.d_da_year_month AS year_month_arrival, d.d_dd_year_month AS year_month_departure,
+               count(f.f_i94_count) AS immigrants
+        FROM f_i94_immigrations f JOIN d_date_arrivals a ON a.d_da_id = f.d_da_id
+             LEFT JOIN d_date_departures d ON d.d_dd_id = f.d_dd_id
+        GROUP BY a.d_da_year_month, d.d_dd_year_month
+        """,
+    ),
+    "stay_lengths": Question(
+        "After how many days do they leave?",
+        ("f_i94_immigrations", "d_date_arrivals", "d_date_departures"),
+        f"""
+        SELECT datediff(f.f_i94_depdate_iso, f.f_i94_arrdate_iso) AS days_after_arrival,
+               count(f.f_i94_count) AS immigrants,
+               dense_rank() OVER (ORDER BY count(f.f_i94_count) DESC) AS immigrants_rank
+        FROM f_i94_immigrations f JOIN d_date_arrivals a ON a.d_da_id = f.d_da_id
+             JOIN d_date_departures d ON d.d_dd_id = f.d_dd_id
+        WHERE f.f_i94_depdate_iso <> DATE'{NO_DATE}'
+        GROUP BY days_after_arrival
+        """,
+    ),
 }
 
 KEY_COLUMNS: Mapping[str, list[str]] = {

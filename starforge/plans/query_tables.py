@@ -4,10 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import latest_by
-from ..operators.projection import clustered
+from ..operators.projection import clustered, drop_empty
+from ..sources.readers import scan_csv
+from ..sources.writers import write_csv
+
+# The columns of a daily event CSV, and those that are kept.
+EVENT_CSV_SCHEMA = (
+    "artist string, auth string, firstName string, gender string, itemInSession int, lastName string, "
+    "length double, level string, location string, method string, page string, registration double, "
+    "sessionId int, song string, status int, ts double, userId int"
+)
+EVENT_CSV_KEPT = (
+    "artist firstName gender itemInSession lastName length level location sessionId song userId".split()
+)
+
+
+def stage_event_csv(spark: SparkSession, path: str | Sequence[str], target: str | None = None) -> DataFrame:
+    """Daily event CSVs reduced to the kept columns of played events (artist not empty).
+
+    With ``target`` the result is also written as CSV with all fields quoted, and
+    read back from there.
+    """
+    played = drop_empty(scan_csv(spark, path, EVENT_CSV_SCHEMA), "artist").select(*EVENT_CSV_KEPT)
+    if target is None:
+        return played
+    return scan_csv(spark, write_csv(played, target, quote_all=True), played.schema)
 
 
 def build_query_table(
@@ -29,13 +53,18 @@ def build_query_table(
     return clustered(latest_by(shaped, full, order_by, wanted), key, cluster)
 
 
+def _order(events: DataFrame, *columns: str) -> list[str]:
+    """Later rows win where the events carry a time; otherwise the values decide."""
+    return [*(["ts"] if "ts" in events.columns else []), *columns]
+
+
 def item_by_session(events: DataFrame) -> DataFrame:
     """Artist, song and length of an item of a session."""
     return build_query_table(
         events,
         ["sessionId", "itemInSession"],
         {"artist": F.col("artist"), "song": F.col("song"), "length": F.col("length")},
-        ["ts", "artist", "song"],
+        _order(events, "artist", "song"),
     )
 
 
@@ -49,7 +78,7 @@ def items_of_user_session(events: DataFrame) -> DataFrame:
             "song": F.col("song"),
             "user": F.concat_ws(" ", "firstName", "lastName"),
         },
-        ["ts", "artist", "song"],
+        _order(events, "artist", "song"),
         cluster=["itemInSession"],
     )
 
@@ -60,6 +89,6 @@ def users_by_song(events: DataFrame) -> DataFrame:
         events,
         ["song"],
         {"user": F.concat_ws(" ", "firstName", "lastName")},
-        ["ts", "user"],
+        _order(events, "user"),
         cluster=["userId"],
     )

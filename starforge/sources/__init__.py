@@ -4,6 +4,7 @@ from .readers import (
     scan_json,
     scan_parquet,
     scan_text,
+    widen,
 )
 from .staging import dated_paths, ingest_slices, stage_dates, stage_json
 from .tables import drop_table, ensure_table, register, save_table, truncate_table
@@ -24,6 +25,7 @@ __all__ = [
     "stage_dates",
     "stage_json",
     "truncate_table",
+    "widen",
     "write_csv",
     "write_json",
     "write_parquet",

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources import widen
 from .registry import Tables
 
 
 def event_log(t: Tables) -> DataFrame:
     """One log event per line item: the buyer plays the part's name by its supplier."""
     rows = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        widen(t.lineitem, "l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -135,7 +136,7 @@ ARRIVAL_LIMITS = ("1995-06-01", "2001-06-30")
 def arrivals(t: Tables) -> DataFrame:
     """Raw arrival records: an order is the arrival, its line items the departures."""
     rows = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        widen(t.lineitem, "l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     )
 

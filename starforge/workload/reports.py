@@ -186,10 +186,23 @@ QUESTION_SQL = {
                st_sd_population_female AS population_female, st_sd_population_total AS population_total,
                st_sd_foreign_born AS foreign_born
         FROM fact JOIN states ON d_sd_id = st_sd_state_code GROUP BY ALL""",
+    "question_departure_months": f"""WITH {FACT_SQL}
+        SELECT strftime(d_da_id, '%Y/%m') AS year_month_arrival, strftime(d_dd_id, '%Y/%m') AS year_month_departure,
+               count(*) AS immigrants
+        FROM fact GROUP BY ALL""",
+    "question_stay_lengths": f"""WITH {FACT_SQL}
+        SELECT CAST(date_diff('day', d_da_id, d_dd_id) AS INTEGER) AS days_after_arrival, count(*) AS immigrants,
+               CAST(dense_rank() OVER (ORDER BY count(*) DESC) AS INTEGER) AS immigrants_rank
+        FROM fact WHERE d_dd_id <> DATE '1900-01-01' GROUP BY days_after_arrival""",
 }
 
 
 def _catalog(t):
+    """The immigration star; the first question builds it, the others read it."""
+    return t.shared("immigration-star", lambda: _new_catalog(t))
+
+
+def _new_catalog(t):
     return immigration.immigration_catalog(
         t.spark,
         t.scratch("immigration"),

@@ -270,5 +270,5 @@ def _dictionary_sql() -> str:
 @query("data_dictionary", _dictionary_sql())
 def data_dictionary(t):
     return dictionary.data_dictionary(
-        {name: getattr(t, name) for name in SPARK_TYPES}, DESCRIBED, DESCRIBED_COLUMNS
+        {name: getattr(t, name) for name in SPARK_TYPES}, DESCRIBED, DESCRIBED_COLUMNS, with_entries=True
     )

@@ -138,3 +138,11 @@ def test_shared_folder_is_the_configured_one(spark, tmp_path, monkeypatch):
     assert path != scratch_path(spark, "x") and path_exists(spark, path)
     clear_scratch(spark)
     assert not path_exists(spark, path)
+
+
+def test_widen_spreads_only_inputs_with_few_splits(spark, tmp_path):
+    one_file = sources.write_parquet(spark.range(1000).coalesce(1), str(tmp_path / "one"))
+    narrow = spark.read.parquet(one_file)
+    assert sources.widen(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(1000, numPartitions=16)
+    assert sources.widen(wide, "id") is wide

@@ -91,6 +91,22 @@ def test_query_tables(events, rows):
     assert rows(query_tables.users_by_song(played).where("song = 'Song A'"), "user") == [("Ann Lee",), ("Bob Ray",)]
 
 
+def test_event_csv_to_query_tables(spark, tmp_path, rows):
+    header = "artist,auth,firstName,gender,itemInSession,lastName,length,level,location,method,page,registration,sessionId,song,status,ts,userId"
+    first = [
+        'Faith,Logged In,Ann,F,4,Lee,495.3,free,"Reno, NV",PUT,NextSong,1.54E+12,338,Music,200,1.54111E+12,50',
+        ',Logged In,Ann,F,5,Lee,,free,"Reno, NV",GET,Home,1.54E+12,338,,200,1.54111E+12,50',
+    ]
+    second = ['"A, B",Logged In,Bob,M,0,Ray,10.5,paid,"LA, CA",PUT,NextSong,1.54E+12,7,"Say ""hi""",200,1.54112E+12,9']
+    for name, lines_ in (("d1.csv", first), ("d2.csv", second)):
+        (tmp_path / name).write_text("\n".join([header, *lines_]) + "\n")
+    played = query_tables.stage_event_csv(spark, f"{tmp_path}/*.csv", str(tmp_path / "full"))
+    assert played.columns[0] == "artist" and len(played.columns) == 11
+    by_item = query_tables.item_by_session(played)
+    assert rows(by_item.where("sessionId = 338 and itemInSession = 4"), "artist", "song", "length") == [("Faith", "Music", 495.3)]
+    assert rows(query_tables.users_by_song(played).where("song = 'Say \"hi\"'"), "user") == [("Bob Ray",)]
+
+
 def test_staged_load_runs_twice_without_new_facts(events, songs, spark, tmp_path, rows):
     root = str(tmp_path / "star")
     first, report = staged_load.load_songplay_star(events, songs, root)
@@ -224,6 +240,9 @@ def test_fact_and_questions(star, tmp_path, rows, spark):
     assert rows(months) == [("2016/01", 2, 1), ("2016/02", 2, 1)]
     states = star.answer(immigration.QUESTIONS["destination_states"])
     assert rows(states, "state_code", "immigrants", "travel_rank") == [("99", 2, 1), ("AL", 2, 1)]
+    left = star.answer(immigration.QUESTIONS["departure_months"])
+    assert rows(left) == [("2016/01", "1900/01", 1), ("2016/01", "2016/01", 1), ("2016/02", "1900/01", 2)]
+    assert rows(star.answer(immigration.QUESTIONS["stay_lengths"])) == [(6, 1, 1)]
 
 
 def test_catalog_builds_once_and_reuses_stored_tables(spark, tmp_path):
@@ -252,7 +271,9 @@ def test_catalog_builds_once_and_reuses_stored_tables(spark, tmp_path):
 
 def test_data_dictionary(spark, rows):
     df = spark.createDataFrame([(1, None), (2, "x")], "id int, v string")
-    got = dictionary.data_dictionary({"t": df}, {"t": "a table"}, {("t", "id"): "key"})
+    texts = ({"t": "a table"}, {("t", "id"): "key"})
+    assert rows(dictionary.data_dictionary({"t": df}, *texts), "position", "column_description") == [(1, "key"), (2, "not set")]
+    got = dictionary.data_dictionary({"t": df}, *texts, with_entries=True)
     assert rows(got) == [
         ("t", "a table", 1, "id", "key", "int", 2, 2),
         ("t", "a table", 2, "v", "not set", "string", 2, 1),
