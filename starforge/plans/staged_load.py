@@ -6,12 +6,21 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.load import LoadStats, append_new, load, stats_frame
 from ..operators.quality import dq_report
+from ..sources.staging import check_mode
 from . import songplay
 
+KEY_COLUMNS = {
+    "f_songplays": ["songplay_id", "user_id", "start_time", "level"],
+    "d_users": ["user_id", "level"],
+    "d_songs": ["song_id", "artist_id"],
+    "d_artists": ["artist_id"],
+    "d_time": ["start_time"],
+}
+
 
 @dataclass
 class StagedLoad:
@@ -30,15 +39,35 @@ class StagedLoad:
         return stats_frame(self.spark, self.stats)
 
 
+FACT_MODES = ("append_new", "append_only", "truncate_load")
+
+
 def load_songplay_star(
-    events: DataFrame, catalogue: DataFrame, root: str, fact_mode: str = "append_new"
+    events: DataFrame,
+    catalogue: DataFrame,
+    root: str,
+    staging_mode: str = "truncate_load",
+    fact_mode: str = "append_new",
+    dim_mode: str = "truncate_load",
 ) -> tuple[DataFrame, DataFrame]:
-    """Load the songplay star below ``root``; returns load counts and the quality report."""
+    """Load the songplay star below ``root``; returns load counts and the quality report.
+
+    Facts: ``append_new`` adds unknown plays only, ``append_only`` adds all,
+    ``truncate_load`` replaces. Dimensions: ``truncate_load`` rebuilds,
+    ``append_only`` inserts unknown members only.
+    """
+    check_mode(staging_mode)
+    check_mode(dim_mode)
+    if fact_mode not in FACT_MODES:
+        raise ValueError(f"fact mode must be one of {FACT_MODES}, got {fact_mode!r}")
     spark = events.sparkSession
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{root}/{name}")
 
+    def staging(name: str, rows: DataFrame):
+        return name, lambda: load(rows, f"{root}/{name}", staging_mode)
+
     def fact() -> LoadStats:
         rows = songplay.build_songplays(table("staging_events"), table("staging_songs"))
         if fact_mode == "append_new":
@@ -48,29 +77,26 @@ def load_songplay_star(
             )
         return load(rows, f"{root}/f_songplays", fact_mode, ["year", "month"])
 
-    def dim(name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()):
-        return name, lambda: load(build(), f"{root}/{name}", "truncate_load", partition_by)
+    def dim(name: str, key: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()):
+        def step() -> LoadStats:
+            if dim_mode == "append_only":
+                return append_new(f"{root}/{name}", build(), [key], partition_by=partition_by)
+            return load(build(), f"{root}/{name}", dim_mode, partition_by)
+
+        return name, step
 
     counts = StagedLoad(spark).run(
-        [
-            ("staging_events", lambda: load(events, f"{root}/staging_events", "truncate_load")),
-            ("staging_songs", lambda: load(catalogue, f"{root}/staging_songs", "truncate_load")),
-        ],
+        [staging("staging_events", events), staging("staging_songs", catalogue)],
         [("f_songplays", fact)],
         [
-            dim("d_users", lambda: songplay.build_users_latest(table("staging_events"))),
-            dim("d_songs", lambda: songplay.build_songs(table("staging_songs")), ["year"]),
-            dim("d_artists", lambda: songplay.build_artists(table("staging_songs"))),
-            dim("d_time", lambda: songplay.build_time(table("staging_events"), only_plays=True), ["year", "month"]),
+            dim("d_users", "user_id", lambda: songplay.build_users_latest(table("staging_events"))),
+            dim("d_songs", "song_id", lambda: songplay.build_songs(table("staging_songs")), ["year"]),
+            dim("d_artists", "artist_id", lambda: songplay.build_artists(table("staging_songs"))),
+            dim(
+                "d_time", "start_time",
+                lambda: songplay.build_time(table("staging_events"), only_plays=True), ["year", "month"],
+            ),
         ],
     )
-    report = dq_report(
-        {
-            "f_songplays": (table("f_songplays"), ["songplay_id", "user_id", "start_time", "level"]),
-            "d_users": (table("d_users"), ["user_id", "level"]),
-            "d_songs": (table("d_songs"), ["song_id", "artist_id"]),
-            "d_artists": (table("d_artists"), ["artist_id"]),
-            "d_time": (table("d_time"), ["start_time"]),
-        }
-    )
+    report = dq_report({name: (table(name), columns) for name, columns in KEY_COLUMNS.items()})
     return counts, report

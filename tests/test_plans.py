@@ -60,6 +60,28 @@ def test_star_query_aggregates_before_the_join(spark, plan, no_broadcast):
     assert "HashAggregate(keys=[fk" in below_join
 
 
+def test_hot_join_key_is_split_at_run_time(spark, plan, no_broadcast):
+    """A plain lookup whose fact has a third of its rows on one key."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = spark.range(60_000, numPartitions=8).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k")
+        )
+        dim = spark.range(-1, 2000).select(F.col("id").alias("key"), F.lit("x").alias("v"))
+        found = joins.lookup_join(fact, dim, {"k": "key"}, {"v": "v"})
+        assert len(found.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(found)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 LAZY = [n for n in QUERIES if not n.startswith(("stream", "question", "staged"))]
 
 

@@ -119,8 +119,16 @@ def test_staged_load_runs_twice_without_new_facts(events, songs, spark, tmp_path
     assert second.where("step = 'f_songplays'").first().asDict() == {
         "step": "f_songplays", "before": 4, "after": 4, "inserted": 0,
     }
-    with pytest.raises(ValueError):
-        staged_load.load_songplay_star(events, songs, root, fact_mode="merge")
+    third, _ = staged_load.load_songplay_star(
+        events, songs, root, staging_mode="append_only", dim_mode="append_only"
+    )
+    assert rows(third, "step", "before", "inserted") == [
+        ("d_artists", 2, 0), ("d_songs", 3, 0), ("d_time", 4, 0), ("d_users", 2, 0),
+        ("f_songplays", 4, 0), ("staging_events", 7, 7), ("staging_songs", 3, 3),
+    ]
+    for modes in ({"fact_mode": "merge"}, {"dim_mode": "append_new"}, {"staging_mode": ""}):
+        with pytest.raises(ValueError):
+            staged_load.load_songplay_star(events, songs, root, **modes)
 
 
 COUNTRIES = [
