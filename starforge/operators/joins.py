@@ -21,28 +21,36 @@ Normalise = Callable[[Column], Column]
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key: the first in the stated order.
+    """One row per key: the first in the stated order, ties by the other columns.
 
-    ``min_by`` aggregates partially on the map side, so a hot key is reduced to
-    one row per input task before the shuffle.
+    The smallest row per key is a partial aggregate: a hot key is reduced to one
+    row per input task before the shuffle. Columns must be orderable (no maps).
     """
-    return _pick(df, keys, order_by, columns, F.min_by)
+    return _pick(df, keys, order_by, columns, F.min)
 
 
 def latest_by(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key: the last in the stated order; later columns break ties."""
-    return _pick(df, keys, order_by, columns, F.max_by)
+    """One row per key: the last in the stated order, ties by the other columns."""
+    return _pick(df, keys, order_by, columns, F.max)
 
 
-def _pick(df, keys, order_by, columns, chooser) -> DataFrame:
+def _pick(df, keys, order_by, columns, extreme) -> DataFrame:
     keys = list(keys)
     rest = [c for c in (columns or df.columns) if c not in keys]
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if not rest:
         return df.select(*keys).distinct()
-    chosen = chooser(F.struct(*rest), F.struct(*order)).alias("_row")
+    # One struct that starts with the order: every value is shuffled once.
+    fields: dict[str, Column] = {}
+    for i, o in enumerate(order_by):
+        if isinstance(o, str) and o in rest:
+            fields.setdefault(o, F.col(o))
+        elif not (isinstance(o, str) and o in keys):
+            fields[f"_o{i}"] = F.col(o) if isinstance(o, str) else o
+    for c in rest:
+        fields.setdefault(c, F.col(c))
+    chosen = extreme(F.struct(*[col.alias(name) for name, col in fields.items()])).alias("_row")
     return df.groupBy(*keys).agg(chosen).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
@@ -83,18 +91,15 @@ def lookup_join(
 
     key_names = [f"_k{i}" for i in range(len(on))]
     dim_keys = [norm(f, F.col(d)).alias(k) for k, (f, d) in zip(key_names, on.items())]
-    order = list(order_by or take.values())
+    taken = [f"_t_{new}" for new in take]
+    carried = {d: f"_t_{new}" for new, d in take.items()}
+    order = {d: carried.get(d, f"_by_{d}") for d in (order_by or take.values())}
     slim = dim.select(
         *dim_keys,
         *[F.col(d).alias(f"_t_{new}") for new, d in take.items()],
-        *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-    )
-    taken = [f"_t_{new}" for new in take]
-    slim = slim.dropna(subset=key_names)
-    if unique:
-        slim = slim.select(*key_names, *taken)
-    else:
-        slim = first_per_key(slim, key_names, [f"_o{i}" for i in range(len(order))], taken)
+        *[F.col(d).alias(name) for d, name in order.items() if d not in carried],
+    ).dropna(subset=key_names)
+    slim = slim.select(*key_names, *taken) if unique else first_per_key(slim, key_names, list(order.values()), taken)
 
     keyed = fact.withColumns({k: norm(f, F.col(f)) for k, f in zip(key_names, on)})
     if salts:

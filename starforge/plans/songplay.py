@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import epoch_ms_to_ts, time_parts
 from ..functions.text import hash_id
 from ..operators.aggregates import group_count
 from ..operators.joins import first_per_key, latest_by, lookup_join, referenced_only, star_query
-from ..operators.ranking import rank_bounded, rank_groups
+from ..operators.ranking import rank_bounded
 
 # The raw schemas and the page name of a play.
 EVENT_SCHEMA = (

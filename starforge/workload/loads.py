@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import load
-from ..operators.load import LoadStats, stats_frame
+from ..operators.load import stats_frame
 from ..operators.joins import referenced_only
 from ..plans.staged_load import load_songplay_star
-from .raw import CATALOGUE_SQL, EVENT_LOG_SQL, SONGPLAYS_SQL, catalogue, event_log
+from .raw import SONGPLAYS_SQL, catalogue, event_log
 from .registry import query
 
 

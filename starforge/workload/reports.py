@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, calendar, joins, ranking
+from ..operators import calendar, joins, ranking
 from ..plans import immigration, songplay
 from ..session import materialise
 from .raw import (
     ARRIVAL_LIMITS,
-    CATALOGUE_SQL,
     SONGPLAYS_SQL,
     arrivals,
     catalogue,

@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from starforge.plans import catalog, dictionary, immigration, query_tables, songplay, staged_load
 
