@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import path_exists
 from .readers import scan_json
@@ -32,23 +32,39 @@ def stage_json(
     """Load JSON lines into a staging table and return its scan.
 
     Without ``mapping`` fields are taken by name from ``schema``. With it each
-    target column is ``name: (json path, type)``, read from the raw line.
+    target column is ``name: (json path, type)``, the path in the form ``$.a.b``.
     """
     check_mode(mode)
     if mapping is None:
         staged = scan_json(spark, path, schema)
     else:
-        lines = spark.read.text(path if isinstance(path, str) else list(path))
-        staged = lines.select(
-            *[
-                F.get_json_object("value", json_path).try_cast(kind).alias(name)
-                for name, (json_path, kind) in mapping.items()
-            ]
+        nested = _schema_of([json_path for json_path, _ in mapping.values()])
+        rows = scan_json(spark, path, nested)
+        staged = rows.select(
+            *[F.col(p.removeprefix("$.")).try_cast(kind).alias(name) for name, (p, kind) in mapping.items()]
         )
     write_parquet(staged, target, mode="overwrite" if mode == "truncate_load" else "append")
     return spark.read.schema(staged.schema).parquet(target)
 
 
+def _schema_of(paths: Sequence[str]) -> StructType:
+    """Nested schema with a text leaf per path, so that a line is parsed once."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *parents, leaf = path.removeprefix("$.").split(".")
+        for name in parents:
+            node = node.setdefault(name, {})
+        node[leaf] = node.get(leaf)
+
+    def build(node: dict) -> StructType:
+        return StructType(
+            [StructField(name, build(child) if child else StringType()) for name, child in node.items()]
+        )
+
+    return build(tree)
+
+
 def dated_paths(template: str, first: dt.date, last: dt.date) -> list[str]:
     """``template`` filled for every day of the inclusive range."""
     days = (last - first).days

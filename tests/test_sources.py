@@ -69,9 +69,9 @@ def test_write_parquet_puts_a_partition_into_one_file(spark, tmp_path):
 
 def test_stage_json_modes_and_mapping(spark, tmp_path, rows):
     (tmp_path / "e.json").write_text('{"user": {"id": "7"}, "n": "x"}\n')
-    mapping = {"user_id": ("$.user.id", "int"), "n": ("$.n", "int")}
+    mapping = {"user_id": ("$.user.id", "int"), "n": ("$.n", "int"), "gone": ("$.user.at.x", "string")}
     target = str(tmp_path / "staged")
-    assert rows(sources.stage_json(spark, str(tmp_path / "e.json"), target, mapping=mapping)) == [(7, None)]
+    assert rows(sources.stage_json(spark, str(tmp_path / "e.json"), target, mapping=mapping)) == [(7, None, None)]
     appended = sources.stage_json(spark, str(tmp_path / "e.json"), target, mapping=mapping, mode="append_only")
     assert appended.count() == 2
     with pytest.raises(ValueError):
