@@ -1,7 +1,7 @@
 """Supervised subword embeddings for document quality.
 
-A document is the average of learned vectors of its words and of their
-character n-grams, all hashed into one table; a softmax over two outputs gives
+A document is the average of learned vectors of its words, of their character
+n-grams and of repeated words (word pairs), all hashed into one table; a softmax over two outputs gives
 the probability of label 1. The model is trained by stochastic gradient descent
 in numpy. Since the logit is linear in the averaged vectors, a word's share of
 it is one number, which a task computes once per distinct word.
@@ -9,6 +9,8 @@ it is one number, which a task computes once per distinct word.
 
 from __future__ import annotations
 
+import itertools
+import operator
 import zlib
 from dataclasses import dataclass
 
@@ -30,9 +32,18 @@ def word_features(word: bytes) -> list[int]:
     return [crc(marked) & mask, *[crc(marked[i : i + GRAM]) & mask for i in range(len(marked) - GRAM + 1)]]
 
 
+# The bucket of all word pairs "w w": a word said twice in a row.
+TWICE = zlib.crc32(b"\x00twice") & (BUCKETS - 1)
+
+
+def repeats(words: list[bytes]) -> int:
+    return sum(map(operator.eq, words, itertools.islice(words, 1, None)))
+
+
 def text_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of all its features."""
-    found = [f for word in text.split() for f in word_features(word)]
+    words = text.split()
+    found = [f for word in words for f in word_features(word)] + [TWICE] * repeats(words)
     ids, counts = np.unique(np.array(found, np.int64), return_counts=True)
     return ids, counts / max(1, len(found))
 
@@ -124,7 +135,8 @@ class WordShares(dict):
         if not words:
             return offset
         shares, sizes = zip(*map(self.__getitem__, words))
-        return offset + sum(shares) / sum(sizes)
+        twice = repeats(words)
+        return offset + (sum(shares) + twice * self.by_bucket[TWICE]) / (sum(sizes) + twice)
 
 
 def score_quality(

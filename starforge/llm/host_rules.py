@@ -16,15 +16,16 @@ from ..session import materialise
 from .common import SPACE, map_lists, prepare, raw
 
 SYMBOLS = b"#*$%&|<>"
-MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+UPPER = bytes(range(65, 91))
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long"
 
 
 @dataclass(frozen=True)
 class Rules:
     """Limits per document. A hard limit drops a document anywhere; a soft one
     is a failure that counts against the host and drops documents of rejected
-    hosts only. Shares are of words, ``dup_lines`` counts lines, mean word
-    length is in code points."""
+    hosts only. Shares are of words, those of capitals (A-Z) of the words' code
+    points; ``dup_lines`` counts lines, mean word length is in code points."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -32,12 +33,14 @@ class Rules:
     soft_symbols: float = 0.1
     hard_symbols: float = 0.5
     soft_dup_lines: int = 2
+    soft_upper: float = 0.2
+    hard_upper: float = 0.5
     word_length: tuple[float, float] = (2.0, 14.0)
     host_rate: float = 0.4
 
 
-def measure(text: bytes) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
+def measure(text: bytes) -> tuple[int, int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper of a text."""
     words = text.split()
     n = len(words)
     dense = text.translate(None, SPACE)
@@ -49,7 +52,8 @@ def measure(text: bytes) -> tuple[int, int, int, int, int]:
             dup += 1
         elif line.strip():
             seen.add(line)
-    return n, chars, symbols, dup, repeated_words(words)
+    upper = len(text) - len(text.translate(None, UPPER))
+    return n, chars, symbols, dup, repeated_words(words), upper
 
 
 def repeated_words(words: list[bytes], width: int = 3) -> int:
@@ -142,10 +146,12 @@ def apply_host_rules(docs: DataFrame, host: str = "source", rules: Rules = Rules
     base = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
     )
-    hard = F.col("n_symbols") > rules.hard_symbols * per_word
+    upper = F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1))
+    hard = (F.col("n_symbols") > rules.hard_symbols * per_word) | (upper > rules.hard_upper)
     soft = (
         (F.col("n_symbols") > rules.soft_symbols * per_word).cast("int")
         + (100 * F.col("n_repeat_words") > rules.soft_repeat_percent * F.col("n_words")).cast("int")
+        + (upper > rules.soft_upper).cast("int")
         + (F.col("n_dup_lines") >= rules.soft_dup_lines).cast("int")
         + (~mean_length.between(*rules.word_length)).cast("int")
     )

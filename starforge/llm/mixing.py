@@ -89,7 +89,8 @@ def mix_sources(
     ``size`` is the number of words of ``text`` (null: 0) unless another column
     is given; ``taken`` counts the words that the mix takes of the row, repeats
     included, at most ``cap`` times its size. The sum of ``taken`` is the whole
-    part of the budget; the row at which the budget ends is taken in part.
+    part of the budget. A row that crosses the target of its source is served in
+    two pieces, so a row may be taken in part.
     Columns of ``docs`` with these names are replaced (names that start with
     ``_mix`` too), others pass through. Rows with a null source form one source
     of their own. The order is by a hash of the id, then by size; rows that
@@ -127,11 +128,21 @@ def mix_sources(
     placed = queue.join(starts, ["_s", "_stretch"]).withColumn("_end", F.col("_start") + F.sum("size").over(so_far))
     placed = materialise(placed.drop("_start", "_stretch"), "mix-queue")
 
-    finish = (F.col("_end") + F.col("_epoch") * F.col("source_size")) / F.col("target")
+    # A copy that crosses its source's target is queued as two pieces.
+    last = F.col("_end") + F.col("_epoch") * F.col("source_size")
+    first = last - F.col("size")
+    goal = F.floor("target")
+    inner = (first < goal) & (goal < last)
+    pieces = F.array(
+        F.struct(F.when(inner, goal - first).otherwise(F.col("size")).alias("n"), F.when(inner, goal).otherwise(last).alias("at")),
+        F.struct(F.when(inner, last - goal).otherwise(0).alias("n"), last.alias("at")),
+    )
     copies = (
         placed.filter("size > 0")
         .withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(int(cap) - 1))))
-        .select("_mix_row", "size", "_key", finish.alias("_finish"))
+        .select("_mix_row", "_key", "target", F.inline(pieces))
+        .filter("n > 0")
+        .select("_mix_row", "_key", F.col("n").alias("size"), (F.col("at") / F.col("target")).alias("_finish"))
     )
     taken = _serve(copies, budget, ("_finish", *order)).groupBy("_mix_row").agg(F.sum("_part_taken").alias("taken"))
     placed = placed.select("_mix_row", "source_size", "target").join(taken, "_mix_row", "left")
