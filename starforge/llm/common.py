@@ -25,9 +25,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = "400"
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, batch_rows: str = BATCH_ROWS) -> SparkSession:
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     return spark
 
 

@@ -11,6 +11,7 @@ from .host_rules import apply_host_rules
 from .line_dedup import drop_common_lines
 from .mixing import mix_sources, word_count
 from .piece_count import count_pieces
+from .pivot_search import exact_top_k
 from .secret_scan import scan_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,27 @@ def op6_quality_classifier(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op7_pivot_search(spark, folder):
+    return exact_top_k(table(spark, folder, "embeddings"))
+
+
+ORACLE["op7_pivot_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) IS NOT FALSE),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.vec, c.vec)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 5
+"""
+
+
 @query
 def op8_secret_scan(spark, folder):
     out = scan_secrets(table(spark, folder, "documents"))
