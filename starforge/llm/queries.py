@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .classifier import score_quality
 from .host_rules import apply_host_rules
+from .language_model import score_language_model
 from .line_dedup import drop_common_lines
 from .mixing import mix_sources, word_count
 from .piece_count import count_pieces
@@ -28,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_lm_score(spark, folder):
+    return score_language_model(table(spark, folder, "documents"))
+
+
 @query
 def op2_line_dedup(spark, folder):
     out = drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"))
