@@ -11,6 +11,7 @@ from .host_rules import apply_host_rules
 from .language_model import score_language_model
 from .line_dedup import drop_common_lines
 from .mixing import mix_sources, word_count
+from .near_dup import near_duplicates
 from .piece_count import count_pieces
 from .pivot_search import exact_top_k
 from .secret_scan import scan_secrets
@@ -109,3 +110,8 @@ def op9_fair_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", word_count().alias("n"))
     out = mix_sources(docs, size=F.col("n"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_near_duplicates(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"))
