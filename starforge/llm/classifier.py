@@ -12,10 +12,13 @@ from __future__ import annotations
 import itertools
 import operator
 import zlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .common import crc_mod, map_lists, prepare, raw
 
@@ -151,6 +154,7 @@ def score_quality(
     epochs: int = 8,
     rate: float = 0.5,
     seed: int = 6,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
@@ -161,8 +165,8 @@ def score_quality(
     only. A null or empty text gets the model's bias; without any label all
     scores are 0.5. Labels that are null or not 0 or 1 are ignored, a document
     with several label rows is an example for each. Every input row, with null
-    or repeated ids, gives one row; other columns are not read. An empty table
-    gives an empty result.
+    or repeated ids, gives one row, with the columns named in ``carry``; others
+    are not read. An empty table gives an empty result.
 
     The sample is picked from ``labels`` alone, so its join to the documents is
     a broadcast of at most ``max_rows`` ids; the model (a table of fixed size)
@@ -174,20 +178,19 @@ def score_quality(
     model = train(training_sample(docs, usable, label, max_rows), dim, epochs, rate, seed)
     shared = spark.sparkContext.broadcast((model.shares(), model.offset()))
 
-    def make():
+    def run(batches):
         shares, offset = shared.value
         words = WordShares(shares)
-
-        def step(ids, held, texts):
-            logits = np.array([words.logit(t, offset) for t in texts])
+        for batch in batches:
+            logits = np.array([words.logit(t, offset) for t in batch.column(2).to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
-            return [ids, held, scores, (scores >= threshold).astype(np.int32)]
-
-        return step
-
-    kind = dict(docs.dtypes)["doc_id"]
-    return map_lists(
-        docs.select("doc_id", (fold == held_fold).alias("held_out"), raw("text").alias("text")),
-        make,
-        f"doc_id {kind}, held_out boolean, score double, predicted int",
-    )
+            predicted = pa.array((scores >= threshold).astype(np.int32))
+            columns = [batch.column(0), batch.column(1), pa.array(scores), predicted, *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    held = (fold == held_fold).alias("held_out")
+    given = docs.select("doc_id", held, raw("text").alias("_text"), *carry)
+    results = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
+    schema = StructType([*given.schema.fields[:2], *results, *given.schema.fields[3:]])
+    names = schema.names
+    return given.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
-from .common import map_lists, prepare, raw, signed
+from .common import WORD, map_lists, prepare, raw, signed, spare
 from .components import connected_components
 
 WIDTH = 5
@@ -309,6 +309,31 @@ def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         most *= 8
 
 
+def label_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, row, n_shingles, component, component_id`` of every row of
+    ``docs`` (doc_id, text, row); ``component`` names the group, null without words."""
+    described = materialise(describe(docs), "near-rows")
+    filled = described.filter("class is not null")
+    classes = filled.groupBy("class").agg(F.min(F.struct("row", "n", "sig")).alias("first"))
+    classes = materialise(classes.select("class", "first.*"), "near-classes")
+    parts = find_links(docs, classes)
+
+    least = filled.groupBy("class").agg(F.min("doc_id").alias("low"))
+    labelled = least.join(parts, F.col("class") == F.col("node"), "left").select(
+        "class", "low", F.coalesce("component", "class").alias("component")
+    )
+    labelled = materialise(labelled, "near-labels")
+    lowest = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
+    ids = labelled.join(lowest, "component").select("class", "component", "component_id")
+    out = described.select("doc_id", "row", F.col("n").alias("n_shingles"), "class").join(ids, "class", "left")
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.withColumn("component_id", component).drop("class")
+
+
+def row_hash() -> F.Column:
+    return F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -325,23 +350,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the sets of classes that share a key with another.
     """
     prepare(docs.sparkSession)
-    row = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
-    docs = docs.select("doc_id", "text", row.alias("row"))
-    described = materialise(describe(docs), "near-rows")
-    filled = described.filter("class is not null")
-    classes = filled.groupBy("class").agg(F.min(F.struct("row", "n", "sig")).alias("first"))
-    classes = materialise(classes.select("class", "first.*"), "near-classes")
-    parts = find_links(docs, classes)
-
-    least = filled.groupBy("class").agg(F.min("doc_id").alias("low"))
-    labelled = least.join(parts, F.col("class") == F.col("node"), "left").select(
-        "class", "low", F.coalesce("component", "class").alias("component")
-    )
-    labelled = materialise(labelled, "near-labels")
-    lowest = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
-    ids = labelled.join(lowest, "component").select("class", "component_id")
-    out = described.select("doc_id", F.col("n").alias("n_shingles"), "class").join(ids, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.withColumn("component_id", component)
+    out = label_rows(docs.select("doc_id", "text", row_hash().alias("row")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the least
+    id, null ids last, and of rows that repeat it the one with the least hash.
+    Rows without words all stay. All columns pass through."""
+    prepare(docs.sparkSession)
+    row = spare(docs, "row")
+    numbered = docs.withColumn(row, row_hash())
+    labelled = label_rows(numbered.select("doc_id", "text", F.col(row).alias("row"))).filter("component is not null")
+    first = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    chosen = first.select(F.col("first.row").alias(row))
+    filled = F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False))
+    kept = numbered.filter(filled).join(chosen, row, "left_semi").dropDuplicates([row])
+    return kept.unionByName(numbered.filter(~filled)).select(*docs.columns)

@@ -12,6 +12,7 @@ from .language_model import score_language_model
 from .line_dedup import drop_common_lines
 from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
+from .packing import pack_documents
 from .piece_count import count_pieces
 from .pivot_search import exact_top_k
 from .secret_scan import scan_secrets
@@ -57,6 +58,11 @@ GROUP BY doc_id
 """
 
 
+@query
+def op3_best_fit_packing(spark, folder):
+    return pack_documents(table(spark, folder, "documents"))
+
+
 @query
 def op4_host_rules(spark, folder):
     out = apply_host_rules(table(spark, folder, "documents"))
