@@ -104,7 +104,7 @@ class Vocabulary:
 
     def share(self) -> np.ndarray:
         """log10 of each class's smoothed mass, 0 for classes of one known word."""
-        return np.where(self.single, 0.0, np.log10(self.mass))
+        return np.log10(np.where(self.single, 1.0, self.mass))
 
 
 def build_vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
@@ -159,6 +159,11 @@ def build_vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
     )
 
 
+def classes_of(at: np.ndarray, words: Vocabulary) -> np.ndarray:
+    """Classes of the indices that ``WordIndex`` gives."""
+    return np.where(at >= 0, words.classes[np.maximum(at, 0)], -1 - at).astype(np.int64)
+
+
 class WordIndex(dict):
     """Known word to its index; any other word to -1 - class."""
 
@@ -296,7 +301,7 @@ def train_round(spark: SparkSession, docs: DataFrame, words: Vocabulary, model:
                 trainer = Trainer(LogBilinear.unpack(flat, k, d), noise, shape, shape.seed * 1000 + part * 100 + pid)
             for text in batch.column(0).to_pylist():
                 at = index.of(lowered(text))
-                held.append(np.where(at >= 0, words.classes[at], -1 - at).astype(np.int64))
+                held.append(classes_of(at, words))
                 size += len(at) + 1
                 if size > 1 << 17:
                     seen += learn()
@@ -399,7 +404,7 @@ def score_language_model(
                 tokens = lowered(text)
                 at = np.append(index.of(tokens), np.int32(ends))
                 known = at >= 0
-                classes = np.where(known, words.classes[at], -1 - at).astype(np.int64)
+                classes = classes_of(at, words)
                 v, u = np.r_[0, classes[:-1]], np.r_[0, 0, classes[:-2]][: len(classes)]
                 model_log = (one[v, classes] + two[u, classes] - norm[v, u]).sum(dtype=np.float64) / np.log(10)
                 own = at[known]
