@@ -6,54 +6,44 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
 
-# A window without PARTITION BY runs in one task: allowed up to this many groups.
-WINDOW_ROWS = 100_000
-
-
 def rank_bounded(groups: DataFrame, measure: str, name: str = "rank", dense: bool = False) -> DataFrame:
     """Rank groups whose number has a fixed bound (calendar months, countries, levels)."""
     fn = F.dense_rank() if dense else F.rank()
     return groups.withColumn(name, fn.over(Window.orderBy(F.col(measure).desc())))
 
 
-def rank_groups(
-    groups: DataFrame,
-    measure: str,
-    name: str = "rank",
-    dense: bool = False,
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
-    """Rank groups by ``measure``, largest first, for any number of groups.
+def rank_groups(groups: DataFrame, measure: str, name: str = "rank", dense: bool = False) -> DataFrame:
+    """Rank groups by ``measure``, largest first, nulls last, for any number of groups.
 
-    The groups are written once. Up to ``window_rows`` of them a plain window is
-    used. Beyond that the distinct measure values (hot values collapse to one
-    row) are range-partitioned; a value's rank is the number of groups above its
-    partition plus the number above it inside, and is joined back.
+    The groups are range-partitioned by measure and a hash, so that a measure
+    shared by most groups is spread too, and written once. The ranks are worked
+    out on one row per range partition and measure: the rows of the partitions
+    before, less those with the same measure, plus the rows above in the
+    partition. What meets in one task or is broadcast is one row per partition.
     """
-    stored = materialise(groups, "rank-groups")
-    if stored.count() <= window_rows:
-        return rank_bounded(stored, measure, name, dense)
-    values = stored.groupBy(measure).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = materialise(
-        values.repartitionByRange(F.col(measure).desc()).withColumn("_part", F.spark_partition_id()),
-        "rank-values",
-    )
-    weight = F.lit(1) if dense else F.col("_n")
-    above_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranged.groupBy("_part")
-        .agg(F.sum(weight).alias("_w"))
-        .select("_part", F.coalesce(F.sum("_w").over(above_part), F.lit(0)).alias("_base"))
-    )
-    above = (
-        Window.partitionBy("_part").orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    largest = F.col(measure).desc_nulls_last()
+    placed = materialise(
+        groups.repartitionByRange(largest, F.xxhash64(*groups.columns)).withColumn("_part", F.spark_partition_id()),
+        "rank-groups",
     )
-    # One row per range partition: its number is bounded by the shuffle width.
-    ranks = ranged.join(F.broadcast(starts), "_part").select(
+    values = placed.groupBy("_part", measure).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # A measure is in several partitions only if it fills those in between.
+    same = Window.partitionBy(measure).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("_part").orderBy(largest).rowsBetween(Window.unboundedPreceding, -1)
+    values = values.withColumn("_same", F.coalesce(F.sum("_n").over(same), F.lit(0)))
+    # For dense ranks a measure counts once, where it is first seen.
+    values = values.withColumn("_weight", (F.col("_same") == 0).cast("long") if dense else F.col("_n"))
+    starts = values.groupBy("_part").agg(F.sum("_weight").alias("_w"))
+    starts = starts.select("_part", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_base"))
+    seen = (F.col("_same") > 0).cast("long") if dense else F.col("_same")
+    ranks = values.join(F.broadcast(starts), "_part").select(
+        F.col("_part").alias("_at"),
         F.col(measure).alias("_value"),
-        (F.col("_base") + F.coalesce(F.sum(weight).over(above), F.lit(0)) + 1).cast("int").alias(name),
+        (F.col("_base") + F.coalesce(F.sum("_weight").over(above), F.lit(0)) - seen + 1).cast("int").alias(name),
     )
-    return stored.join(ranks, stored[measure].eqNullSafe(ranks["_value"])).drop("_value")
+    matched = (placed["_part"] == ranks["_at"]) & placed[measure].eqNullSafe(ranks["_value"])
+    return placed.join(ranks, matched).drop("_part", "_at", "_value")
 
 
 def top_k_groups(groups: DataFrame, measure: str, k: int, name: str = "rank") -> DataFrame:

@@ -27,11 +27,10 @@ def test_append_continues_ids(spark, tmp_path):
 GROUPS = [("a", 5), ("b", 5), ("c", 9), ("d", 1), ("e", 1), ("f", 3), ("g", None)]
 
 
-@pytest.mark.parametrize("window_rows", [0, 100])
 @pytest.mark.parametrize("dense", [False, True])
-def test_rank_groups_matches_window(spark, rows, window_rows, dense):
+def test_rank_groups_matches_window(spark, rows, dense):
     df = spark.createDataFrame(GROUPS, "k string, n int")
-    got = ranking.rank_groups(df, "n", "r", dense=dense, window_rows=window_rows)
+    got = ranking.rank_groups(df, "n", "r", dense=dense)
     assert rows(got, "k", "n", "r") == rows(ranking.rank_bounded(df, "n", "r", dense), "k", "n", "r")
 
 
@@ -40,9 +39,12 @@ def test_rank_many_groups_with_hot_measure(spark):
     df = spark.range(9000).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") * 37 % 1000).alias("n")
     )
-    got = ranking.rank_groups(df, "n", "r", window_rows=0)
+    got = ranking.rank_groups(df, "n", "r")
     want = ranking.rank_bounded(df, "n", "r")
     assert got.select("id", "r").exceptAll(want.select("id", "r")).isEmpty()
+    got = ranking.rank_groups(df.repartition(16), "n", "r", dense=True)
+    want = ranking.rank_bounded(df, "n", "r", dense=True)
+    assert got.select("id", "r").exceptAll(want.select("id", "r")).isEmpty()
 
 
 def test_top_k_keeps_ties(spark, rows):
