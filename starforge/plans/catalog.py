@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.joins import star_query
+from ..operators.ranking import rank_groups
 from ..session import path_exists
-from ..sources.tables import register
 from ..sources.writers import write_json, write_parquet
 
 Builder = Callable[["Catalog"], DataFrame]
@@ -18,18 +19,51 @@ Builder = Callable[["Catalog"], DataFrame]
 
 @dataclass(frozen=True)
 class Question:
-    """A business question: SQL text over named tables."""
+    """A business question: measures of a fact by columns of its dimensions.
+
+    ``dims`` holds (table, key, "inner" | "left"), the key being called the same
+    in the fact. ``derived`` adds columns to the fact and ``only`` limits its
+    rows; both are made when asked, since columns need a session. With ``rank``
+    the groups are ranked by ``rank_by`` (default: the first measure), and the
+    answer is ordered by rank and groups; otherwise by ``order_by``.
+    """
 
     text: str
-    tables: tuple[str, ...]
-    sql: str
+    fact: str
+    dims: tuple[tuple[str, str, str], ...]
+    group_by: Mapping[str, str]
+    measures: Mapping[str, tuple[str, str]]
+    rank: str | None = None
+    rank_by: str | None = None
+    dense: bool = False
+    order_by: tuple[str, ...] = ()
+    hidden: tuple[str, ...] = ()
+    derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    only: Callable[[], Column] | None = None
+
+    @property
+    def tables(self) -> tuple[str, ...]:
+        return (self.fact, *[table for table, _, _ in self.dims])
+
+    def answer(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        fact = tables[self.fact]
+        if self.only is not None:
+            fact = fact.where(self.only())
+        fact = fact.withColumns({name: make() for name, make in self.derived.items()})
+        dims = [(tables[table], key, key, how) for table, key, how in self.dims]
+        groups = star_query(fact, dims, self.group_by, self.measures)
+        order = [F.col(c) for c in self.order_by]
+        if self.rank is not None:
+            by = self.rank_by or next(iter(self.measures))
+            groups = rank_groups(groups, by, self.rank, self.dense)
+            order = [F.col(self.rank), *[F.col(c) for c in self.group_by]]
+        return groups.orderBy(*order).drop(*self.hidden)
 
 
 @dataclass
 class _Entry:
     builder: Builder
     partition_by: tuple[str, ...]
-    stored: bool
     lock: Lock = field(default_factory=Lock)
 
 
@@ -46,12 +80,9 @@ class Catalog:
     _entries: dict[str, _Entry] = field(default_factory=dict)
     _open: dict[str, DataFrame] = field(default_factory=dict)
 
-    def add(
-        self, name: str, builder: Builder, partition_by: Sequence[str] = (), stored: bool = True
-    ) -> "Catalog":
-        """Declare a table. ``stored=False`` keeps the plan and writes no copy, for
-        a table whose builder already ends in a materialised one."""
-        self._entries[name] = _Entry(builder, tuple(partition_by), stored)
+    def add(self, name: str, builder: Builder, partition_by: Sequence[str] = ()) -> "Catalog":
+        """Declare a table."""
+        self._entries[name] = _Entry(builder, tuple(partition_by))
         return self
 
     def names(self) -> list[str]:
@@ -69,12 +100,9 @@ class Catalog:
         entry = self._entries[name]
         with entry.lock:  # builders form no cycles, so waiting for a dependency ends
             if name not in self._open:
-                if not entry.stored:
-                    self._open[name] = entry.builder(self)
-                else:
-                    if not self.is_stored(name):
-                        write_parquet(entry.builder(self), self.path(name), entry.partition_by)
-                    self._open[name] = self.spark.read.parquet(self.path(name))
+                if not self.is_stored(name):
+                    write_parquet(entry.builder(self), self.path(name), entry.partition_by)
+                self._open[name] = self.spark.read.parquet(self.path(name))
             return self._open[name]
 
     def build(self, *names: str) -> dict[str, DataFrame]:
@@ -84,10 +112,8 @@ class Catalog:
             return dict(zip(names, pool.map(self.get, names)))
 
     def answer(self, question: Question, export_to: str | None = None) -> DataFrame:
-        """Register the needed tables as views and run the SQL; export as JSON lines."""
-        for name, df in self.build(*question.tables).items():
-            register(df, name)
-        result = self.spark.sql(question.sql)
+        """The ordered answer, built on the needed tables; export as JSON lines."""
+        result = question.answer(self.build(*question.tables))
         if export_to is not None:
             write_json(result, export_to)
         return result

@@ -16,11 +16,11 @@ from ..operators.keys import with_row_id
 from ..operators.projection import restage, with_key
 from .catalog import Catalog, Question
 
-# Line patterns of the label files.
-COUNTRY_LINE = r"^\s*(\d*)\s*=  '(\w*.*)'"
-PORT_LINE_STRICT = r"^\s+'([.\w{2,3} ]*)'\s+=\s+'([\w -.\/]*),\s* ([\w\/]+)"
-PORT_LINE_LENIENT = r"^\s+'([.\w{2,3} ]*)'\s+=\s+'([\w -.\/]*)\s*,*\s* ([\w\/]+)"
-STATE_LINE = r"^\s+'([9+A-Z]+)'='([A-Z\s.]+)'"
+# A label line is a code, an equals sign and a quoted text; blanks vary by file.
+# A port's text ends in its state, a word after the last blank but for filling.
+COUNTRY_LINE = r"^\s*(\d+)\s*=\s*'(.*)'"
+PORT_LINE = r"^\s*'([^']*)'\s*=\s*'(.+) ([\w/]+)"
+STATE_LINE = r"^\s*'(\w+)'\s*=\s*'([^']+)'"
 
 # Country names that are no countries, and the default member.
 INVALID_COUNTRIES = (r"^No Country Code (.*)", r"^.*\((should not show)\)", r"^INVALID:.*")
@@ -67,7 +67,7 @@ def stage_airports(lines: DataFrame) -> DataFrame:
     labels = extract_columns(
         lines,
         "value",
-        PORT_LINE_LENIENT,
+        PORT_LINE,
         {"port_code": (1, "string"), "port_name": (2, "string"), "state_code": (3, "string")},
     )
     plain = labels.where(F.col("port_code") != "").withColumn(
@@ -173,82 +173,68 @@ def build_immigrations(staged: DataFrame, states: DataFrame) -> DataFrame:
     return validate_fk(keyed, states, "d_sd_id", "d_sd_id", DEFAULT_STATE)
 
 
-# The groups of all ranked questions are dimension members or day differences:
-# countries, ports, months, states, lengths of stay. Their number has a fixed
-# bound, so ranking them in one task is safe.
+ENTRIES = ("count", "f_i94_count")
 QUESTIONS: Mapping[str, Question] = {
     "origin_countries": Question(
         "From which countries do immigrants come, and how many?",
-        ("f_i94_immigrations", "d_immigration_countries"),
-        """
-        SELECT f.f_i94_cit AS country_id, c.d_ic_country_name AS country,
-               count(f.f_i94_count) AS immigrants,
-               rank() OVER (ORDER BY count(f.f_i94_count) DESC) AS immigrants_rank
-        FROM f_i94_immigrations f JOIN d_immigration_countries c ON c.d_ic_id = f.d_ic_id
-        GROUP BY f.f_i94_cit, c.d_ic_country_name
-        """,
+        "f_i94_immigrations",
+        dims=(("d_immigration_countries", "d_ic_id", "inner"),),
+        group_by={"country_id": "f_i94_cit", "country": "d_ic_country_name"},
+        measures={"immigrants": ENTRIES},
+        rank="immigrants_rank",
     ),
     "arrival_airports": Question(
         "At which airports do they arrive?",
-        ("f_i94_immigrations", "d_immigration_airports"),
-        """
-        SELECT a.d_ia_airport_code AS airport_code, a.d_ia_airport_name AS airport_name,
-               a.d_ia_airport_state_code AS airport_state_code,
-               sum(f.f_i94_count) AS immigrants,
-               rank() OVER (ORDER BY count(f.f_i94_count) DESC) AS airport_rank
-        FROM f_i94_immigrations f JOIN d_immigration_airports a ON f.d_ia_id = a.d_ia_id
-        GROUP BY ALL
-        """,
+        "f_i94_immigrations",
+        dims=(("d_immigration_airports", "d_ia_id", "inner"),),
+        group_by={
+            "airport_code": "d_ia_airport_code",
+            "airport_name": "d_ia_airport_name",
+            "airport_state_code": "d_ia_airport_state_code",
+        },
+        measures={"immigrants": ("sum", "f_i94_count"), "entries": ENTRIES},
+        rank="airport_rank",
+        rank_by="entries",
+        hidden=("entries",),
     ),
     "arrival_months": Question(
         "At which times do they arrive?",
-        ("f_i94_immigrations", "d_date_arrivals"),
-        """
-        SELECT d.d_da_year_month AS year_month, count(f.f_i94_count) AS immigrants,
-               rank() OVER (ORDER BY count(f.f_i94_count) DESC) AS immigrants_rank
-        FROM f_i94_immigrations f JOIN d_date_arrivals d ON d.d_da_id = f.d_da_id
-        GROUP BY d.d_da_year_month
-        """,
+        "f_i94_immigrations",
+        dims=(("d_date_arrivals", "d_da_id", "inner"),),
+        group_by={"year_month": "d_da_year_month"},
+        measures={"immigrants": ENTRIES},
+        rank="immigrants_rank",
     ),
     "destination_states": Question(
         "To which states do they travel on, and what are those like?",
-        ("f_i94_immigrations", "d_state_destinations"),
-        """
-        SELECT rank() OVER (ORDER BY count(f.f_i94_count) DESC) AS travel_rank,
-               s.d_sd_state_code AS state_code, s.d_sd_state_name AS state_name,
-               count(f.f_i94_count) AS immigrants, s.d_sd_age_median AS age_median,
-               s.d_sd_population_male AS population_male,
-               s.d_sd_population_female AS population_female,
-               s.d_sd_population_total AS population_total,
-               s.d_sd_foreign_born AS foreign_born
-        FROM f_i94_immigrations f JOIN d_state_destinations s ON s.d_sd_id = f.d_sd_id
-        GROUP BY s.d_sd_state_code, s.d_sd_state_name, s.d_sd_age_median, s.d_sd_population_male,
-                 s.d_sd_population_female, s.d_sd_population_total, s.d_sd_foreign_born
-        """,
+        "f_i94_immigrations",
+        dims=(("d_state_destinations", "d_sd_id", "inner"),),
+        group_by={
+            "state_code": "d_sd_state_code",
+            "state_name": "d_sd_state_name",
+            **{name: f"d_sd_{name}" for name in PROFILE_COLUMNS},
+        },
+        measures={"immigrants": ENTRIES},
+        rank="travel_rank",
     ),
     "departure_months": Question(
         "When do they arrive, and when do they leave?",
-        ("f_i94_immigrations", "d_date_arrivals", "d_date_departures"),
-        """
-        SELECT a.d_da_year_month AS year_month_arrival, d.d_dd_year_month AS year_month_departure,
-               count(f.f_i94_count) AS immigrants
-        FROM f_i94_immigrations f JOIN d_date_arrivals a ON a.d_da_id = f.d_da_id
-             LEFT JOIN d_date_departures d ON d.d_dd_id = f.d_dd_id
-        GROUP BY a.d_da_year_month, d.d_dd_year_month
-        """,
+        "f_i94_immigrations",
+        dims=(("d_date_arrivals", "d_da_id", "inner"), ("d_date_departures", "d_dd_id", "left")),
+        group_by={"year_month_arrival": "d_da_year_month", "year_month_departure": "d_dd_year_month"},
+        measures={"immigrants": ENTRIES},
+        order_by=("year_month_arrival", "year_month_departure"),
     ),
     "stay_lengths": Question(
         "After how many days do they leave?",
-        ("f_i94_immigrations", "d_date_arrivals", "d_date_departures"),
-        f"""
-        SELECT datediff(f.f_i94_depdate_iso, f.f_i94_arrdate_iso) AS days_after_arrival,
-               count(f.f_i94_count) AS immigrants,
-               dense_rank() OVER (ORDER BY count(f.f_i94_count) DESC) AS immigrants_rank
-        FROM f_i94_immigrations f JOIN d_date_arrivals a ON a.d_da_id = f.d_da_id
-             JOIN d_date_departures d ON d.d_dd_id = f.d_dd_id
-        WHERE f.f_i94_depdate_iso <> DATE'{NO_DATE}'
-        GROUP BY days_after_arrival
-        """,
+        "f_i94_immigrations",
+        dims=(("d_date_arrivals", "d_da_id", "inner"), ("d_date_departures", "d_dd_id", "inner")),
+        derived={"days": lambda: F.datediff("f_i94_depdate_iso", "f_i94_arrdate_iso")},
+        only=lambda: F.col("f_i94_depdate_iso") != F.lit(NO_DATE).cast("date"),
+        group_by={"days_after_arrival": "days"},
+        measures={"immigrants": ENTRIES},
+        rank="immigrants_rank",
+        dense=True,
     ),
 }
 
@@ -275,8 +261,7 @@ def immigration_catalog(
     """All staging tables, dimensions and the fact, built on first use.
 
     Only the fact is partitioned, by year and month: a folder per dimension
-    member would be a folder per row. Staged arrivals are not stored again,
-    numbering them has already written them to the shared folder.
+    member would be a folder per row.
     """
     months = ("f_i94_year", "f_i94_month")
     return (
@@ -287,7 +272,6 @@ def immigration_catalog(
         .add(
             "st_i94_immigrations",
             lambda c: stage_immigrations(raw(), c.get("st_immigration_airports"), limits),
-            stored=False,
         )
         .add("d_immigration_countries", lambda c: build_countries(c.get("st_immigration_countries")))
         .add("d_immigration_airports", lambda c: build_airports(c.get("st_immigration_airports")))
