@@ -4,9 +4,8 @@ from .readers import (
     scan_json,
     scan_parquet,
     scan_text,
-    widen,
 )
-from .staging import dated_paths, ingest_slices, stage_dates, stage_json
+from .staging import dated_paths, ingest_slices, missing_paths, parse_json_path, stage_dates, stage_json
 from .tables import drop_table, ensure_table, register, save_table, truncate_table
 from .writers import write_csv, write_json, write_parquet, write_text
 
@@ -16,6 +15,8 @@ __all__ = [
     "ensure_table",
     "file_manifest",
     "ingest_slices",
+    "missing_paths",
+    "parse_json_path",
     "register",
     "save_table",
     "scan_csv",
@@ -25,7 +26,6 @@ __all__ = [
     "stage_dates",
     "stage_json",
     "truncate_table",
-    "widen",
     "write_csv",
     "write_json",
     "write_parquet",

@@ -16,13 +16,15 @@ def scan_json(
     schema: StructType | str | None = None,
     recursive: bool = False,
     with_file: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """JSON lines. With a schema no inference pass over the data is made.
 
     ``recursive`` walks all folders below ``path`` and takes ``*.json`` files.
-    ``with_file`` adds the source file as ``source_file``.
+    ``with_file`` adds the source file as ``source_file``. ``strict`` stops at a
+    line that is no JSON or does not fit the schema; otherwise it gives nulls.
     """
-    reader = spark.read
+    reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
     if recursive:
@@ -59,18 +61,6 @@ def scan_parquet(
     return df
 
 
-def widen(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan whose files give far fewer splits than there are cores.
-
-    A file with one row group is one split, however many cores are idle. The
-    rows are then hashed on ``keys`` (those of the next join) over all cores.
-    Inputs with enough splits, as any large one, are returned as they are, so
-    what is shuffled here is at most half a split per core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Path, size and time of every file below ``path``; file content is not read."""
     return (

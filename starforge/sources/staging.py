@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from ..session import path_exists
-from .readers import scan_json
-from .writers import write_parquet
+from .readers import scan_json, scan_text
+from .writers import write_parquet, write_text
 
 LOAD_MODES = ("truncate_load", "append_only")
 
@@ -21,6 +22,43 @@ def check_mode(mode: str) -> str:
     return mode
 
 
+# One step of a JSONPath: .name, [0], ['name'] or ["name"].
+_STEP = re.compile(r"""\.([A-Za-z_][\w]*)|\[\s*(\d+)\s*\]|\[\s*'((?:[^'\\]|\\.)*)'\s*\]|\[\s*"((?:[^"\\]|\\.)*)"\s*\]""")
+_BAD = "_bad_line"
+_ITEM = object()
+
+
+def parse_json_path(path: str) -> list[str | int]:
+    """Names and array positions of ``$.a.b``, ``$['a']["b"]``, ``$.a[0]``.
+
+    Anything else (wildcards, filters, a bare ``$``) raises ``ValueError``."""
+    if not path.startswith("$"):
+        raise ValueError(f"a JSON path starts with $: {path!r}")
+    steps: list[str | int] = []
+    at = 1
+    while at < len(path):
+        found = _STEP.match(path, at)
+        if not found:
+            raise ValueError(f"not supported in a JSON path: {path[at:]!r} of {path!r}")
+        name, position, single, double = found.groups()
+        quoted = single if single is not None else double
+        if position is not None:
+            steps.append(int(position))
+        else:
+            steps.append(name if name is not None else re.sub(r"\\(.)", r"\1", quoted))
+        at = found.end()
+    if not steps or isinstance(steps[0], int):
+        raise ValueError(f"a JSON path names a field first: {path!r}")
+    return steps
+
+
+def _path_column(steps: Sequence[str | int]) -> Column:
+    column = F.col("`" + str(steps[0]).replace("`", "``") + "`")
+    for step in steps[1:]:
+        column = F.get(column, step) if isinstance(step, int) else column.getField(step)
+    return column
+
+
 def stage_json(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -28,40 +66,70 @@ def stage_json(
     schema: StructType | str | None = None,
     mapping: Mapping[str, tuple[str, str]] | None = None,
     mode: str = "truncate_load",
+    bad_records: str | None = None,
 ) -> DataFrame:
     """Load JSON lines into a staging table and return its scan.
 
     Without ``mapping`` fields are taken by name from ``schema``. With it each
-    target column is ``name: (json path, type)``, the path in the form ``$.a.b``.
+    target column is ``name: (json path, type)``, see ``parse_json_path``.
+
+    A line that is no JSON, or whose values do not fit their types, stops the
+    load. With ``bad_records`` such lines are written there as text instead, and
+    all others are loaded.
     """
     check_mode(mode)
     if mapping is None:
-        staged = scan_json(spark, path, schema)
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        fields = None
     else:
-        nested = _schema_of([json_path for json_path, _ in mapping.values()])
-        rows = scan_json(spark, path, nested)
-        staged = rows.select(
-            *[F.col(p.removeprefix("$.")).try_cast(kind).alias(name) for name, (p, kind) in mapping.items()]
-        )
+        steps = {name: parse_json_path(json_path) for name, (json_path, _) in mapping.items()}
+        wanted = _schema_of(list(steps.values()))
+        fields = {name: (_path_column(steps[name]), kind) for name, (_, kind) in mapping.items()}
+    if bad_records is None:
+        rows = scan_json(spark, path, wanted, strict=True)
+        staged = rows if fields is None else rows.select(*[c.cast(k).alias(n) for n, (c, k) in fields.items()])
+    else:
+        lines = scan_text(spark, path).where(F.trim("value") != "")
+        if wanted is None:
+            raise ValueError("bad_records needs a schema or a mapping")
+        parsed = F.from_json("value", wanted.add(_BAD, "string"), {"columnNameOfCorruptRecord": _BAD})
+        rows = lines.select("value", parsed.alias("row"))
+        rows = rows.select("value", "row.*")
+        bad = F.col(_BAD).isNotNull()
+        for column, kind in (fields or {}).values():
+            bad = bad | (column.isNotNull() & column.try_cast(kind).isNull())
+        judged = rows.withColumn("_is_bad", bad)
+        write_text(judged.where("_is_bad").select("value"), bad_records, mode="overwrite")
+        good = judged.where("NOT _is_bad")
+        names = [f"`{f.name}`" for f in wanted.fields if f.name != _BAD]
+        staged = good.select(*names) if fields is None else good.select(*[c.try_cast(k).alias(n) for n, (c, k) in fields.items()])
     write_parquet(staged, target, mode="overwrite" if mode == "truncate_load" else "append")
     return spark.read.schema(staged.schema).parquet(target)
 
 
-def _schema_of(paths: Sequence[str]) -> StructType:
+def _schema_of(paths: Sequence[Sequence[str | int]]) -> StructType:
     """Nested schema with a text leaf per path, so that a line is parsed once."""
     tree: dict = {}
-    for path in paths:
+    for steps in paths:
         node = tree
-        *parents, leaf = path.removeprefix("$.").split(".")
-        for name in parents:
-            node = node.setdefault(name, {})
-        node[leaf] = node.get(leaf)
-
-    def build(node: dict) -> StructType:
-        return StructType(
-            [StructField(name, build(child) if child else StringType()) for name, child in node.items()]
-        )
-
+        for step in steps:
+            node = node.setdefault(_ITEM if isinstance(step, int) else step, {})
+
+    def build(node: dict) -> DataType:
+        if not node:
+            return StringType()
+        if _ITEM in node:
+            if len(node) > 1:
+                raise ValueError("a JSON value is taken both as an array and as an object")
+            return ArrayType(build(node[_ITEM]))
+        return StructType([StructField(name, build(child)) for name, child in node.items()])
+
+    for steps in paths:
+        node = tree
+        for step in steps:
+            node = node[_ITEM if isinstance(step, int) else step]
+        if node:
+            raise ValueError(f"the JSON value at {list(steps)} is taken both whole and in parts")
     return build(tree)
 
 
@@ -74,6 +142,10 @@ def dated_paths(template: str, first: dt.date, last: dt.date) -> list[str]:
     ]
 
 
+def missing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    return [p for p in paths if not path_exists(spark, p)]
+
+
 def stage_dates(
     spark: SparkSession,
     template: str,
@@ -82,13 +154,21 @@ def stage_dates(
     target: str,
     schema: StructType | str,
     mode: str = "append_only",
+    allow_missing: bool = False,
 ) -> DataFrame:
-    """Backfill: stage the dated paths that exist, as one multi-path scan."""
+    """Backfill: stage the dated paths as one multi-path scan.
+
+    Days without input raise before anything is loaded. ``allow_missing`` loads
+    the days that exist; ``missing_paths`` tells which those are not. Appending
+    the same days again doubles their rows, as any append does.
+    """
     check_mode(mode)
-    paths = [p for p in dated_paths(template, first, last) if path_exists(spark, p)]
-    if not paths:
-        raise FileNotFoundError(f"no input between {first} and {last} for {template}")
-    return stage_json(spark, paths, target, schema=schema, mode=mode)
+    paths = dated_paths(template, first, last)
+    missing = missing_paths(spark, paths)
+    if len(missing) == len(paths) or (missing and not allow_missing):
+        raise FileNotFoundError(f"{len(missing)} of {len(paths)} days have no input, the first: {missing[0]}")
+    gone = set(missing)
+    return stage_json(spark, [p for p in paths if p not in gone], target, schema=schema, mode=mode)
 
 
 def ingest_slices(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -21,7 +21,9 @@ def save_table(
     mode: str = "overwrite",
 ) -> DataFrame:
     """Save as a catalogue table; ``path`` makes it external."""
-    writer = df.write.mode(mode).format("parquet")
+    # As for plain writes: one file for a small partition, several tasks for a large one.
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    writer = out.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -41,4 +43,8 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"TRUNCATE TABLE {name}")
+    """Remove all rows; an external table, which TRUNCATE refuses, is overwritten with none."""
+    if spark.catalog.getTable(name).tableType == "EXTERNAL":
+        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+    else:
+        spark.sql(f"TRUNCATE TABLE {name}")

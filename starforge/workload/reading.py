@@ -80,6 +80,54 @@ def stage_json_paths(t):
     )
 
 
+@query(
+    "stage_json_bracket_paths",
+    """SELECT event_id, event_type AS page, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, value AS first
+       FROM events""",
+)
+def stage_json_bracket_paths(t):
+    """Bracket notation, a name with a dot, an array element."""
+    nested = t.events.select(
+        F.struct("event_id", F.col("event_type").alias("event.type")).alias("meta"),
+        F.from_json("props", "k int").alias("the props"),
+        F.array("value", F.col("event_id").cast("double")).alias("figures"),
+    )
+    path = sources.write_json(nested, t.scratch("json-brackets"))
+    return sources.stage_json(
+        t.spark,
+        path,
+        t.scratch("json-brackets-staged"),
+        mapping={
+            "event_id": ("$['meta'].event_id", "bigint"),
+            "page": ("$['meta'][\"event.type\"]", "string"),
+            "k": ("$['the props']['k']", "int"),
+            "first": ("$.figures[0]", "double"),
+        },
+    )
+
+
+@query(
+    "stage_json_bad_records",
+    """SELECT count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS staged,
+              count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS bad FROM events""",
+)
+def stage_json_bad_records(t):
+    """Broken lines and ill-typed values go to a folder of their own, the rest is loaded."""
+    line = F.to_json(F.struct("event_id", "event_type"))
+    broken = F.when(F.col("event_type") == "error", F.concat(F.lit("{"), line))
+    ill = F.concat(F.lit('{"event_id": "none", "event_type": "'), "event_type", F.lit('"}'))
+    lines = t.events.select(broken.when(F.col("event_type") == "signup", ill).otherwise(line).alias("value"))
+    path = sources.write_text(lines, t.scratch("bad-source"))
+    bad = t.scratch("bad-lines")
+    staged = sources.stage_json(
+        t.spark, path, t.scratch("bad-staged"), schema="event_id long, event_type string", bad_records=bad
+    )
+    count = F.count(F.lit(1))
+    return staged.agg(count.alias("staged")).withColumn("one", F.lit(1)).join(
+        sources.scan_text(t.spark, bad).agg(count.alias("bad")).withColumn("one", F.lit(1)), "one"
+    ).drop("one")
+
+
 @query("scan_csv", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def scan_csv(t):
     path = sources.write_csv(t.part, t.scratch("scan-csv"))
@@ -174,10 +222,16 @@ def stage_date_range(t):
     return staged.withColumn("ts", epoch_ms_to_ts("ts"))
 
 
-@query("file_manifest")
+@query(
+    "file_manifest",
+    "SELECT DISTINCT 'year=' || year(o_orderdate) AS folder, true AS has_files FROM orders",
+)
 def file_manifest(t):
+    """The folders of the files that a partitioned write left."""
     path = sources.write_parquet(_orders_by_month(t), t.scratch("manifest"), ["year"])
-    return sources.file_manifest(t.spark, path, "*.parquet")
+    files = sources.file_manifest(t.spark, path, "*.parquet")
+    folder = F.regexp_extract("path", "/(year=[0-9]+)/[^/]+$", 1).alias("folder")
+    return files.groupBy(folder).agg((F.sum("length") > 0).alias("has_files"))
 
 
 @query(
@@ -191,12 +245,16 @@ def save_table_roundtrip(t):
 
 @query("table_lifecycle", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'")
 def table_lifecycle(t):
-    """Create when missing, insert, insert with overwrite."""
+    """Create when missing, insert, truncate, insert again, insert with overwrite."""
     rows = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     slim = rows.drop("c_mktsegment")
     sources.drop_table(t.spark, "lifecycle_customer")
     sources.ensure_table(t.spark, "lifecycle_customer", slim.schema, t.scratch("lifecycle"))
     slim.write.insertInto("lifecycle_customer")
+    sources.truncate_table(t.spark, "lifecycle_customer")
+    if t.spark.table("lifecycle_customer").limit(1).count():
+        raise RuntimeError("rows are left after TRUNCATE")
+    slim.write.insertInto("lifecycle_customer")
     sources.ensure_table(t.spark, "lifecycle_customer", slim.schema)
     rows.where(F.col("c_mktsegment") != "BUILDING").drop("c_mktsegment").write.insertInto(
         "lifecycle_customer", overwrite=True

@@ -69,9 +69,11 @@ def test_write_parquet_puts_a_partition_into_one_file(spark, tmp_path):
 
 def test_stage_json_modes_and_mapping(spark, tmp_path, rows):
     (tmp_path / "e.json").write_text('{"user": {"id": "7"}, "n": "x"}\n')
-    mapping = {"user_id": ("$.user.id", "int"), "n": ("$.n", "int"), "gone": ("$.user.at.x", "string")}
+    mapping = {"user_id": ("$.user.id", "int"), "n": ("$.n", "string"), "gone": ("$.user.at.x", "string")}
     target = str(tmp_path / "staged")
-    assert rows(sources.stage_json(spark, str(tmp_path / "e.json"), target, mapping=mapping)) == [(7, None, None)]
+    assert rows(sources.stage_json(spark, str(tmp_path / "e.json"), target, mapping=mapping)) == [(7, "x", None)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sources.stage_json(spark, str(tmp_path / "e.json"), str(tmp_path / "other"), mapping={"n": ("$.n", "int")})
     appended = sources.stage_json(spark, str(tmp_path / "e.json"), target, mapping=mapping, mode="append_only")
     assert appended.count() == 2
     with pytest.raises(ValueError):
@@ -82,7 +84,11 @@ def test_stage_dates_takes_existing_days(spark, tmp_path, rows):
     for day in ("2018-11-01", "2018-11-03"):
         (tmp_path / f"{day}-events.json").write_text('{"d": "%s"}\n' % day)
     template = str(tmp_path / "{date:%Y}-{date:%m}-{date:%d}-events.json")
-    staged = sources.stage_dates(spark, template, dt.date(2018, 11, 1), dt.date(2018, 11, 30), str(tmp_path / "s"), "d string")
+    days = (dt.date(2018, 11, 1), dt.date(2018, 11, 30))
+    with pytest.raises(FileNotFoundError, match="28 of 30"):
+        sources.stage_dates(spark, template, *days, str(tmp_path / "s"), "d string")
+    assert len(sources.missing_paths(spark, sources.dated_paths(template, *days))) == 28
+    staged = sources.stage_dates(spark, template, *days, str(tmp_path / "s"), "d string", allow_missing=True)
     assert rows(staged) == [("2018-11-01",), ("2018-11-03",)]
     with pytest.raises(FileNotFoundError):
         sources.stage_dates(spark, template, dt.date(2019, 1, 1), dt.date(2019, 1, 2), str(tmp_path / "s"), "d string")
@@ -140,9 +146,28 @@ def test_shared_folder_is_the_configured_one(spark, tmp_path, monkeypatch):
     assert not path_exists(spark, path)
 
 
-def test_widen_spreads_only_inputs_with_few_splits(spark, tmp_path):
-    one_file = sources.write_parquet(spark.range(1000).coalesce(1), str(tmp_path / "one"))
-    narrow = spark.read.parquet(one_file)
-    assert sources.widen(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(1000, numPartitions=16)
-    assert sources.widen(wide, "id") is wide
+def test_json_paths():
+    assert sources.parse_json_path("$.a['b c'][\"d.e\"][2].f") == ["a", "b c", "d.e", 2, "f"]
+    for bad in ("a.b", "$", "$.*", "$..a", "$.a[*]", "$[0].a", "$.a[?(@.b)]", "$.a.", "$.a b"):
+        with pytest.raises(ValueError):
+            sources.parse_json_path(bad)
+
+
+def test_json_paths_that_contradict_each_other(spark, tmp_path):
+    (tmp_path / "e.json").write_text('{"a": {"b": 1}}\n')
+    for paths in (("$.a", "$.a.b"), ("$.a.b", "$.a"), ("$.a[0]", "$.a.b")):
+        mapping = {f"c{i}": (p, "string") for i, p in enumerate(paths)}
+        with pytest.raises(ValueError):
+            sources.stage_json(spark, str(tmp_path / "e.json"), str(tmp_path / "s"), mapping=mapping)
+
+
+def test_bad_lines_stop_the_load_or_are_kept_apart(spark, tmp_path, rows):
+    (tmp_path / "e.json").write_text('{"a": 1, "b": "x"}\n{"a": \n{"a": "one", "b": "y"}\n\n')
+    source, target, bad = str(tmp_path / "e.json"), str(tmp_path / "s"), str(tmp_path / "bad")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        sources.stage_json(spark, source, target, schema="a int, b string")
+    assert rows(sources.stage_json(spark, source, target, schema="a int, b string", bad_records=bad)) == [(1, "x")]
+    assert rows(sources.scan_text(spark, bad)) == [('{"a": "one", "b": "y"}',), ('{"a": ',)]
+    mapping = {"a": ("$.a", "int"), "b": ("$['b']", "string")}
+    assert rows(sources.stage_json(spark, source, target, mapping=mapping, bad_records=bad)) == [(1, "x")]
+    assert sources.scan_text(spark, bad).count() == 2
