@@ -1,7 +1,8 @@
 """Table loads on plain Parquet: truncate, append, insert-ignore, append-new, upsert.
 
-Every load may be repeated after a failure: append loads compare natural keys
-with what the target already holds, replacing loads rewrite whole partitions.
+A load that failed may be repeated: ``append_new``, ``insert_ignore`` and ``upsert``
+compare keys with what the target already holds, ``truncate_load`` replaces it.
+``append_only`` adds its rows once more each time it is run.
 """
 
 from __future__ import annotations
@@ -114,48 +115,94 @@ def key_bucket(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
+def _versions(spark: SparkSession, target: str) -> tuple[int, dict[int, int]]:
+    """The number of the last published state, and the version of each folder in
+    it (one entry per folder). A state is published by the success marker of its
+    listing, written last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_states")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0, {}
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    for n in sorted((int(x) for x in names if x.isdigit()), reverse=True):
+        if path_exists(spark, f"{target}/_states/{n}/_SUCCESS"):
+            rows = spark.read.schema("folder int, version int").json(f"{target}/_states/{n}").collect()
+            return n, {r["folder"]: r["version"] for r in rows}
+    return 0, {}
+
+
+def read_upserted(spark: SparkSession, target: str, folders: Sequence[int] | None = None) -> DataFrame | None:
+    """The rows of a table kept by ``upsert``, as of the last published state;
+    None before the first one. ``folders`` reads only those."""
+    _, versions = _versions(spark, target)
+    wanted = sorted(versions if folders is None else set(folders) & set(versions))
+    if not wanted:
+        return None
+    paths = [f"{target}/version={versions[f]}/{BUCKET}={f}" for f in wanted]
+    return spark.read.option("basePath", target).parquet(*paths).drop("version")
+
+
 def upsert(
     target: str,
     batch: DataFrame,
     key: Sequence[str],
     order_by: Sequence[str | Column],
-    buckets: int = 16,
+    buckets: int,
     counted: bool = True,
 ) -> LoadStats:
     """Insert new keys and replace known ones; the row that is last in order wins.
 
-    The table is laid out in hash folders of the key. Only the folders the batch
-    touches are read and rewritten (dynamic partition overwrite). An older row
-    that arrives late does not replace a newer one; on equal order the batch wins.
-    A folder is one task's work: choose ``buckets`` so that a folder fits in one
-    file, and keep the number for the life of the table.
+    The table is laid out in ``buckets`` hash folders of the key, a number that
+    stays for the life of the table. Only the folders that the batch touches are
+    read, merged by (folder, key) over all tasks, and written beside the old
+    ones under a new version; a listing of the folders' versions publishes them.
+    What is read is never overwritten, and a load that died leaves the last
+    state as it was. One writer at a time. An older row that arrives late does
+    not replace a newer one; on equal order the batch wins. Read the table with
+    ``read_upserted``; ``drop_superseded`` frees what no reader needs any more.
     """
     spark = batch.sparkSession
     # Reduce the batch first: a key sent a million times becomes one row here.
     newest = latest_by(batch, key, order_by).select(*batch.columns)
-    newest = newest.withColumn(BUCKET, key_bucket(key, buckets))
-    before = row_count(spark, target) if counted else None
-    if path_exists(spark, target):
-        newest = materialise(newest, "upsert-batch")
-        stored = spark.read.schema(newest.schema).parquet(target)
-        # At most `buckets` values.
-        touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]
-        old = stored.where(F.col(BUCKET).isin(touched))
-        both = old.withColumn("_new", F.lit(0)).unionByName(newest.withColumn("_new", F.lit(1)))
+    newest = materialise(newest.withColumn(BUCKET, key_bucket(key, buckets)), "upsert-batch")
+    state, versions = _versions(spark, target)
+    known = read_upserted(spark, target)
+    before = (0 if known is None else known.count()) if counted else None
+    # At most `buckets` values.
+    touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]
+    old = read_upserted(spark, target, touched)
+    merged = newest
+    if old is not None:
+        both = old.select(*newest.columns).withColumn("_new", F.lit(0)).unionByName(newest.withColumn("_new", F.lit(1)))
         order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-        # One shuffle serves the merge and the layout: rows partitioned by folder are
-        # also partitioned by (folder, key). Keys are unique per side, so folders are even.
-        merged = latest_by(both.repartition(F.col(BUCKET)), [BUCKET, *key], [*order, F.col("_new")])
-        merged = merged.drop("_new").select(*newest.columns)
-    else:
-        merged = newest.hint("rebalance", F.col(BUCKET))
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(target)
-    )
-    return _stats(spark, target, before)
+        merged = latest_by(both, [BUCKET, *key], [*order, F.col("_new")]).select(*newest.columns)
+    if touched:
+        write_parquet(merged, f"{target}/version={state + 1}", [BUCKET])
+        rows = {**versions, **{f: state + 1 for f in touched}}
+        listing = spark.createDataFrame(sorted(rows.items()), "folder int, version int")
+        listing.coalesce(1).write.mode("overwrite").json(f"{target}/_states/{state + 1}")
+    if before is None:
+        return LoadStats(None, None, None)
+    after = read_upserted(spark, target)
+    n = 0 if after is None else after.count()
+    return LoadStats(before, n, n - before)
+
+
+def drop_superseded(spark: SparkSession, target: str) -> list[str]:
+    """Delete the folders that the last state does not list; for when no reader is at work."""
+    _, versions = _versions(spark, target)
+    kept = {f"version={v}/{BUCKET}={f}" for f, v in versions.items()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    for version in fs.listStatus(root):
+        if version.getPath().getName().startswith("version="):
+            for folder in fs.listStatus(version.getPath()):
+                name = f"{version.getPath().getName()}/{folder.getPath().getName()}"
+                if folder.isDirectory() and name not in kept:
+                    fs.delete(folder.getPath(), True)
+                    dropped.append(name)
+    return sorted(dropped)
 
 
 def stats_frame(spark: SparkSession, stats: Mapping[str, LoadStats]) -> DataFrame:

@@ -76,7 +76,7 @@ def stream_upsert(
     key: Sequence[str],
     order_by: Sequence[str | Column],
     checkpoint: str,
-    buckets: int = 16,
+    buckets: int,
 ) -> StreamingQuery:
     """Keep the latest row per key. Ordered by event time, so neither the order
     of micro-batches nor a repeated one changes the outcome."""

@@ -54,18 +54,19 @@ def upsert_last_wins(t):
     target = t.scratch("upsert")
     rows = t.events.select("user_id", "event_type", "value", "ts", "event_id")
     for kinds in (["purchase", "view"], ["click", "error"], ["signup"]):
-        load.upsert(target, rows.where(F.col("event_type").isin(kinds)), ["user_id"], ["ts", "event_id"], counted=False)
-    return t.spark.read.parquet(target).drop(load.BUCKET, "event_id")
+        batch = rows.where(F.col("event_type").isin(kinds))
+        load.upsert(target, batch, ["user_id"], ["ts", "event_id"], buckets=32, counted=False)
+    return load.read_upserted(t.spark, target).drop(load.BUCKET, "event_id")
 
 
 @query(
     "append_new_facts",
-    "SELECT event_id, user_id, event_type, ts, CAST(day(ts) AS INTEGER) AS day FROM events",
+    "SELECT event_id, user_id, event_type, ts, CAST(ts AS DATE) AS day FROM events",
 )
 def append_new_facts(t):
     """Overlapping batches: rows that were loaded before are not loaded again."""
     target = t.scratch("append-new")
-    rows = t.events.select("event_id", "user_id", "event_type", "ts", F.dayofmonth("ts").alias("day"))
+    rows = t.events.select("event_id", "user_id", "event_type", "ts", F.to_date("ts").alias("day"))
     first = rows.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     later = rows.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
     for batch in (first, later, later):
@@ -123,9 +124,7 @@ SELECT step, CAST(0 AS BIGINT) AS before, n AS after, n AS inserted FROM (
 
 
 def _loaded_star(t):
-    return t.shared(
-        "songplay-star", lambda: load_songplay_star(event_log(t), catalogue(t), t.scratch("songplay-star"))
-    )
+    return load_songplay_star(event_log(t), catalogue(t), t.scratch("songplay-star"))
 
 
 @query("staged_star_load", STAR_LOAD_SQL)
@@ -143,6 +142,6 @@ def staged_star_load(t):
     + " WHERE step NOT LIKE 'staging%'",
 )
 def staged_star_report(t):
-    """The quality report of the loaded tables; computed anew, on the same load."""
+    """The quality report of a load of its own."""
     _, report = _loaded_star(t)
     return report

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_ms_to_ts
-from ..operators.load import BUCKET
+from ..operators.load import BUCKET, read_upserted
 from ..streaming.jobs import file_stream, stream_append_new, stream_stage, stream_upsert
 from .reading import LOG_SCHEMA, LOG_SQL, _raw_events
 from .registry import query
@@ -20,7 +20,7 @@ def _daily_files(t, events):
 
 
 def _stream(t, root):
-    return file_stream(t.spark, root, LOG_SCHEMA, files_per_trigger=10).withColumn("ts", epoch_ms_to_ts("ts"))
+    return file_stream(t.spark, root, LOG_SCHEMA).withColumn("ts", epoch_ms_to_ts("ts"))
 
 
 @query("stream_stage", LOG_SQL)
@@ -53,5 +53,5 @@ def stream_append_new_events(t):
 def stream_upsert_latest(t):
     root, target = _daily_files(t, _raw_events(t)), t.scratch("profiles")
     stream = _stream(t, root).select("user_id", "event_type", "value", "ts", "event_id")
-    stream_upsert(stream, target, ["user_id"], ["ts", "event_id"], t.scratch("upsert-state"))
-    return t.spark.read.parquet(target).drop(BUCKET, "event_id")
+    stream_upsert(stream, target, ["user_id"], ["ts", "event_id"], t.scratch("upsert-state"), buckets=32)
+    return read_upserted(t.spark, target).drop(BUCKET, "event_id")

@@ -60,21 +60,39 @@ def test_upsert_last_wins_in_any_batch_order(spark, target, rows):
     equal = users(spark, (1, 5, "batch"))
     load.upsert(target, equal, ["id"], ["ts"], buckets=4)
     assert load.upsert(target, equal, ["id"], ["ts"], buckets=4).inserted == 0
-    got = rows(spark.read.parquet(target), "id", "ts", "level")
+    got = rows(load.read_upserted(spark, target), "id", "ts", "level")
     assert got == [(1, 5, "batch"), (2, 2, "paid"), (3, 1, "new")]
 
 
 def test_upsert_leaves_untouched_folders_alone(spark, target):
     load.upsert(target, users(spark, *[(i, 1, "a") for i in range(200)]), ["id"], ["ts"], buckets=8)
     files = lambda: {
-        r.p: r.b for r in spark.read.parquet(target).select(
+        r.p: r.b for r in load.read_upserted(spark, target).select(
             F.col("_metadata.file_path").alias("p"), load.BUCKET).withColumnRenamed(load.BUCKET, "b").distinct().collect()
     }
     before = files()
     load.upsert(target, users(spark, (7, 2, "b")), ["id"], ["ts"], buckets=8)
     after = files()
     kept = [p for p in before if p in after]
-    assert len({after[p] for p in kept}) == 7 and spark.read.parquet(target).count() == 200
+    assert len({after[p] for p in kept}) == 7 and load.read_upserted(spark, target).count() == 200
+    assert len(load.drop_superseded(spark, target)) == 1 and load.read_upserted(spark, target).count() == 200
+
+
+def test_upsert_that_died_leaves_the_last_state(spark, target, rows, monkeypatch):
+    load.upsert(target, users(spark, (1, 1, "a"), (2, 1, "b")), ["id"], ["ts"], buckets=2)
+    write = load.write_parquet
+
+    def dies(df, path, *args, **kwargs):
+        write(df, path, *args, **kwargs)
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(load, "write_parquet", dies)
+    with pytest.raises(OSError):
+        load.upsert(target, users(spark, (1, 2, "x"), (3, 1, "c")), ["id"], ["ts"], buckets=2)
+    assert rows(load.read_upserted(spark, target), "id", "ts", "level") == [(1, 1, "a"), (2, 1, "b")]
+    monkeypatch.setattr(load, "write_parquet", write)
+    assert load.upsert(target, users(spark, (1, 2, "x"), (3, 1, "c")), ["id"], ["ts"], buckets=2).inserted == 1
+    assert rows(load.read_upserted(spark, target), "id", "level") == [(1, "x"), (2, "b"), (3, "c")]
 
 
 def test_uncounted_loads_return_no_numbers(spark, target):

@@ -1,4 +1,4 @@
-from starforge.operators.load import BUCKET
+from starforge.operators.load import BUCKET, read_upserted
 from starforge.streaming import stream_append_new, stream_stage, stream_upsert
 from starforge.streaming.jobs import file_stream
 
@@ -41,4 +41,4 @@ def test_upsert_is_ordered_by_event_time(spark, tmp_path, rows):
     stream_upsert(
         file_stream(spark, str(src), SCHEMA, files_per_trigger=1), target, ["user"], ["ts"], str(tmp_path / "state"), buckets=4
     )
-    assert rows(spark.read.parquet(target).drop(BUCKET)) == [("a", 5, "paid"), ("b", 2, "paid")]
+    assert rows(read_upserted(spark, target).drop(BUCKET)) == [("a", 5, "paid"), ("b", 2, "paid")]
