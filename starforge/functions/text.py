@@ -19,13 +19,23 @@ def lenient_int(col: Column | str) -> Column:
     return _c(col).try_cast("int")
 
 
-def hash_id(*cols: Column | str, sep: str = "|") -> Column:
-    """Repeatable surrogate id: md5 of the separated values.
+def hash_id(*cols: Column | str) -> Column:
+    """Repeatable surrogate id: md5 of the values, each after its length.
 
-    Needs no shuffle and gives the same id on every load. Timestamps are written
-    with microseconds, so the id does not depend on a display format.
+    Needs no shuffle and gives the same id on every load. The lengths keep
+    ``('a|b', 'c')`` and ``('a', 'b|c')`` apart; null is ``-``, which no value
+    gives. The text of a timestamp depends on the session's time zone, so
+    timestamps are refused: pass ``F.unix_micros(column)``.
     """
-    return F.md5(F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]))
+    return F.md5(F.concat(*[_sized(_c(c)) for c in cols]))
+
+
+def _sized(col: Column) -> Column:
+    text = col.cast("string")
+    zoned = F.typeof(col) == "timestamp"
+    refused = F.raise_error(F.lit("hash_id: pass unix_micros() of a timestamp")).cast("string")
+    sized = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+    return F.when(zoned, refused).otherwise(F.coalesce(sized, F.lit("-")))
 
 
 def row_json(*cols: Column | str) -> Column:
@@ -39,7 +49,10 @@ def extract_columns(
     columns: Mapping[str, tuple[int, str]],
     keep_unmatched: bool = False,
 ) -> DataFrame:
-    """Split a text column into typed columns, one per regex group."""
+    """Split a text column into typed columns, one per regex group.
+
+    Lines that miss the pattern are left out, see ``unmatched``.
+    """
     matched = df if keep_unmatched else df.where(F.col(source).rlike(pattern))
     return matched.select(
         *[
@@ -49,6 +62,11 @@ def extract_columns(
     )
 
 
+def unmatched(df: DataFrame, source: str, pattern: str) -> DataFrame:
+    """The lines that ``extract_columns`` leaves out, null ones too; count them to see what is lost."""
+    return df.where(~F.coalesce(F.col(source).rlike(pattern), F.lit(False)))
+
+
 def rewrite(df: DataFrame, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
     """Apply ordered (column, pattern, replacement) rules in one projection."""
     current: dict[str, Column] = {}

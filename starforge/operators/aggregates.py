@@ -113,5 +113,9 @@ def describe(df: DataFrame, digits: int = 4) -> DataFrame:
     return one_row.select(F.inline(stats))
 
 
-def value_frequencies(df: DataFrame, column: str, name: str = "entries") -> DataFrame:
-    return group_count(df, [column], name)
+def value_frequencies(df: DataFrame, column: str, name: str = "entries", by: str = "value") -> DataFrame:
+    """Values with their number of rows, by value or the most frequent first."""
+    if by not in ("value", "entries"):
+        raise ValueError(f"by must be 'value' or 'entries', got {by!r}")
+    order = [F.col(column)] if by == "value" else [F.col(name).desc(), F.col(column)]
+    return group_count(df, [column], name).orderBy(*order)

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 Normalise = Callable[[Column], Column]
+NULL_SPREAD = 4096
 
 
 def first_per_key(
@@ -102,10 +103,15 @@ def lookup_join(
     slim = slim.select(*key_names, *taken) if unique else first_per_key(slim, key_names, list(order.values()), taken)
 
     keyed = fact.withColumns({k: norm(f, F.col(f)) for k, f in zip(key_names, on)})
+    # Rows with a null key match nothing; a second key spreads them over all tasks.
+    some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key_names])
+    nowhere = F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SPREAD)).cast("int")
+    keyed = keyed.withColumn("_spot", F.when(some_null, nowhere).otherwise(F.lit(0)))
+    slim = slim.withColumn("_spot", F.lit(0))
     if salts:
         keyed, slim, join_on = _salted(keyed, slim, key_names, salts, hot_share)
     else:
-        join_on = key_names
+        join_on = [*key_names, "_spot"]
     joined = keyed.join(slim, join_on, "left").withColumnsRenamed(
         {f"_t_{new}": new for new in take}
     )
@@ -114,7 +120,7 @@ def lookup_join(
 
 def _salted(keyed: DataFrame, slim: DataFrame, keys: list[str], salts: int, share: float):
     """Split the rows of hot keys over ``salts`` buckets and copy their dim rows to each."""
-    hot = hot_keys(keyed.select(*keys), keys, share).withColumn("_hot", F.lit(True))
+    hot = hot_keys(keyed.select(*keys).dropna(), keys, share).withColumn("_hot", F.lit(True))
     marked = hot.withColumnsRenamed({k: f"{k}_h" for k in keys})
     pairs = [(k, f"{k}_h") for k in keys]
     helper = [f"{k}_h" for k in keys]
@@ -132,7 +138,7 @@ def _salted(keyed: DataFrame, slim: DataFrame, keys: list[str], salts: int, shar
         .withColumn("_salt", F.explode(copies))
         .drop("_hot", *helper)
     )
-    return left, right, [*keys, "_salt"]
+    return left, right, [*keys, "_spot", "_salt"]
 
 
 def enrich(

@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.readers import scan_csv
+from ..sources.writers import write_csv
+
 NOT_SET = "not set"
 
 
@@ -16,7 +19,7 @@ def data_dictionary(
     column_descriptions: Mapping[tuple[str, str], str] | None = None,
     with_entries: bool = False,
 ) -> DataFrame:
-    """One row per column: position, type and descriptions.
+    """One row per column: position, type, nullability and descriptions.
 
     Missing descriptions read "not set". Without ``with_entries`` only schemas
     are looked at; with it the row count and the non-null entries of every
@@ -38,9 +41,15 @@ def data_dictionary(
                 F.lit(f.name).alias("column_name"),
                 F.lit(column_text.get((table, f.name), NOT_SET)).alias("column_description"),
                 F.lit(f.dataType.simpleString()).alias("column_type"),
+                F.lit(f.nullable).alias("column_nullable"),
                 *([F.col("_rows").alias("table_entries"), F.col(f.name).alias("column_entries")] if with_entries else []),
             )
             for i, f in enumerate(df.schema.fields, start=1)
         ]
         parts.append(source.select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, parts)
+
+
+def export_dictionary(rows: DataFrame, path: str) -> DataFrame:
+    """Write the dictionary as CSV with all fields quoted, and return its scan."""
+    return scan_csv(rows.sparkSession, write_csv(rows, path, quote_all=True), rows.schema)

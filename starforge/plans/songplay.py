@@ -118,7 +118,7 @@ def build_songplays(
         order_by=["song_id", "artist_id"], normalise=rules, salts=salts,
     )
     return found.select(
-        hash_id("sessionId", "start_time", "userId", "itemInSession").alias("songplay_id"),
+        hash_id("sessionId", F.unix_micros("start_time"), "userId", "itemInSession").alias("songplay_id"),
         F.col("userId").alias("user_id"),
         "song_id",
         "artist_id",
@@ -135,13 +135,13 @@ def build_songplays(
 def level_popularity(fact: DataFrame) -> DataFrame:
     """Plays per business model, ranked. The levels are a fixed short list."""
     groups = group_count(fact.select(F.col("level").alias("business_model")), ["business_model"], "ordered")
-    return rank_bounded(groups, "ordered", "rank_number")
+    return rank_bounded(groups, "ordered", "rank_number").orderBy("rank_number", "business_model")
 
 
 def users_by_location(fact: DataFrame) -> DataFrame:
     return group_count(
         fact.select(F.col("location").alias("user_location")), ["user_location"], "users_amount"
-    )
+    ).orderBy(F.col("users_amount").desc(), "user_location")
 
 
 def most_played(fact: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
@@ -154,4 +154,4 @@ def most_played(fact: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFr
         ],
         {"artist_name": "artist_name", "song_title": "song_title", "song_year": "song_year"},
         {"song_played_how_often": ("count", "user_id")},
-    )
+    ).orderBy(F.col("song_played_how_often").desc(), "artist_name", "song_title", "song_year")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,8 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing a temporary folder is used in local mode only:
-    on a cluster a machine-local folder would not be visible to the executors.
+    Where the setting is missing it must be named first: a machine-local folder
+    would not be visible to the executors of a cluster.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -39,10 +40,15 @@ def shared_dir(spark: SparkSession) -> str:
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starforge-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def name_shared_dir(spark: SparkSession) -> None:
+    """For the outermost caller: where no shared folder is named and all executors
+    run in this process, name a temporary one. On a cluster nothing is done."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starforge-"))
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -8,6 +8,7 @@ from ..functions import dates, predicates, register_functions, text
 from ..operators import projection
 from ..operators.calendar import date_series_of
 from ..sources import register
+from ..plans.query_tables import LookupTable
 from .registry import query
 
 
@@ -86,9 +87,11 @@ def null_or_empty_count(t):
        WHERE c_nationkey = 7 AND c_mktsegment = 'BUILDING'""",
 )
 def point_lookup(t):
-    return projection.lookup(t.customer, c_nationkey=7, c_mktsegment="BUILDING").select(
-        "c_custkey", "c_name", "c_acctbal"
-    )
+    """From a table stored by the key: one folder is read."""
+    stored = LookupTable(t.scratch("customers-by-place"), ("c_nationkey", "c_mktsegment"), ("c_custkey",))
+    stored.store(t.customer)
+    found = stored.get(t.spark, c_nationkey=7, c_mktsegment="BUILDING")
+    return found.select("c_custkey", "c_name", "c_acctbal")
 
 
 @query(

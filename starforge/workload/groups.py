@@ -168,6 +168,14 @@ def value_frequencies(t):
     return aggregates.value_frequencies(t.events, "value")
 
 
+@query(
+    "value_frequencies_top",
+    "SELECT event_type, count(*) AS entries FROM events GROUP BY event_type",
+)
+def value_frequencies_top(t):
+    return aggregates.value_frequencies(t.events, "event_type", by="entries")
+
+
 @query(
     "dense_row_id",
     """SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_id, o_orderkey, o_orderdate
@@ -181,7 +189,8 @@ def dense_row_id(t):
 
 @query(
     "hash_id_md5",
-    """SELECT event_id, md5(user_id || '|' || event_id || '|' || event_type) AS hash_id FROM events""",
+    """SELECT event_id, md5(len(CAST(user_id AS VARCHAR)) || ':' || user_id || len(CAST(event_id AS VARCHAR)) || ':' || event_id
+                              || len(event_type) || ':' || event_type) AS hash_id FROM events""",
 )
 def hash_id_md5(t):
     return t.events.select("event_id", hash_id("user_id", "event_id", "event_type").alias("hash_id"))
@@ -236,7 +245,7 @@ def dense_rank_over_agg(t):
 def rank_many_groups(t):
     """Ranks without a single-task window, as for groups that grow with the data."""
     groups = aggregates.group_count(t.orders, ["o_custkey"])
-    return ranking.rank_groups(groups, "entries", "order_rank", window_rows=0)
+    return ranking.rank_groups(groups, "entries", "order_rank")
 
 
 @query(
@@ -326,9 +335,9 @@ def dq_report(t):
               CASE WHEN count(*) = 0 THEN 'OK' ELSE 'NOK' END
        FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
        UNION ALL
-       SELECT 'line items', CAST(count(*) AS VARCHAR), '60000',
-              CASE WHEN count(*) = 60000 THEN 'OK' ELSE 'NOK' END
-       FROM lineitem""",
+       SELECT 'line items without an order', CAST(count(*) AS VARCHAR), '0',
+              CASE WHEN count(*) = 0 THEN 'OK' ELSE 'NOK' END
+       FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
 )
 def dq_expect_sql(t):
     for name in ("orders", "lineitem"):
@@ -342,7 +351,11 @@ def dq_expect_sql(t):
                 "SELECT count(DISTINCT o_orderstatus) FROM dq_orders WHERE o_orderstatus NOT IN ('F', 'O')",
                 0,
             ),
-            ("line items", "SELECT count(*) FROM dq_lineitem", 60000),
+            (
+                "line items without an order",
+                "SELECT count(*) FROM dq_lineitem l LEFT ANTI JOIN dq_orders o ON l.l_orderkey = o.o_orderkey",
+                0,
+            ),
         ],
         strict=False,
     )

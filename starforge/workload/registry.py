@@ -14,9 +14,6 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-_SHARED: dict[tuple[str, str, str], object] = {}
-
-
 class Tables:
     """Attribute access to the Parquet tables of one folder."""
 
@@ -30,14 +27,6 @@ class Tables:
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
-    def shared(self, name: str, build: Callable[[], object]):
-        """Something built once per application and folder, such as a loaded star
-        that several reports read."""
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _SHARED:
-            _SHARED[key] = build()
-        return _SHARED[key]
-
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables)`` under ``name`` with its SQL counterpart."""

@@ -197,11 +197,7 @@ QUESTION_SQL = {
 
 
 def _catalog(t):
-    """The immigration star; the first question builds it, the others read it."""
-    return t.shared("immigration-star", lambda: _new_catalog(t))
-
-
-def _new_catalog(t):
+    """A new immigration star: what a question needs of it is built for it."""
     return immigration.immigration_catalog(
         t.spark,
         t.scratch("immigration"),

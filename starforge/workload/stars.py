@@ -58,14 +58,17 @@ def dim_user_latest(t):
 
 @query(
     "dim_user_tuples",
-    f"""WITH {EVENT_LOG_SQL}
+    f"""WITH {SONGPLAYS_SQL}
         SELECT DISTINCT userId AS user_id, firstName AS first_name, lastName AS last_name, gender, level
-        FROM event_log WHERE page = 'NextSong'""",
+        FROM event_log WHERE page = 'NextSong' AND userId IN (
+          SELECT user_id FROM songplays WHERE song_id IS NOT NULL AND year = 1998 AND month = 1)""",
 )
 def dim_user_tuples(t):
+    """The users that one month's plays of known songs refer to."""
     log = materialise(event_log(t), "event-log")
-    fact = log.where(F.col("page") == "NextSong").select(F.col("userId").alias("user_id"))
-    return songplay.build_user_tuples(log, fact)
+    plays = songplay.build_songplays(log, catalogue(t))
+    month = (F.col("year") == 1998) & (F.col("month") == 1)
+    return songplay.build_user_tuples(log, plays.where(F.col("song_id").isNotNull() & month))
 
 
 @query(
@@ -87,7 +90,7 @@ def fact_songplays(t):
 
 @query(
     "fact_events",
-    """SELECT md5(event_id || '|' || user_id) AS fact_id, event_id, user_id, c_nationkey AS nation_id,
+    """SELECT md5(len(CAST(event_id AS VARCHAR)) || ':' || event_id || len(CAST(user_id AS VARCHAR)) || ':' || user_id) AS fact_id, event_id, user_id, c_nationkey AS nation_id,
               c_mktsegment AS segment, ts AS start_time, CAST(year(ts) AS INTEGER) AS year,
               CAST(month(ts) AS INTEGER) AS month
        FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'""",
@@ -208,6 +211,12 @@ def fact_with_validated_fk(t):
     )
 
 
+def _stored(t, name, build):
+    """The table written by its key and read back."""
+    rows = build(event_log(t).where(F.col("artist").isNotNull()))
+    return query_tables.lookup_table(name, t.scratch(name)).store(rows)
+
+
 @query(
     "q_item_by_key",
     f"""WITH {EVENT_LOG_SQL}
@@ -216,7 +225,7 @@ def fact_with_validated_fk(t):
         ORDER BY sessionId, itemInSession, ts DESC, artist DESC, song DESC""",
 )
 def q_item_by_key(t):
-    return query_tables.item_by_session(event_log(t).where(F.col("artist").isNotNull()))
+    return _stored(t, "item_by_session", query_tables.item_by_session)
 
 
 @query(
@@ -228,7 +237,7 @@ def q_item_by_key(t):
         ORDER BY userId, sessionId, itemInSession, ts DESC, artist DESC, song DESC""",
 )
 def q_items_ordered(t):
-    return query_tables.items_of_user_session(event_log(t).where(F.col("artist").isNotNull()))
+    return _stored(t, "items_of_user_session", query_tables.items_of_user_session)
 
 
 @query(
@@ -238,7 +247,7 @@ def q_items_ordered(t):
         FROM event_log WHERE artist IS NOT NULL""",
 )
 def q_users_by_item(t):
-    return query_tables.users_by_song(event_log(t).where(F.col("artist").isNotNull()))
+    return _stored(t, "users_by_song", query_tables.users_by_song)
 
 
 DESCRIBED = {
@@ -260,7 +269,7 @@ def _dictionary_sql() -> str:
         f"""SELECT '{table}' AS table_name, '{DESCRIBED.get(table, "not set")}' AS table_description,
                    {i} AS position, '{c}' AS column_name,
                    '{DESCRIBED_COLUMNS.get((table, c), "not set")}' AS column_description,
-                   '{kind}' AS column_type, count(*) AS table_entries, count({c}) AS column_entries
+                   '{kind}' AS column_type, true AS column_nullable, count(*) AS table_entries, count({c}) AS column_entries
             FROM {table}"""
         for table, columns in SPARK_TYPES.items()
         for i, (c, kind) in enumerate(columns.items(), start=1)
@@ -269,6 +278,8 @@ def _dictionary_sql() -> str:
 
 @query("data_dictionary", _dictionary_sql())
 def data_dictionary(t):
-    return dictionary.data_dictionary(
+    """Written as quoted CSV and read back."""
+    rows = dictionary.data_dictionary(
         {name: getattr(t, name) for name in SPARK_TYPES}, DESCRIBED, DESCRIBED_COLUMNS, with_entries=True
     )
+    return dictionary.export_dictionary(rows, t.scratch("dictionary"))

@@ -84,6 +84,22 @@ def test_hash_id_separates_fields_and_takes_nulls(spark):
     df = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "abc")], "x string, y string")
     ids = [r[0] for r in df.select(text.hash_id("x", "y")).collect()]
     assert len(set(ids)) == 3 and all(len(i) == 32 for i in ids)
+    odd = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("", "c"), (None, "c"), ("-", "c")], "x string, y string")
+    assert odd.select(text.hash_id("x", "y")).distinct().count() == 5
+
+
+def test_hash_id_is_the_same_in_every_zone(spark):
+    df = spark.createDataFrame([(1_700_000_000_123_456,)], "us long").select(F.timestamp_micros("us").alias("ts"))
+    seen = set()
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            seen.add(df.select(text.hash_id(F.unix_micros("ts"))).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(seen) == 1
+    with pytest.raises(Exception, match="unix_micros"):
+        df.select(text.hash_id("ts")).collect()
 
 
 def test_extract_drops_or_keeps_unmatched(spark, rows):
@@ -91,6 +107,7 @@ def test_extract_drops_or_keeps_unmatched(spark, rows):
     spec = {"code": (1, "int"), "name": (2, "string")}
     pattern = r"^\s*(\d+)\s*=\s+'(.*)'"
     assert rows(text.extract_columns(df, "value", pattern, spec)) == [(236, "AFGHANISTAN")]
+    assert text.unmatched(df, "value", pattern).count() == 1
     assert rows(text.extract_columns(df, "value", pattern, spec, keep_unmatched=True)) == [
         (236, "AFGHANISTAN"), (None, ""),
     ]

@@ -38,8 +38,11 @@ def test_row_ids_window_only_over_partition_counts(spark, plan):
 
 def test_rank_groups_has_no_global_window_over_groups(spark, plan):
     df = spark.range(100).withColumn("n", F.col("id") % 7)
-    text = plan(ranking.rank_groups(df, "n", "r", window_rows=0))
-    assert text.count("SinglePartition") == 1 and "hashpartitioning(_part" in text
+    text = plan(ranking.rank_groups(df, "n", "r"))
+    # The one task sees a row per range partition.
+    assert text.count("SinglePartition") == 1
+    below = text[text.index("SinglePartition"):]
+    assert "HashAggregate(keys=[_part" in below
 
 
 def test_null_safe_anti_join_is_a_hash_or_merge_join(spark, plan, no_broadcast):
@@ -91,3 +94,22 @@ def test_no_query_uses_cross_joins_or_python_rows(spark, plan, no_broadcast):
         text = plan(QUERIES[name](spark, DATA))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
             assert word not in text, (name, word)
+
+
+def test_null_lookup_keys_are_spread_over_tasks(spark, no_broadcast):
+    fact = spark.range(40_000, numPartitions=4).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"))
+    dim = spark.range(100).select(F.col("id").alias("key"), F.lit("x").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = joins.lookup_join(fact, dim, {"k": "key"}, {"v": "v"}).withColumn("task", F.spark_partition_id())
+        tasks = found.where("k is null").groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 5_000
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables are not here")
+def test_no_single_task_sees_the_groups_of_a_ranked_report(spark, plan):
+    text = plan(QUERIES["star_rank_supplier"](spark, DATA))
+    assert text.count("SinglePartition") == 1
+    assert "HashAggregate(keys=[_part" in text[text.index("SinglePartition"):]

@@ -81,12 +81,19 @@ def test_reports(events, songs, rows):
     assert rows(played) == [("X", "Song A", 1999, 3)]
 
 
-def test_query_tables(events, rows):
+def test_query_tables(events, rows, spark, tmp_path, plan):
     played = events.where("artist is not null")
     by_item = query_tables.item_by_session(played)
     assert rows(by_item.where("sessionId = 1 and itemInSession = 2"), "artist", "song", "length") == [("Y", "Unknown", 200.5)]
-    listened = query_tables.items_of_user_session(played)
-    assert [r.itemInSession for r in listened.where("userId = '10' and sessionId = 1").collect()] == [0, 1, 2]
+    listened = query_tables.lookup_table("items_of_user_session", str(tmp_path / "listened"))
+    stored = listened.store(query_tables.items_of_user_session(played))
+    assert "key_folder" not in stored.columns
+    found = listened.get(spark, userId="10", sessionId=1)
+    assert [r.itemInSession for r in found.collect()] == [0, 1, 2]
+    text = plan(found)
+    assert "PartitionFilters: [isnotnull(key_folder" in text and "PushedFilters: [IsNotNull(userId)" in text
+    with pytest.raises(ValueError):
+        listened.get(spark, userId="10")
     assert rows(query_tables.users_by_song(played).where("song = 'Song A'"), "user") == [("Ann Lee",), ("Bob Ray",)]
 
 
@@ -276,12 +283,13 @@ def test_catalog_builds_once_and_reuses_stored_tables(spark, tmp_path):
     assert third.get("a").count() == 5
 
 
-def test_data_dictionary(spark, rows):
+def test_data_dictionary(spark, rows, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "x")], "id int, v string")
     texts = ({"t": "a table"}, {("t", "id"): "key"})
     assert rows(dictionary.data_dictionary({"t": df}, *texts), "position", "column_description") == [(1, "key"), (2, "not set")]
     got = dictionary.data_dictionary({"t": df}, *texts, with_entries=True)
     assert rows(got) == [
-        ("t", "a table", 1, "id", "key", "int", 2, 2),
-        ("t", "a table", 2, "v", "not set", "string", 2, 1),
+        ("t", "a table", 1, "id", "key", "int", True, 2, 2),
+        ("t", "a table", 2, "v", "not set", "string", True, 2, 1),
     ]
+    assert rows(dictionary.export_dictionary(got, str(tmp_path / "dictionary"))) == rows(got)
