@@ -79,7 +79,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._materialised_at = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these, once no plan reads them any more."""
+    for df in tables:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._materialised_at)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
