@@ -122,10 +122,10 @@ def stage_json_bad_records(t):
     staged = sources.stage_json(
         t.spark, path, t.scratch("bad-staged"), schema="event_id long, event_type string", bad_records=bad
     )
-    count = F.count(F.lit(1))
-    return staged.agg(count.alias("staged")).withColumn("one", F.lit(1)).join(
-        sources.scan_text(t.spark, bad).agg(count.alias("bad")).withColumn("one", F.lit(1)), "one"
-    ).drop("one")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    loaded = staged.select(one.alias("staged"), none.alias("bad"))
+    kept_apart = sources.scan_text(t.spark, bad).select(none.alias("staged"), one.alias("bad"))
+    return loaded.union(kept_apart).agg(F.sum("staged").alias("staged"), F.sum("bad").alias("bad"))
 
 
 @query("scan_csv", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")

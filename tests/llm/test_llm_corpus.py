@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from starforge.llm import components
 from starforge.llm.components import connected_components
 from starforge.llm.line_dedup import PerfectHash, drop_common_lines
 from starforge.llm.mixing import mix_sources
@@ -130,7 +131,9 @@ def test_keys_cover_every_pair_within_the_distance():
     assert all((a == b).any() for a, b in zip(keys_of(sigs), keys_of(near)))
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("chunk", [10, 200_000])
+def test_components_of_a_path_and_a_star(spark, monkeypatch, chunk):
+    monkeypatch.setattr(components, "CHUNK", chunk)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(3, 3)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(200, 260)} == {7}
