@@ -105,24 +105,13 @@ def host_verdicts(failures: DataFrame, limit: float) -> DataFrame:
     the hosts do not differ it is 10 000. ``rate`` is the posterior mean.
     """
     rate = F.col("failed") / F.col("n")
-    prior = failures.agg(
-        (F.sum("failed") / F.sum("n")).alias("_mean"), F.var_samp(rate).alias("_var")
-    ).select(
-        "_mean",
-        F.when(
-            F.col("_var") > 0,
-            F.greatest(F.lit(1.0), F.least(F.lit(1e4), F.col("_mean") * (1 - F.col("_mean")) / F.col("_var") - 1)),
-        )
-        .otherwise(F.lit(1e4))
-        .alias("_strength"),
-    )
-    # One row: the prior.
-    return failures.join(F.broadcast(prior)).select(
-        "host",
-        "n",
-        "failed",
-        ((F.col("failed") + F.col("_mean") * F.col("_strength")) / (F.col("n") + F.col("_strength"))).alias("rate"),
-    ).withColumn("rejected", F.col("rate") > limit)
+    # The driver holds two numbers: the prior.
+    mean, variance = failures.agg(F.sum("failed") / F.sum("n"), F.var_samp(rate)).first()
+    mean = mean or 0.0
+    strength = min(1e4, max(1.0, mean * (1 - mean) / variance - 1)) if variance else 1e4
+    posterior = (F.col("failed") + mean * strength) / (F.col("n") + strength)
+    out = failures.select("host", "n", "failed", posterior.alias("rate"))
+    return out.withColumn("rejected", F.col("rate") > limit)
 
 
 def apply_host_rules(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:
