@@ -9,9 +9,11 @@ chunk which hash may be wrong gives 64 keys per document of which such a pair
 shares at least one. Candidates from shared keys are compared by signature and
 then confirmed on the full sets.
 
-Documents of equal sets are one class; only classes are compared. Within a
-bucket of a key not all pairs are made: first every class is compared with the
-bucket's least one, and later only classes of different components meet.
+Documents of equal sets are one class; only classes are compared, and of those
+only the ones that have enough shingles in common with any other. Within a
+bucket of a key not all pairs are made: first every class is compared with a few
+neighbours in the order of signatures, and later only classes of different
+components meet, the nearest first and then all.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 from .common import WORD, map_lists, prepare, raw, signed, spare
 from .components import connected_components
 
@@ -127,60 +129,113 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
     return classes.select("class", "sig").mapInArrow(run, "key long, class long")
 
 
-def nearest_hubs(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b``: for every class the nearest least class of its buckets within
-    the signature distance and the sizes that the similarity allows."""
-    pairs = shared.filter("class <> hub").select("class", "hub").distinct()
-    hub = classes.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
-    wide = pairs.join(classes.select("class", "n", "sig"), "class").join(hub, "hub")
-    possible = wide.filter(100 * F.least("n", "hub_n") >= SIMILAR * F.greatest("n", "hub_n"))
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """``class, shared``: how many shingles of a set are in another set too.
 
-    def make():
-        def step(a, b, sig_a, sig_b):
-            x = np.frombuffer(b"".join(sig_a), np.uint16).reshape(-1, HASHES)
-            y = np.frombuffer(b"".join(sig_b), np.uint16).reshape(-1, HASHES)
-            apart = (x != y).sum(1)
-            near = np.flatnonzero(apart <= DISTANCE)
-            return [[a[i] for i in near], [b[i] for i in near], apart[near]]
+    An intersection cannot be larger, so classes that share less than the
+    similarity asks for link with nothing, and two classes are compared only if
+    their shared shingles could suffice. A shingle of one set names its class in
+    the same aggregate, so the shingles are shuffled once.
+    """
+    rows = sets.select("class", F.explode("found").alias("shingle")).repartition("shingle")
+    once = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("class")).filter("n = 1")
+    alone = once.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = sets.select("class", F.size("found").alias("n"))
+    shared = (F.col("n") - F.coalesce("alone", F.lit(0))).cast("long")
+    return sizes.join(alone, "class", "left").select("class", shared.alias("shared"))
+
+
+def possible(n, shared, i: int, at) -> np.ndarray:
+    """Whether class ``i`` and the classes ``at`` can be similar by their numbers."""
+    both = np.minimum(shared[at], shared[i])
+    return 100 * both >= SIMILAR * (n[at] + n[i] - both)
+
+
+def signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, HASHES)
+
+
+# Classes before it, in the order of signatures, that a class is compared with.
+NEIGHBOURS = 4
+# Candidates of a class that are confirmed in the first round.
+FIRST = 3
+# Candidates of a class and bucket in the second round.
+NEAREST = 4
 
-        return step
 
-    near = map_lists(possible.select("class", "hub", "sig", "hub_sig"), make, "a long, b long, apart int")
-    best = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
-    return best.select("a", F.col("best.b").alias("b"))
-
-
-def compare_group(ids, components, sizes, sigs, side, most: int) -> tuple[list, bool]:
-    """Candidate pairs of one group: for each class and each other component the
-    nearest ``most`` classes there, and whether any were left for later.
-    ``side`` tells the two blocks of a large bucket apart (0 and 1) or is -1."""
-    out, left = [], False
-    for i in range(len(ids)):
-        ok = (components != components[i]) & (100 * np.minimum(sizes, sizes[i]) >= SIMILAR * np.maximum(sizes, sizes[i]))
-        if side[i] >= 0:
-            ok &= side != side[i]
-        at = np.flatnonzero(ok)
+def neighbour_lists(members: DataFrame) -> DataFrame:
+    """``a, to``: for every class its nearest neighbours in its buckets, each
+    sorted by signature; a few for every class however large a bucket is."""
+    dealt = members.repartition("key").sortWithinPartitions("key", "sig", "class")
+
+    def run(batches):
+        last: tuple | None = None
+        for batch in batches:
+            key, ids, n, shared = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            sigs = signatures(batch.column(4).to_pylist())
+            if last is not None:
+                key, ids, n, shared, sigs = (np.concatenate(x) for x in zip(last, (key, ids, n, shared, sigs)))
+            best = np.full(len(ids), HASHES + 1)
+            to = np.zeros(len(ids), np.int64)
+            for back in range(1, min(NEIGHBOURS, len(ids) - 1) + 1):
+                both = np.minimum(shared[back:], shared[:-back])
+                ok = (key[back:] == key[:-back]) & (100 * both >= SIMILAR * (n[back:] + n[:-back] - both))
+                apart = np.where(ok, (sigs[back:] != sigs[:-back]).sum(1), HASHES + 1)
+                nearer = apart < best[back:]
+                best[back:][nearer] = apart[nearer]
+                to[back:][nearer] = ids[:-back][nearer]
+            # Rows carried over from the batch before were compared there.
+            fresh = np.arange(len(ids)) >= (0 if last is None else len(last[0]))
+            hit = np.flatnonzero((best <= DISTANCE) & fresh)
+            last = tuple(x[-NEIGHBOURS:] for x in (key, ids, n, shared, sigs))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[hit]), pa.array(to[hit]), pa.array(best[hit].astype(np.int32))], ["a", "b", "apart"]
+            )
+
+    near = dealt.select("key", "class", "n", "shared", "sig").mapInArrow(run, "a long, b long, apart int")
+    best = near.groupBy("a").agg(F.slice(F.array_sort(F.collect_set(F.struct("apart", "b"))), 1, FIRST).alias("best"))
+    return best.select("a", F.col("best.b").alias("to"))
+
+
+def first_shared_key(sig: np.ndarray, sigs: np.ndarray) -> np.ndarray:
+    """Of the keys that a signature shares with each of others, the first."""
+    wrong = (sigs != sig).reshape(len(sigs), HASHES // CHUNK, CHUNK)
+    chunk = (wrong.sum(2) <= 1).argmax(1)
+    slot = wrong[np.arange(len(sigs)), chunk].argmax(1)
+    return keys_of(sig[None, :])[0][chunk * CHUNK + slot]
+
+
+def compare_group(key, ids, components, n, shared, sigs, side, most: int | None) -> list[tuple[int, list[int]]]:
+    """Candidates of each class outside the group's largest component: classes
+    of other components, the nearest ``most`` (None: all). A pair is taken in
+    the first of its buckets only. ``side`` tells the two blocks of a large
+    bucket apart (0 and 1) or is -1."""
+    out = []
+    names, sizes = np.unique(components, return_counts=True)
+    main = names[sizes.argmax()]
+    for i in np.flatnonzero(components != main):
+        # Of two classes outside the largest component the greater one asks.
+        ok = (components != components[i]) & ((components == main) | (ids < ids[i]))
+        at = np.flatnonzero(ok & ((side != side[i]) | (side[i] < 0)))
+        at = at[possible(n, shared, i, at)]
         if not len(at):
             continue
         apart = (sigs[at] != sigs[i]).sum(1)
         at, apart = at[apart <= DISTANCE], apart[apart <= DISTANCE]
         if not len(at):
             continue
-        order = np.lexsort((ids[at], apart, components[at]))
-        at = at[order]
-        own = components[at]
-        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        rank = np.arange(len(own)) - np.repeat(starts, np.diff(np.r_[starts, len(own)]))
-        left |= bool((rank >= most).any())
-        for j in at[rank < most]:
-            out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-    return out, left
-
-
-def cross_pairs(members: DataFrame, most: int) -> DataFrame:
-    """``a, b, more`` for rows ``key, class, component, n, sig`` of buckets with
-    several components. Buckets above ``BLOCK`` classes are cut into blocks; each
-    pair of blocks is a group of its own, so no task holds a whole hot bucket."""
+        here = first_shared_key(sigs[i], sigs[at]) == key
+        at, apart = at[here], apart[here]
+        if len(at):
+            out.append((int(ids[i]), ids[at[np.lexsort((ids[at], apart))[:most]]].tolist()))
+    return out
+
+
+def cross_lists(members: DataFrame, most: int | None) -> DataFrame:
+    """``a, to``: candidates between the components of each bucket, for rows
+    ``key, class, component, n, shared, sig`` of buckets with several. Buckets
+    above ``BLOCK`` classes are cut into blocks; each pair of blocks is a group
+    of its own, so no task holds a whole hot bucket."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     rows = members.join(sizes, "key")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -194,6 +249,7 @@ def cross_pairs(members: DataFrame, most: int) -> DataFrame:
         "class",
         "component",
         "n",
+        "shared",
         "sig",
     )
     # Rows of a block meet themselves once, as (i, i).
@@ -202,111 +258,146 @@ def cross_pairs(members: DataFrame, most: int) -> DataFrame:
     def run(batches):
         held: list = []
 
-        def done(group):
-            key, i, j, side, ids, components, sizes, sigs = zip(*group)
-            pairs, left = compare_group(
-                np.array(ids),
-                np.array(components),
-                np.array(sizes),
-                np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, HASHES),
-                np.array(side),
-                most,
-            )
-            out = sorted(set(pairs))
-            return [(a, b, left) for a, b in out]
+        def compared(group):
+            keys, _, _, side, ids, components, n, shared, sigs = zip(*group)
+            numbers = map(np.array, (ids, components, n, shared))
+            return compare_group(keys[0], *numbers, signatures(sigs), np.array(side), most)
 
         def emit(rows):
-            a, b, more = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], ["a", "b", "more"]
-            )
+            a, to = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(to, pa.list_(pa.int64()))], ["a", "to"])
 
         for batch in batches:
             rows = []
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if held and held[0][:3] != row[:3]:
-                    rows += done(held)
+                    rows += compared(held)
                     held = []
                 held.append(row)
             if rows:
                 yield emit(rows)
-        if held and (rows := done(held)):
+        if held and (rows := compared(held)):
             yield emit(rows)
 
-    found = dealt.mapInArrow(run, "a long, b long, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
+    return dealt.mapInArrow(run, "a long, to array<long>")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` of the pairs whose full sets are similar enough."""
-    one = sets.select(F.col("class").alias("a"), F.col("found").alias("set_a"))
-    two = sets.select(F.col("class").alias("b"), F.col("found").alias("set_b"))
+# Sets that a task holds while candidates stream past.
+SET_ROWS = 2048
 
-    def make():
-        def step(a, b, set_a, set_b):
-            out: list[list] = [[], []]
-            for i, j, x, y in zip(a, b, set_a, set_b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= SIMILAR * (len(x) + len(y) - both):
-                    out[0].append(i)
-                    out[1].append(j)
-            return out
-
-        return step
-
-    wide = pairs.select("a", "b").join(one, "a").join(two, "b")
-    return map_lists(wide.select("a", "b", "set_a", "set_b"), make, "a long, b long")
 
+def confirm(lists: DataFrame, sets: DataFrame, n_sets: int) -> DataFrame:
+    """``a, b`` of the candidates ``a, to`` whose full sets are similar enough.
 
-def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links ``a, b`` between classes, enough of them to connect every two
-    classes that are connected by similar pairs."""
-    buckets = bucket_rows(classes)
-    ends = buckets.groupBy("key").agg(F.min("class").alias("hub"), F.max("class").alias("top")).filter("hub <> top")
-    shared = materialise(buckets.join(ends.select("key", "hub"), "key"), "near-buckets")
+    Sets are dealt into blocks of bounded size. A class is sent, with its set,
+    to each block that holds some of its candidates; a task holds one block at a
+    time and streams those who ask. No row is made for a pair.
+    """
+    blocks = n_sets // SET_ROWS + 1
+    block_of = lambda c: F.pmod(c, F.lit(blocks))
+    where = F.explode(F.array_distinct(F.transform("to", block_of))).alias("block")
+    asking = lists.select("a", "to", where).select(
+        "block", F.lit(1).alias("asks"), "a", F.expr(f"filter(to, c -> pmod(c, {blocks}) = block)").alias("to")
+    )
+    asking = asking.join(sets.select(F.col("class").alias("a"), "found"), "a")
+    held = sets.select(
+        block_of(F.col("class")).alias("block"),
+        F.lit(0).alias("asks"),
+        F.col("class").alias("a"),
+        F.lit(None).cast("array<long>").alias("to"),
+        "found",
+    )
+    rows = held.unionByName(asking).repartition("block").sortWithinPartitions("block", "asks", "a")
 
-    involved = shared.select("class").distinct().join(classes, "class").select(F.col("row"))
-    texts = docs.select("row", raw("text").alias("text")).join(involved, "row", "left_semi")
+    def run(batches):
+        block, own = None, {}
+        for batch in batches:
+            out: list[list] = [[], []]
+            numbers = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, wanted = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            found = batch.column(4)
+            for i in range(batch.num_rows):
+                if numbers[i] != block:
+                    block, own = numbers[i], {}
+                x = found[i].values.to_numpy()
+                if wanted[i] is None:
+                    own[ids[i]] = x
+                    continue
+                for other in wanted[i]:
+                    y = own[other]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * both >= SIMILAR * (len(x) + len(y) - both):
+                        out[0].append(ids[i])
+                        out[1].append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+
+    return rows.select("block", "asks", "a", "to", "found").mapInArrow(run, "a long, b long")
+
+
+# 64-bit words of the bitmap that tells which rows' sets are wanted: 2 MB. The
+# more rows, the more others pass; what it lets through is never wrong.
+BITMAP_WORDS = 1 << 18
+
+
+def row_bitmap(rows: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for the hash of every row."""
+    bit = F.expr("shiftleft(1L, CAST(pmod(shiftright(row, 20), 64) AS INT))")
+    words = rows.groupBy(F.pmod("row", F.lit(BITMAP_WORDS)).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    bitmap = np.zeros(BITMAP_WORDS, np.int64)
+    for word, bits in words.collect():
+        bitmap[word] = bits
+    return bitmap
+
+
+def full_sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """``class, found``: the shingle sets of the rows in the bitmap (and of some
+    others, which are never asked for). Texts are read again, not shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def make():
-        hashes = WordHashes()
+        hashes, bitmap = WordHashes(), shared.value
 
         def step(rows, texts):
-            found = [shingles(t, hashes).tobytes() for t in texts]
-            return [[signed(xxhash.xxh3_64_intdigest(f)) for f in found], found]
+            at = np.array(rows, np.int64)
+            wanted = (bitmap[at % BITMAP_WORDS] >> ((at >> 20) % 64)) & 1
+            found = [s for i in np.flatnonzero(wanted) if len(s := shingles(texts[i], hashes))]
+            return [[signed(xxhash.xxh3_64_intdigest(f.tobytes())) for f in found], [f.view(np.int64) for f in found]]
 
         return step
 
-    sets = map_lists(texts, make, "class long, found binary").dropDuplicates(["class"])
-    sets = materialise(sets, "near-sets")
+    return map_lists(docs.select("row", raw("text").alias("text")), make, "class long, found array<long>")
+
 
-    tried = materialise(nearest_hubs(shared, classes), "near-pairs")
-    links = materialise(confirm(tried, sets), "near-links")
-    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    most = 2
-    while True:
+def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, component`` of the classes that are linked."""
+    buckets = bucket_rows(classes)
+    ends = buckets.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    shared = materialise(buckets.join(ends.select("key"), "key"), "near-buckets")
+
+    involved = shared.select("class").distinct().join(classes, "class").select("row")
+    sets = materialise(full_sets(docs, row_bitmap(involved)).dropDuplicates(["class"]), "near-sets")
+    usable = classes.join(shared_counts(sets), "class").filter(100 * F.col("shared") >= SIMILAR * F.col("n"))
+    usable = materialise(usable.select("class", "n", "shared", "sig"), "near-usable")
+    members = materialise(shared.join(usable, "class"), "near-members")
+    n_usable = usable.count()
+    own_sets = materialise(sets.join(usable.select("class"), "class", "left_semi"), "near-own-sets")
+    discard(shared, sets)
+
+    links = materialise(confirm(neighbour_lists(members), own_sets, n_usable), "near-links")
+    # First the nearest of each class, which join most of what belongs together;
+    # then all candidates between the components that are left. Components that
+    # the last links join have no candidates that were not among those.
+    for most in (NEAREST, None):
         parts = connected_components(links)
-        own = classes.select("class", "n", "sig").join(parts, F.col("class") == F.col("node"), "left")
-        own = own.select("class", F.coalesce("component", "class").alias("component"), "n", "sig")
-        own = materialise(own.join(shared.select("class").distinct(), "class", "left_semi"), "near-parts")
-        placed = shared.select("key", "class").join(own.select("class", "component"), "class")
-        mixed = (
-            placed.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low <> high")
-            .select("key")
-        )
-        members = shared.select("key", "class").join(mixed, "key").join(own, "class")
-        found = materialise(cross_pairs(members, most), "near-cross")
-        new = materialise(found.join(tried, ["a", "b"], "left_anti"), "near-new")
-        n_new, more = new.count(), found.filter("more").limit(1).count()
-        if not n_new and not more:
-            return parts
-        if n_new:
-            links = links.unionByName(materialise(confirm(new, sets), "near-links"))
-            tried = tried.unionByName(new.select("a", "b"))
-        most *= 8
+        own = members.join(parts, F.col("class") == F.col("node"), "left").drop("node")
+        own = own.withColumn("component", F.coalesce("component", "class"))
+        mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        open_members = own.join(mixed.filter("low <> high").select("key"), "key")
+        more = materialise(confirm(cross_lists(open_members, most), own_sets, n_usable), "near-links")
+        links = links.unionByName(more)
+    parts = connected_components(links)
+    discard(usable, members, own_sets)
+    return parts
 
 
 def label_rows(docs: DataFrame) -> DataFrame:
@@ -346,8 +437,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     id. Other columns are not read. An empty table gives an empty result.
 
     Sets and words are told apart by 64-bit hashes. Copies of one set cost one
-    number each after the first pass. Texts are shuffled once, and only to fetch
-    the sets of classes that share a key with another.
+    number each after the first pass. Texts are read twice and never shuffled;
+    the sets of classes that share a key with another are.
     """
     prepare(docs.sparkSession)
     out = label_rows(docs.select("doc_id", "text", row_hash().alias("row")))
