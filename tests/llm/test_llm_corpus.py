@@ -266,3 +266,8 @@ def test_queries_match_their_sql(spark, name):
     assert columns == sorted(got.columns)
     rows = lambda df: sorted(map(repr, df[columns].astype(object).itertuples(index=False, name=None)))
     assert rows(got) == rows(want)
+
+
+def test_every_operator_has_a_query():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
+    assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
