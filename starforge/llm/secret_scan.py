@@ -27,6 +27,9 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Identifiers and digests that are random by nature and no secrets.
 UUID = r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}"
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
+# Where a run may be cut: a key can follow a path or a name, and can itself hold
+# the last three separators.
+CUTS = (re.compile(r"[^/=]+"), re.compile(r"[^/=+_-]+"))
 
 
 def load_encoding(lines: list[bytes], pattern: str) -> tiktoken.Encoding:
@@ -57,22 +60,26 @@ class Scanner:
 
     def random(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Runs with few characters per token that no base match touches, known
-        digests and identifiers left out."""
+        digests and identifiers left out. Of a run that is not reported as a
+        whole, the pieces between separators are judged by themselves."""
         found = []
         for m in self.run.finditer(text):
-            run = m.group()
-            if not self.mixed(run) or self.known(run):
-                continue
-            if any(start < m.end() and m.start() < end for start, _, end in base):
-                continue
-            if len(run) / len(self.encoding.encode_ordinary(run)) < self.ratio:
-                found.append((m.start(), 3, m.end()))
+            touching = [(start, end) for start, _, end in base if start < m.end() and m.start() < end]
+            found += [(start, 3, end) for start, end in self.judge(text, m.start(), m.end(), touching)]
         return found
 
-    @staticmethod
-    def mixed(run: str) -> bool:
-        """Both letters and digits, so neither a word, a rule of dashes nor a number."""
-        return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+    def judge(self, text: str, start: int, end: int, touching: list[tuple[int, int]], cut: int = 0) -> list[tuple[int, int]]:
+        """Spans of ``text[start:end]``: itself, or else those of its pieces."""
+        run = text[start:end]
+        if not any(map(str.isalpha, run)) or self.known(run):
+            return []
+        if not any(a < end and start < b for a, b in touching):
+            if len(run) / len(self.encoding.encode_ordinary(run)) < self.ratio:
+                return [(start, end)]
+        if cut == len(CUTS):
+            return []
+        pieces = [(start + p.start(), start + p.end()) for p in CUTS[cut].finditer(run) if p.end() - p.start() >= self.least]
+        return [s for a, b in pieces for s in self.judge(text, a, b, touching, cut + 1)]
 
     def known(self, run: str) -> bool:
         if self.uuid.fullmatch(run):
@@ -94,6 +101,10 @@ def scan_secrets(
 ) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, n_random, base_spans, spans`` per row.
 
+    A random span is a run of at least ``least`` key characters with a letter,
+    or a piece of one between ``/=`` or ``/=+_-``, below ``ratio`` characters a
+    token. UUIDs, digests and runs without letters are left out.
+
     Whole texts are scanned, long ones too; positions are code points, ends
     exclusive. A null text is an empty one without spans. Every input row, with
     null or repeated ids, gives one row; other columns are not read. An empty

@@ -98,6 +98,22 @@ def test_secret_spans(spark):
     assert row[0]["base_spans"].count("random") == 0 and row[1]["spans"] == "" and row[1]["n_hex"] == 0
 
 
+def test_secret_scan_letters_and_pieces(spark):
+    letters, key, split = "xqzjvkwpfhgbtnrmcdly", "k9Xq2Vb7Zr4Lw1Tn8Pd5Yc3M", "Zr4Lw1Tn8_Pd5Yc3Mk9X-q2Vb7"
+    digest = "D41D8CD98F00B204E9800998ECF8427E"
+    text = (
+        f"{letters} /download/archive/documentation/{key} /international/conversation/{split} "
+        f"01234567890123456789012345 -------------------------- internationalization-of-information "
+        f"/international/conversation/documentation/{digest} /documentation/0123456789abcdef01234567/{key}"
+    )
+    row = scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    spans = [(k, text[int(a) : int(b)]) for k, a, b in (s.split(":") for s in row["spans"].split(","))]
+    found = [s for k, s in spans if k == "random"]
+    assert found[0] == letters and len(found) == 4 == row["n_random"]
+    assert found[1].endswith(key) and found[2].endswith(split) and found[3] == key
+    assert not any(digest in s for s in found)
+
+
 def test_secret_scan_odd_rows(odd, none):
     out = scan_secrets(odd)
     assert out.count() == odd.count()
