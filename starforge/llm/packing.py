@@ -17,7 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialise
 from .common import map_lists, prepare, raw, signed
+from .near_dup import label_rows
 
 CAPACITY = 8192
 MAX_SOURCES = 8
@@ -79,46 +81,61 @@ def pack_shard(rows: list[tuple], capacity: int, max_sources: int) -> list[tuple
     return out
 
 
-def measure_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, key, cluster, size`` of every row. The cluster is a hash
-    of the words, so that copies up to white space are of one cluster; the key a
-    hash of id, source and text."""
+def row_key() -> F.Column:
+    return F.xxhash64(F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text"))
+
+
+def measure_rows(docs: DataFrame, cluster: str | None) -> DataFrame:
+    """``doc_id, source, key, cluster, size`` of every row. Where no cluster is
+    given it is a hash of the words, so that copies up to white space are of one
+    cluster; the key is a hash of id, source and text."""
 
     def make():
-        def step(ids, sources, keys, texts):
+        def step(ids, sources, keys, given, texts):
             clusters, sizes = [], []
-            for text in texts:
+            for named, text in zip(given, texts):
                 words = text.split()
                 sizes.append(len(words))
-                clusters.append(signed(xxhash.xxh3_64_intdigest(b" ".join(words))))
+                clusters.append(signed(xxhash.xxh3_64_intdigest(b" ".join(words))) if named is None else named)
             return [ids, sources, keys, clusters, sizes]
 
         return step
 
     kind = dict(docs.dtypes)["doc_id"]
     source = F.col("source").cast("string")
-    key = F.xxhash64(F.col("doc_id").cast("string"), source, F.col("text"))
+    given = F.lit(None) if cluster is None else F.col(cluster)
     return map_lists(
-        docs.select("doc_id", source.alias("source"), key.alias("key"), raw("text").alias("text")),
+        docs.select(
+            "doc_id", source.alias("source"), row_key().alias("key"), given.cast("long").alias("cluster"), raw("text").alias("text")
+        ),
         make,
         f"doc_id {kind}, source string, key long, cluster long, size long",
     )
 
 
 def pack_documents(
-    docs: DataFrame, capacity: int = CAPACITY, max_sources: int = MAX_SOURCES, shard_rows: int = SHARD_ROWS
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    max_sources: int = MAX_SOURCES,
+    shard_rows: int = SHARD_ROWS,
+    cluster: str | None = None,
+    near_copies: bool = False,
 ) -> DataFrame:
     """``doc_id, source, piece, start, size, shard, bin``: a row per piece.
 
     Sizes are words. A bin holds at most ``capacity`` words, pieces of at most
     ``max_sources`` sources (null is one) and no two pieces of one cluster:
     copies, repeated rows and the pieces of a long document go to different
-    bins. ``start`` is the word at which a piece begins. A row without words
-    (null and empty texts) is returned with size 0 and null bin. Null and
-    repeated ids give rows as any other; other columns are not read. An empty
-    table gives an empty result. A bin's name is (shard, bin).
-
-    One shuffle, of sizes and hashes. Shards are told by a hash of the row, so
+    bins. Copies of the same words are one cluster; ``cluster`` names a column
+    of integers that tells clusters otherwise (where it is not null), and with
+    ``near_copies`` they are the components of ``near_dup``, for documents that
+    were not deduplicated. ``start`` is the word at which a piece begins. A row
+    without words (null and empty texts) is returned with size 0 and null bin.
+    Null and repeated ids give rows as any other; other columns are not read. An
+    empty table gives an empty result. A bin's name is (shard, bin).
+
+    One shuffle, of sizes and hashes; with ``near_copies`` those of the search
+    and a join by row hash before it. Shards are told by a hash of the row, so
     sources and clusters of any size are spread evenly; a task streams its
     shards and holds one, at most ``4 * shard_rows`` rows, at a time.
     """
@@ -126,7 +143,7 @@ def pack_documents(
     n = docs.count()
     shards = n // shard_rows + 1
     limit = 4 * shard_rows
-    measured = measure_rows(docs)
+    measured = measure_rows(docs, cluster)
     kind = dict(docs.dtypes)["doc_id"]
     empty = measured.filter("size = 0").select(
         "doc_id",
@@ -137,7 +154,14 @@ def pack_documents(
         F.lit(None).cast("string").alias("shard"),
         F.lit(None).cast("long").alias("bin"),
     )
-    dealt = measured.filter("size > 0").withColumn("shard", F.pmod("key", F.lit(shards)))
+    filled = measured.filter("size > 0")
+    if near_copies:
+        labelled = label_rows(docs.select("doc_id", "text", row_key().alias("row"))).filter("component is not null")
+        named = labelled.select(F.col("row").alias("key"), "component").dropDuplicates(["key"])
+        filled = filled.join(materialise(named, "pack-clusters"), "key", "left")
+        filled = filled.withColumn("cluster", F.coalesce("component", "cluster"))
+        filled = filled.select("doc_id", "source", "key", "cluster", "size")
+    dealt = filled.withColumn("shard", F.pmod("key", F.lit(shards)))
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "key", "size")
 
     def run(batches):

@@ -60,7 +60,7 @@ GROUP BY doc_id
 
 @query
 def op3_best_fit_packing(spark, folder):
-    return pack_documents(table(spark, folder, "documents"))
+    return pack_documents(table(spark, folder, "documents"), near_copies=True)
 
 
 @query

@@ -205,6 +205,33 @@ def test_packing_is_best_fit(spark):
     assert got[0] == got[3] and got[1] == got[2] and got[0] != got[1]
 
 
+def test_packing_keeps_near_copies_apart(spark, odd, tmp_path):
+    words = [f"w{i}" for i in range(60)]
+    edited = [*words[:59], "edit"]
+    texts = [" ".join(words), " ".join(words).upper(), " ".join(edited), " ".join(f"v{i}" for i in range(60))]
+    at = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(at)
+    bins = {r["doc_id"]: r["bin"] for r in QUERIES["op3_best_fit_packing"](spark, str(tmp_path)).collect()}
+    assert len({bins[i] for i in range(3)}) == 3 and bins[3] in {bins[i] for i in range(3)}
+
+    rows = odd.collect()
+    group = {}
+    for r, g, n in zip(rows, groups(rows)[2], groups(rows)[0]):
+        group.setdefault(r["doc_id"], set()).update({g} if n else ())
+    out = pack_documents(odd, capacity=100_000, max_sources=9, near_copies=True).collect()
+    assert sum(r["size"] for r in out) == sum(len(WORDS.findall(r["text"] or "")) for r in rows)
+    for held in check_bins(out, 100_000, 9).values():
+        inside = [next(iter(group[r["doc_id"]])) for r in held if len(group[r["doc_id"]]) == 1]
+        assert len(inside) == len(set(inside))
+
+
+def test_packing_by_given_clusters(spark):
+    rows = [(0, "a b c", "s", 5), (1, "d e f", "s", 5), (2, "g h", "s", None), (3, "g h", "s", None), (4, "g h", "s", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, group long")
+    bins = {r["doc_id"]: r["bin"] for r in pack_documents(docs, cluster="group").collect()}
+    assert bins[0] != bins[1] and bins[2] != bins[3] and len(set(bins.values())) == 2
+
+
 def test_pivot_search(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(0, 0.4, 8)], i) for i in range(400)]
