@@ -123,7 +123,10 @@ def build_vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
             break
         told, least = told + r["k"], r["least"]
     known = [] if least is None else counts.filter(F.col("n") >= least).collect()
-    known = sorted(((bytes(r["word"]), r["n"]) for r in known), key=lambda x: (-x[1], x[0]))
+    known = {bytes(r["word"]): r["n"] for r in known}
+    # The end is in every text, so it is told whatever its count.
+    known |= {END: r["n"] for r in counts.filter(F.col("word") == F.lit(bytearray(END))).collect()}
+    known = sorted(known.items(), key=lambda x: (-x[1], x[0]))
     singles = [w for w, _ in known if w != END][: shape.single_words]
 
     # Mass and number of words of every tail, without the classes of one word.

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from starforge.llm import language_model
 from starforge.llm.classifier import score_quality
 from starforge.llm.host_rules import apply_host_rules, host_verdicts
 from starforge.llm.language_model import LogBilinear, Shape, Vocabulary, WordIndex, score_language_model
@@ -169,6 +170,20 @@ def test_language_model_counts(odd):
     assert out.filter("score is null or isnan(score) or score > 1e-6").count() == 0
 
 
+def test_language_model_knows_the_end_when_few_words_are_told(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "KNOWN_WORDS", 2)
+    texts = {i: "a b c d e" for i in range(30)}
+    held = [i for i in texts if zlib.crc32(str(i).encode()) % 5 == 1]
+    n = len(texts) - len(held)
+    out = score_language_model(
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string"),
+        shape=Shape(single_words=2, tail_classes=3, dim=4),
+    ).collect()
+    want = 6 * math.log10((n + 0.5) / (6 * n + 0.5 * 7))
+    assert held and all(r["n_known"] == r["n_tokens"] == 6 for r in out)
+    assert all(abs(r["base_score"] - want) < 1e-6 for r in out)
+
+
 def test_language_model_is_normalised_and_learns(spark):
     import numpy as np
 
