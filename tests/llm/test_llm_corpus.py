@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starforge.llm import components
+from starforge.llm import components, line_dedup
 from starforge.llm.components import connected_components
 from starforge.llm.line_dedup import PerfectHash, drop_common_lines
 from starforge.llm.mixing import mix_sources
@@ -58,6 +58,15 @@ def test_common_lines(odd, least):
     assert sorted(got) == sorted(map(want, rows))
 
 
+def test_common_lines_by_the_perfect_hash_alone(odd, monkeypatch):
+    want = sorted(map(repr, drop_common_lines(odd, 10).select("doc_id", "text", "n_dropped").collect()))
+    # No key is hot, so all are decided by the shards.
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", 2.0)
+    out = drop_common_lines(odd, 10).select("doc_id", "text", "n_dropped")
+    assert sorted(map(repr, out.collect())) == want
+    assert out.filter("n_dropped > 0").count() >= 10
+
+
 def groups(rows):
     """Component ids by comparing all pairs."""
     sets = []
