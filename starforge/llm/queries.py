@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .classifier import score_quality
+from .exact_dedup import exact_duplicates
 from .host_rules import apply_host_rules
 from .language_model import score_language_model
 from .line_dedup import drop_common_lines
@@ -121,3 +122,20 @@ def op9_fair_mixing(spark, folder):
 @query
 def op10_near_duplicates(spark, folder):
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op11_exact_dedup(spark, folder):
+    return exact_duplicates(table(spark, folder, "documents"))
+
+
+ORACLE["op11_exact_dedup"] = r"""
+WITH c AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER copies AS keep_id, count(*) OVER (PARTITION BY content) AS group_size,
+       row_number() OVER copies = 1 AS kept, sha256(content) AS text_sha256
+FROM c
+WINDOW copies AS (PARTITION BY content ORDER BY chars DESC, doc_id NULLS LAST)
+"""
