@@ -200,7 +200,8 @@ def resolve(left: DataFrame, id_type) -> DataFrame:
                 bests[entry].add(n, chars, doc_id, row)
                 refs[entry].append(ref)
             if over:
-                yield given.take(pa.array(over))
+                over = pa.array(over)
+                yield pa.RecordBatch.from_arrays([c.take(over) for c in given.columns], schema=arrow)
         flat = [(ref, b) for b, own in zip(bests, refs) for ref in own]
         for start in range(0, len(flat), 10_000):
             part = flat[start : start + 10_000]
