@@ -103,7 +103,7 @@ def scan_contents(docs: DataFrame, carry: list[str]) -> DataFrame:
     fields = [
         StructField("row", LongType()), StructField("ref", LongType()), id_field,
         *StructType.fromDDL("chars long, sha binary, hash long, content binary, n long").fields,
-        *[docs.schema[c] for c in carry],
+        *[StructField(c, docs.schema[c].dataType) for c in carry],
     ]
     schema = StructType(fields)
     arrow = to_arrow_schema(schema)
@@ -240,21 +240,9 @@ def exact_duplicates(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     have any names; of those carried, the ones called like a column of the
     result are left out.
     """
-    prepare(docs.sparkSession)
     carry = [c for c in carry if c in docs.columns and c not in ("doc_id", *KEPT)]
-    # Carried columns travel under names of their own.
-    names = [f"carried_{i}" for i in range(len(carry))]
-    given = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in zip(carry, names)])
-    scanned = materialise(scan_contents(given, names), "copies-scan")
-    records = scanned.filter("hash is not null").select(
-        "ref", "hash", "content", "n", "chars", F.col("row").alias("keep_row"), F.col("doc_id").alias("keep_id")
-    )
-    groups = resolve(records, docs.schema["doc_id"].dataType)
-    lines = scanned.filter("hash is null").select("doc_id", "row", "ref", "sha", *names)
-    return lines.join(groups, "ref").select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"), *[F.col(n).alias(c) for c, n in zip(carry, names)],
-    )
+    judged, names = judge_copies(docs, carry)
+    return judged.select("doc_id", *KEPT, *[F.col(n).alias(c) for c, n in zip(carry, names)])
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -264,7 +252,24 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     the shared folder, since rows have no key that the scan could be asked for
     again.
     """
-    inner = docs.select(
-        F.col("doc_id"), F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    judged, names = judge_copies(docs, docs.columns)
+    return judged.filter("kept").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
+
+
+def judge_copies(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, list[str]]:
+    """``doc_id``, the columns of the verdict and those of ``carry``, which get
+    the names returned."""
+    prepare(docs.sparkSession)
+    names = [f"carried_{i}" for i in range(len(carry))]
+    given = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)])
+    scanned = materialise(scan_contents(given, names), "copies-scan")
+    records = scanned.filter("hash is not null").select(
+        "ref", "hash", "content", "n", "chars", F.col("row").alias("keep_row"), F.col("doc_id").alias("keep_id")
     )
-    return exact_duplicates(inner, carry=("whole",)).filter("kept").select("whole.*")
+    groups = resolve(records, docs.schema["doc_id"].dataType)
+    lines = scanned.filter("hash is null").select("doc_id", "row", "ref", "sha", *names)
+    judged = lines.join(groups, "ref").select(
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"), *names,
+    )
+    return judged, names
