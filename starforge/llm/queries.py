@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .classifier import score_quality
+from .common import WORD
 from .exact_dedup import exact_duplicates
 from .host_rules import apply_host_rules
 from .language_model import score_language_model
@@ -14,6 +15,7 @@ from .line_dedup import drop_common_lines
 from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
 from .packing import pack_documents
+from .periodic_runs import periodic_runs
 from .piece_count import count_pieces
 from .pivot_search import exact_top_k
 from .secret_scan import scan_secrets
@@ -139,3 +141,41 @@ SELECT doc_id, first_value(doc_id) OVER copies AS keep_id, count(*) OVER (PARTIT
 FROM c
 WINDOW copies AS (PARTITION BY content ORDER BY chars DESC, doc_id NULLS LAST)
 """
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; where the crc32 of the id ends in 0, the words from some
+    place on repeat a stretch, as the contract of op12 states."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when((h % 10 == 0) & F.col("text").isNotNull(), F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    g, n = F.floor(h / 10), F.size("words")
+    told = docs.select("doc_id", "text", words.alias("words"), g.alias("g"))
+    placed = told.select("*", F.when(n > 0, (F.col("g") % n).cast("int")).alias("a"))
+    rest = n - F.col("a")
+    unit = F.slice("words", F.col("a") + 1, (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    units = placed.select("*", unit.alias("unit"))
+    times = F.ceil(rest / F.size("unit")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat("unit", times)), F.lit(1), rest)
+    whole = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return units.select("doc_id", F.when(F.col("a").isNotNull(), whole).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, folder):
+    found = periodic_runs(with_periods(table(spark, folder, "documents").select("doc_id", "text")))
+    # The first of the runs, which are in order, with the greatest length a period.
+    best = F.reduce(
+        F.slice("runs", F.lit(2), F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r.length * b.period > b.length * r.period, r).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    digest = F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), digest.alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
