@@ -11,6 +11,7 @@ from .common import WORD
 from .exact_dedup import exact_duplicates
 from .host_rules import apply_host_rules
 from .language_model import score_language_model
+from .lexical_search import ranked_search
 from .line_dedup import drop_common_lines
 from .mixing import mix_sources, word_count
 from .near_dup import near_duplicates
@@ -179,3 +180,36 @@ def op12_periodic_runs(spark, folder):
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         "runs_sha256", "collapsed_sha256",
     )
+
+
+@query
+def op13_ranked_search(spark, folder):
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op13_ranked_search"] = r"""
+WITH occurrences AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM occurrences GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+norms AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM lengths, totals),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN norms USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
