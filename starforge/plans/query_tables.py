@@ -26,13 +26,14 @@ EVENT_CSV_KEPT = (
 def stage_event_csv(spark: SparkSession, path: str | Sequence[str], target: str | None = None) -> DataFrame:
     """Daily event CSVs reduced to the kept columns of played events (artist not empty).
 
-    With ``target`` the result is also written as CSV with all fields quoted, and
-    read back from there.
+    A line that does not fit the columns stops the load; ``stage_csv`` can keep
+    such lines apart first. With ``target`` the result is also written as CSV
+    with all fields quoted, and read back from there.
     """
-    played = drop_empty(scan_csv(spark, path, EVENT_CSV_SCHEMA), "artist").select(*EVENT_CSV_KEPT)
+    played = drop_empty(scan_csv(spark, path, EVENT_CSV_SCHEMA, strict=True), "artist").select(*EVENT_CSV_KEPT)
     if target is None:
         return played
-    return scan_csv(spark, write_csv(played, target, quote_all=True), played.schema)
+    return scan_csv(spark, write_csv(played, target, quote_all=True), played.schema, strict=True)
 
 
 def build_query_table(

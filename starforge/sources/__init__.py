@@ -5,7 +5,7 @@ from .readers import (
     scan_parquet,
     scan_text,
 )
-from .staging import dated_paths, ingest_slices, missing_paths, parse_json_path, stage_dates, stage_json
+from .staging import dated_paths, ingest_slices, missing_paths, parse_json_path, stage_csv, stage_dates, stage_json
 from .tables import drop_table, ensure_table, register, save_table, truncate_table
 from .writers import write_csv, write_json, write_parquet, write_text
 
@@ -23,6 +23,7 @@ __all__ = [
     "scan_json",
     "scan_parquet",
     "scan_text",
+    "stage_csv",
     "stage_dates",
     "stage_json",
     "truncate_table",

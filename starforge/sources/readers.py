@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from .rejects import failing, marked
+
 Paths = str | Sequence[str]
 
 
@@ -33,9 +35,28 @@ def scan_json(
     return df.withColumn("source_file", F.col("_metadata.file_path")) if with_file else df
 
 
-def scan_csv(spark: SparkSession, path: Paths, schema: StructType | str, **options) -> DataFrame:
-    """CSV with a header line in every file."""
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+def scan_csv(
+    spark: SparkSession,
+    path: Paths,
+    schema: StructType | str,
+    strict: bool = False,
+    mark_bad: bool = False,
+    **options,
+) -> DataFrame:
+    """CSV with a header line in every file.
+
+    ``strict`` stops at a line with too few or too many fields, at a value that
+    does not fit its type, and at a header that differs from the schema.
+    ``mark_bad`` gives such lines in a column ``_bad_line`` instead, their other
+    columns being of no use. With neither they become nulls.
+    """
+    if strict and mark_bad:
+        raise ValueError("bad lines either stop the scan or are marked")
+    reader = spark.read.option("header", True).option("escape", '"')
+    if strict:
+        reader = failing(reader, schema).option("enforceSchema", False)
+    else:
+        reader = marked(reader, schema) if mark_bad else reader.schema(schema)
     return reader.options(**options).csv(path if isinstance(path, str) else list(path))
 
 

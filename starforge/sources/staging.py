@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from ..session import path_exists
-from .readers import scan_json, scan_text
-from .writers import write_parquet, write_text
+from .readers import scan_csv, scan_json, scan_text
+from .rejects import BAD_LINE, write_judged
+from .writers import write_parquet
 
 LOAD_MODES = ("truncate_load", "append_only")
 
@@ -24,7 +25,6 @@ def check_mode(mode: str) -> str:
 
 # One step of a JSONPath: .name, [0], ['name'] or ["name"].
 _STEP = re.compile(r"""\.([A-Za-z_][\w]*)|\[\s*(\d+)\s*\]|\[\s*'((?:[^'\\]|\\.)*)'\s*\]|\[\s*"((?:[^"\\]|\\.)*)"\s*\]""")
-_BAD = "_bad_line"
 _ITEM = object()
 
 
@@ -75,7 +75,7 @@ def stage_json(
 
     A line that is no JSON, or whose values do not fit their types, stops the
     load. With ``bad_records`` such lines are written there as text instead, and
-    all others are loaded.
+    all others are loaded; a load that appends adds to the rejects too.
     """
     check_mode(mode)
     if mapping is None:
@@ -85,26 +85,49 @@ def stage_json(
         steps = {name: parse_json_path(json_path) for name, (json_path, _) in mapping.items()}
         wanted = _schema_of(list(steps.values()))
         fields = {name: (_path_column(steps[name]), kind) for name, (_, kind) in mapping.items()}
+    save = "overwrite" if mode == "truncate_load" else "append"
     if bad_records is None:
         rows = scan_json(spark, path, wanted, strict=True)
         staged = rows if fields is None else rows.select(*[c.cast(k).alias(n) for n, (c, k) in fields.items()])
+        write_parquet(staged, target, mode=save)
+        return spark.read.schema(staged.schema).parquet(target)
+    if wanted is None:
+        raise ValueError("bad_records needs a schema or a mapping")
+    lines = scan_text(spark, path).where(F.trim("value") != "")
+    parsed = F.from_json("value", wanted.add(BAD_LINE, "string"), {"columnNameOfCorruptRecord": BAD_LINE})
+    rows = lines.select("value", parsed.alias("row")).select("value", "row.*")
+    bad = F.col(BAD_LINE).isNotNull()
+    for column, kind in (fields or {}).values():
+        bad = bad | (column.isNotNull() & column.try_cast(kind).isNull())
+    names = [f.name for f in wanted.fields if f.name != BAD_LINE]
+    columns = {n: F.col(f"`{n}`") for n in names} if fields is None else {n: c.try_cast(k) for n, (c, k) in fields.items()}
+    judged = rows.select(*[c.alias(n) for n, c in columns.items()], F.when(bad, F.col("value")).alias(BAD_LINE))
+    write_judged(judged, target, bad_records, save)
+    return spark.read.schema(judged.drop(BAD_LINE).schema).parquet(target)
+
+
+def stage_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    target: str,
+    schema: StructType | str,
+    mode: str = "truncate_load",
+    bad_records: str | None = None,
+    **options,
+) -> DataFrame:
+    """Load CSV files with headers into a staging table and return its scan.
+
+    A line that does not fit the schema stops the load before anything is
+    loaded; with ``bad_records`` it is written there as text instead, replaced or
+    added to as the load's mode says.
+    """
+    check_mode(mode)
+    save = "overwrite" if mode == "truncate_load" else "append"
+    if bad_records is None:
+        write_parquet(scan_csv(spark, path, schema, strict=True, **options), target, mode=save)
     else:
-        lines = scan_text(spark, path).where(F.trim("value") != "")
-        if wanted is None:
-            raise ValueError("bad_records needs a schema or a mapping")
-        parsed = F.from_json("value", wanted.add(_BAD, "string"), {"columnNameOfCorruptRecord": _BAD})
-        rows = lines.select("value", parsed.alias("row"))
-        rows = rows.select("value", "row.*")
-        bad = F.col(_BAD).isNotNull()
-        for column, kind in (fields or {}).values():
-            bad = bad | (column.isNotNull() & column.try_cast(kind).isNull())
-        judged = rows.withColumn("_is_bad", bad)
-        write_text(judged.where("_is_bad").select("value"), bad_records, mode="overwrite")
-        good = judged.where("NOT _is_bad")
-        names = [f"`{f.name}`" for f in wanted.fields if f.name != _BAD]
-        staged = good.select(*names) if fields is None else good.select(*[c.try_cast(k).alias(n) for n, (c, k) in fields.items()])
-    write_parquet(staged, target, mode="overwrite" if mode == "truncate_load" else "append")
-    return spark.read.schema(staged.schema).parquet(target)
+        write_judged(scan_csv(spark, path, schema, mark_bad=True, **options), target, bad_records, save)
+    return spark.read.schema(schema).parquet(target)
 
 
 def _schema_of(paths: Sequence[Sequence[str | int]]) -> StructType:

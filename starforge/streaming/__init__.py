@@ -1,3 +1,3 @@
-from .jobs import stream_append_new, stream_stage, stream_upsert
+from .jobs import file_stream, read_staged, stream_append_new, stream_stage, stream_upsert
 
-__all__ = ["stream_append_new", "stream_stage", "stream_upsert"]
+__all__ = ["file_stream", "read_staged", "stream_append_new", "stream_stage", "stream_upsert"]

@@ -106,26 +106,64 @@ def stage_json_bracket_paths(t):
     )
 
 
-@query(
-    "stage_json_bad_records",
-    """SELECT count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS staged,
-              count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS bad FROM events""",
-)
-def stage_json_bad_records(t):
-    """Broken lines and ill-typed values go to a folder of their own, the rest is loaded."""
+# Events of two kinds are bad lines: an ill-typed value, a second opening brace.
+BAD_LINES_SQL = """
+SELECT CASE WHEN event_type NOT IN ('error', 'signup') THEN event_id END AS event_id,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN event_type END AS event_type,
+       CASE event_type WHEN 'error' THEN '{{"event_id":' || event_id || ',"event_type":"error"}'
+                       WHEN 'signup' THEN '{"event_id": "none", "event_type": "signup"}' END AS bad_line
+FROM events"""
+
+
+def lines_with_bad_ones(t):
+    """``event_id`` and the line (``value``) of every event."""
     line = F.to_json(F.struct("event_id", "event_type"))
     broken = F.when(F.col("event_type") == "error", F.concat(F.lit("{"), line))
     ill = F.concat(F.lit('{"event_id": "none", "event_type": "'), "event_type", F.lit('"}'))
-    lines = t.events.select(broken.when(F.col("event_type") == "signup", ill).otherwise(line).alias("value"))
-    path = sources.write_text(lines, t.scratch("bad-source"))
-    bad = t.scratch("bad-lines")
-    staged = sources.stage_json(
-        t.spark, path, t.scratch("bad-staged"), schema="event_id long, event_type string", bad_records=bad
+    return t.events.select(
+        "event_id", broken.when(F.col("event_type") == "signup", ill).otherwise(line).alias("value")
     )
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    loaded = staged.select(one.alias("staged"), none.alias("bad"))
-    kept_apart = sources.scan_text(t.spark, bad).select(none.alias("staged"), one.alias("bad"))
-    return loaded.union(kept_apart).agg(F.sum("staged").alias("staged"), F.sum("bad").alias("bad"))
+
+
+@query("stage_json_bad_records", BAD_LINES_SQL)
+def stage_json_bad_records(t):
+    """Broken lines and ill-typed values go to a folder of their own, the rest is
+    loaded; two loads add to both."""
+    target, bad = t.scratch("bad-staged"), t.scratch("bad-lines")
+    lines = lines_with_bad_ones(t)
+    for name, part in (("even", F.col("event_id") % 2 == 0), ("odd", F.col("event_id") % 2 == 1)):
+        path = sources.write_text(lines.where(part).select("value"), t.scratch(f"bad-source-{name}"))
+        staged = sources.stage_json(
+            t.spark, path, target, schema="event_id long, event_type string", mode="append_only", bad_records=bad
+        )
+    rejects = sources.scan_text(t.spark, bad).withColumnRenamed("value", "bad_line")
+    return staged.unionByName(rejects, allowMissingColumns=True)
+
+
+@query(
+    "stage_csv_bad_records",
+    """SELECT CASE WHEN p_size % 7 > 1 THEN p_partkey END AS p_partkey, CASE WHEN p_size % 7 > 1 THEN p_brand END AS p_brand,
+              CASE WHEN p_size % 7 > 1 THEN p_size END AS p_size,
+              CASE WHEN p_size % 7 = 0 THEN p_partkey || ',' || p_brand
+                   WHEN p_size % 7 = 1 THEN p_partkey || ',' || p_brand || ',size ' || p_size END AS bad_line
+       FROM part""",
+)
+def stage_csv_bad_records(t):
+    """Lines without their last field, and sizes that are no numbers, among those of a catalogue."""
+    size = F.when(F.col("p_size") % 7 == 1, F.concat(F.lit(",size "), "p_size"))
+    size = size.when(F.col("p_size") % 7 == 0, "").otherwise(F.concat(F.lit(","), "p_size"))
+    lines = t.part.select(F.concat("p_partkey", F.lit(","), "p_brand", size).alias("line"))
+    # One column of text with a header is a CSV file as it stands.
+    path = t.scratch("csv-source")
+    header = "p_partkey,p_brand,p_size"
+    lines.withColumnRenamed("line", header).write.option("header", True).option("quote", "").option(
+        "sep", "|"
+    ).csv(path)
+    bad = t.scratch("csv-bad")
+    schema = "p_partkey long, p_brand string, p_size int"
+    staged = sources.stage_csv(t.spark, path, t.scratch("csv-staged"), schema, bad_records=bad)
+    rejects = sources.scan_text(t.spark, bad).withColumnRenamed("value", "bad_line")
+    return staged.unionByName(rejects, allowMissingColumns=True)
 
 
 @query("scan_csv", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")

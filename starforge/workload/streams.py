@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_ms_to_ts
 from ..operators.load import BUCKET, read_upserted
-from ..streaming.jobs import file_stream, stream_append_new, stream_stage, stream_upsert
-from .reading import LOG_SCHEMA, LOG_SQL, _raw_events
+from ..streaming.jobs import file_stream, read_staged, stream_append_new, stream_stage, stream_upsert
+from .reading import BAD_LINES_SQL, LOG_SCHEMA, LOG_SQL, _raw_events, lines_with_bad_ones
 from .registry import query
 
 
@@ -31,6 +31,19 @@ def stream_stage_events(t):
     return t.spark.read.parquet(target)
 
 
+@query("stream_stage_bad_records", BAD_LINES_SQL)
+def stream_stage_bad_records(t):
+    """Good rows and bad lines of two rounds of files, each in a table of its own."""
+    root, target, bad, checkpoint = (t.scratch(x) for x in ("bad-stream", "bad-staged", "bad-lines", "bad-state"))
+    lines = lines_with_bad_ones(t)
+    for name, part in (("first", F.col("event_id") % 2 == 0), ("second", F.col("event_id") % 2 == 1)):
+        lines.where(part).select("value").write.text(f"{root}/{name}")
+        stream = file_stream(t.spark, root, "event_id long, event_type string", mark_bad=True, pathGlobFilter="part-*")
+        stream_stage(stream, target, checkpoint, bad_records=bad)
+    staged = read_staged(t.spark, target).withColumn("bad_line", F.lit(None).cast("string"))
+    return staged.unionByName(read_staged(t.spark, bad, "text").withColumnRenamed("value", "bad_line"), True)
+
+
 @query("stream_append_new", LOG_SQL)
 def stream_append_new_events(t):
     """Purchases are sent twice, the second time days later."""

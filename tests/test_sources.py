@@ -171,3 +171,45 @@ def test_bad_lines_stop_the_load_or_are_kept_apart(spark, tmp_path, rows):
     mapping = {"a": ("$.a", "int"), "b": ("$['b']", "string")}
     assert rows(sources.stage_json(spark, source, target, mapping=mapping, bad_records=bad)) == [(1, "x")]
     assert sources.scan_text(spark, bad).count() == 2
+
+
+def test_rejects_follow_the_mode_of_the_load(spark, tmp_path, rows):
+    target, bad = str(tmp_path / "s"), str(tmp_path / "bad")
+    for i, name in enumerate("ab"):
+        (tmp_path / f"{name}.json").write_text('{"a": %d}\n{"a": "%s"}\n' % (i, name))
+
+    def stage(name, mode):
+        return sources.stage_json(spark, str(tmp_path / f"{name}.json"), target, schema="a int", mode=mode, bad_records=bad)
+
+    stage("a", "append_only")
+    assert rows(stage("b", "append_only")) == [(0,), (1,)]
+    assert rows(sources.scan_text(spark, bad)) == [('{"a": "a"}',), ('{"a": "b"}',)]
+    assert rows(stage("b", "truncate_load")) == [(1,)]
+    assert rows(sources.scan_text(spark, bad)) == [('{"a": "b"}',)]
+
+
+def test_csv_bad_lines_stop_the_scan_or_are_marked_or_kept_apart(spark, tmp_path, rows):
+    (tmp_path / "c.csv").write_text('id,name,n\n1,"a, b",2\n2,short\n3,c,many\n4,d,5,6\n')
+    path, schema = str(tmp_path / "c.csv"), "id int, name string, n int"
+    assert sources.scan_csv(spark, path, schema).where("n is null").count() == 2
+    for ask in (lambda df: df.collect(), lambda df: df.select("id").collect()):
+        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+            ask(sources.scan_csv(spark, path, schema, strict=True))
+    marked = sources.scan_csv(spark, path, schema, mark_bad=True)
+    assert rows(marked.where("_bad_line is null").drop("_bad_line")) == [(1, "a, b", 2)]
+    target, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        sources.stage_csv(spark, path, target, schema)
+    assert not path_exists(spark, f"{target}/_SUCCESS")
+    for n in (1, 2):
+        staged = sources.stage_csv(spark, path, target, schema, mode="append_only", bad_records=bad)
+        assert rows(staged) == [(1, "a, b", 2)] * n
+        assert rows(sources.scan_text(spark, bad)) == sorted([("2,short",), ("3,c,many",), ("4,d,5,6",)] * n)
+    with pytest.raises(ValueError):
+        sources.scan_csv(spark, path, schema, strict=True, mark_bad=True)
+
+
+def test_strict_csv_wants_the_headers_of_the_schema(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,other\n1,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform|FAILED_READ_FILE"):
+        sources.scan_csv(spark, str(tmp_path / "c.csv"), "id int, n int", strict=True).collect()
