@@ -1,8 +1,9 @@
-from . import aggregates, calendar, joins, keys, load, projection, quality, ranking
+from . import aggregates, calendar, constraints, joins, keys, load, projection, quality, ranking
 
 __all__ = [
     "aggregates",
     "calendar",
+    "constraints",
     "joins",
     "keys",
     "load",

@@ -185,6 +185,18 @@ def backfill(df: DataFrame, source: DataFrame, on: str, columns: Sequence[str])
     return kept.join(source.select(on, *columns), on, "inner").select(*df.columns, *[c for c in columns if c not in df.columns])
 
 
+def within(fact: DataFrame, dim: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """The fact rows whose partition columns (keys of ``columns``) occur in a
+    filtered dim (its values), most often a calendar limited to a period.
+
+    The join is on the columns that the fact is partitioned by, so its scan is
+    pruned at run time: Spark reads the dim first and opens only the folders
+    that match, provided the dim is small enough to be broadcast.
+    """
+    wanted = dim.select(*[F.col(c).alias(p) for p, c in columns.items()]).distinct()
+    return fact.join(wanted, list(columns), "left_semi")
+
+
 def star_query(
     fact: DataFrame,
     dims: Sequence[tuple[DataFrame, str, str, str]],

@@ -60,6 +60,22 @@ def load(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()
     return _stats(spark, target, before)
 
 
+def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows for, by one write.
+
+    The other partitions keep their files, which are neither read nor listed. A
+    load that is repeated gives the same table, so slices (months, files) can be
+    loaded together and again. A partition that gets no row stays: to empty one,
+    drop its folder. The job stages its files and moves them at its commit, so a
+    job that fails before leaves the table as it was.
+    """
+    if not partition_by:
+        raise ValueError("partitions can only be replaced in a partitioned table")
+    rows = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(target)
+
+
 def insert_ignore(
     target: str,
     batch: DataFrame,

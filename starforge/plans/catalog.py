@@ -9,7 +9,7 @@ from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.joins import star_query
+from ..operators.joins import star_query, within
 from ..operators.ranking import rank_groups
 from ..session import path_exists
 from ..sources.writers import write_json, write_parquet
@@ -17,6 +17,16 @@ from ..sources.writers import write_json, write_parquet
 Builder = Callable[["Catalog"], DataFrame]
 
 
+@dataclass(frozen=True)
+class Period:
+    """A part of a calendar (``only``) and the columns by which the fact is
+    partitioned, each with the calendar's column of the same values."""
+
+    table: str
+    columns: Mapping[str, str]
+    only: Callable[[], Column]
+
+
 @dataclass(frozen=True)
 class Question:
     """A business question: measures of a fact by columns of its dimensions.
@@ -45,8 +55,12 @@ class Question:
     def tables(self) -> tuple[str, ...]:
         return (self.fact, *[table for table, _, _ in self.dims])
 
-    def answer(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+    def answer(self, tables: Mapping[str, DataFrame], period: Period | None = None) -> DataFrame:
+        """The ordered answer; with ``period`` only the fact's folders of that
+        part of the calendar are read."""
         fact = tables[self.fact]
+        if period is not None:
+            fact = within(fact, tables[period.table].where(period.only()), period.columns)
         if self.only is not None:
             fact = fact.where(self.only())
         fact = fact.withColumns({name: make() for name, make in self.derived.items()})
@@ -111,9 +125,10 @@ class Catalog:
         with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
             return dict(zip(names, pool.map(self.get, names)))
 
-    def answer(self, question: Question, export_to: str | None = None) -> DataFrame:
+    def answer(self, question: Question, export_to: str | None = None, period: Period | None = None) -> DataFrame:
         """The ordered answer, built on the needed tables; export as JSON lines."""
-        result = question.answer(self.build(*question.tables))
+        calendar = [period.table] if period is not None else []
+        result = question.answer(self.build(*dict.fromkeys([*question.tables, *calendar])), period)
         if export_to is not None:
             write_json(result, export_to)
         return result

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import joins
+from ..sources import tables
 from .registry import query
 
 
@@ -19,6 +20,31 @@ def inner_join(t):
     )
 
 
+@query(
+    "bucketed_fact_dim_join",
+    """SELECT o_orderkey, o_orderpriority, count(*) AS items, round(sum(l_extendedprice), 2) AS price
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""",
+)
+def bucketed_fact_dim_join(t):
+    """Items and orders in as many buckets of the order key: neither the join nor
+    the totals by order move a row."""
+    names = {}
+    for table, key, columns in (
+        (t.lineitem, "l_orderkey", ["l_orderkey", "l_extendedprice"]),
+        (t.orders, "o_orderkey", ["o_orderkey", "o_orderpriority"]),
+    ):
+        path = t.scratch(f"bucketed-{key}")
+        names[key] = f"bucketed_{key}_{path[-32:]}"
+        layout = tables.Layout((key,), 16, (key,))
+        tables.save_table(table.select(*columns), names[key], path=path, layout=layout)
+    items, orders = t.spark.table(names["l_orderkey"]), t.spark.table(names["o_orderkey"])
+    # Both sides are large tables: no broadcast is asked for, and none is needed to spare the exchange.
+    joined = items.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_orderkey", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("items"), F.round(F.sum("l_extendedprice"), 2).alias("price")
+    )
+
+
 def _composite(t, salts=None):
     # Only the (part, supplier) pairs that were sold in bulk are known to the lookup side.
     items = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

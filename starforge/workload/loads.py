@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import load
+from ..operators import constraints, load
 from ..operators.load import stats_frame
 from ..operators.joins import referenced_only
 from ..plans.staged_load import load_songplay_star
+from ..sources import tables
 from .raw import SONGPLAYS_SQL, catalogue, event_log
 from .registry import query
 
@@ -91,6 +92,72 @@ def append_new_members(t):
     return t.spark.read.parquet(target)
 
 
+@query(
+    "replace_partitions",
+    """SELECT o_orderkey, CASE WHEN year(o_orderdate) % 2 = 0 THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS price,
+              CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders""",
+)
+def replace_partitions(t):
+    """Corrected prices for every second year, loaded twice, replace its months only."""
+    target = t.scratch("replaced")
+    year, month = F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"), year, month)
+    corrected = rows.where(F.col("year") % 2 == 0).withColumn("price", F.round(F.col("price") * 2, 2))
+    for batch in (rows, corrected, corrected):
+        load.replace_partitions(batch, target, ["year", "month"])
+    return t.spark.read.parquet(target)
+
+
+def _refused(step):
+    """Run a load that a constraint has to stop."""
+    try:
+        step()
+    except Exception as error:  # noqa: BLE001 - what Spark raises depends on the session
+        if "is broken by" not in str(error):
+            raise
+        return
+    raise RuntimeError("a load that breaks a constraint went through")
+
+
+@query("load_constrained", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def load_constrained(t):
+    """Appends under NOT NULL and a primary key. Loads with a null, with a key
+    twice and with a known key fail; what they left is the result."""
+    target = t.scratch("constrained")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+
+    def add(batch, mode="append_only"):
+        constraints.load_constrained(batch, target, mode, ["o_custkey"], ["o_orderkey"])
+
+    add(rows.where(F.col("o_orderkey") % 2 == 0))
+    later = rows.where(F.col("o_orderkey") % 2 == 1)
+    no_customer = later.withColumn("o_custkey", F.when(F.col("o_totalprice") < 100_000, F.col("o_custkey")))
+    _refused(lambda: add(no_customer))
+    _refused(lambda: add(later.unionByName(later)))
+    _refused(lambda: add(rows))
+    _refused(lambda: add(no_customer, "truncate_load"))
+    add(later)
+    return t.spark.read.parquet(target)
+
+
+@query("load_constrained_table", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+def load_constrained_table(t):
+    """The same for a catalogue table, by the constraints that it was created with."""
+    path = t.scratch("constrained-table")
+    name = f"constrained_{path[-32:]}"
+    rows = t.customer.select("c_custkey", "c_name", "c_nationkey")
+    tables.ensure_table(
+        t.spark, name, "c_custkey long, c_name string NOT NULL, c_nationkey long", path, primary_key=["c_custkey"]
+    )
+    constraints.load_table(rows.where(F.col("c_nationkey") < 10), name, "append_only")
+    rest = rows.where(F.col("c_nationkey") >= 10)
+    _refused(lambda: constraints.load_table(rows, name, "append_only"))
+    _refused(lambda: constraints.load_table(rest.withColumn("c_name", F.nullif("c_name", "c_name")), name, "append_only"))
+    _refused(lambda: constraints.load_table(rest.unionByName(rest), name, "truncate_load"))
+    constraints.load_table(rest, name, "append_only")
+    return t.spark.table(name)
+
+
 @query(
     "load_stats",
     """SELECT 'first' AS step, 0 AS before, count(*) FILTER (WHERE o_orderstatus <> 'P') AS after,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import calendar, joins, ranking
 from ..plans import immigration, songplay
 from ..session import materialise
+from ..sources.writers import write_parquet
 from .raw import (
     ARRIVAL_LIMITS,
     SONGPLAYS_SQL,
@@ -74,6 +75,34 @@ def star_rank_month(t):
     return ranking.rank_bounded(counts, "entries", "entries_rank")
 
 
+@query(
+    "star_month_pruned",
+    """SELECT strftime(l_shipdate, '%Y/%m') AS year_month, s_name AS supplier, count(*) AS entries,
+              round(sum(l_quantity), 2) AS quantity
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+       WHERE quarter(l_shipdate) = 2 AND strftime(l_shipdate, '%Y/%m') BETWEEN
+             (SELECT strftime(min(o_orderdate), '%Y/%m') FROM orders) AND (SELECT strftime(max(o_orderdate), '%Y/%m') FROM orders)
+       GROUP BY ALL""",
+)
+def star_month_pruned(t):
+    """Second-quarter shipments by month and supplier, from a fact in monthly
+    folders of which only the calendar's months are read."""
+    fact = t.lineitem.select(
+        "l_suppkey", "l_quantity", F.date_format("l_shipdate", "yyyy/MM").alias("year_month"),
+        F.year("l_shipdate").alias("ship_year"), F.month("l_shipdate").alias("ship_month"),
+    )
+    path = write_parquet(fact, t.scratch("shipped-by-month"), ["ship_year", "ship_month"])
+    days = materialise(calendar.build_date_dimension(t.orders, "o_orderdate", "d_da_"), "calendar")
+    quarter = days.where(F.quarter("d_da_id") == 2)
+    months = {"ship_year": "d_da_year", "ship_month": "d_da_month"}
+    return joins.star_query(
+        joins.within(t.spark.read.parquet(path), quarter, months),
+        [(t.supplier, "l_suppkey", "s_suppkey", "inner")],
+        {"year_month": "year_month", "supplier": "s_name"},
+        {"entries": ("count", "l_suppkey"), "quantity": ("sum", "l_quantity")},
+    ).withColumn("quantity", F.round("quantity", 2))
+
+
 @query(
     "star_rank_profile",
     """WITH profile AS (

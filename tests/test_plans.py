@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from starforge import sources
 from starforge.operators import joins, keys, ranking
 from starforge.workload import QUERIES
 
@@ -113,3 +114,29 @@ def test_no_single_task_sees_the_groups_of_a_ranked_report(spark, plan):
     text = plan(QUERIES["star_rank_supplier"](spark, DATA))
     assert text.count("SinglePartition") == 1
     assert "HashAggregate(keys=[_part" in text[text.index("SinglePartition"):]
+
+
+def test_tables_of_one_layout_join_and_total_without_an_exchange(spark, plan, tmp_path, no_broadcast):
+    for name in ("laid_a", "laid_b"):
+        frame = spark.range(1000).withColumn("v", F.col("id") % 7)
+        sources.save_table(frame, name, path=str(tmp_path / name), layout=sources.Layout(("id",), 4, ("id",)))
+        assert len(list((tmp_path / name).glob("*.parquet"))) == 4
+    a, b = spark.table("laid_a"), spark.table("laid_b").withColumnRenamed("v", "w")
+    text = plan(a.join(b, "id").groupBy("id").agg(F.sum("v"), F.max("w")))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    # Tables without the layout do move.
+    assert "Exchange" in plan(spark.range(1000).join(spark.range(50), "id"))
+    for name in ("laid_a", "laid_b"):
+        sources.drop_table(spark, name)
+
+
+def test_a_period_of_the_calendar_prunes_the_scan_of_the_fact(spark, plan, tmp_path):
+    fact = spark.range(2400).select("id", (F.col("id") % 2 + 2020).alias("y"), (F.col("id") % 12 + 1).alias("m"))
+    path = sources.write_parquet(fact, str(tmp_path / "fact"), ["y", "m"])
+    days = spark.range(731).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    calendar = sources.write_parquet(days.select("d", F.year("d").alias("cy"), F.month("d").alias("cm")), str(tmp_path / "days"))
+    quarter = spark.read.parquet(calendar).where(F.quarter("d") == 1)
+    picked = joins.within(spark.read.parquet(path), quarter, {"y": "cy", "m": "cm"})
+    text = plan(picked.groupBy("m").count())
+    assert text.count("dynamicpruning") >= 2 and "PartitionFilters: [" in text
+    assert picked.select("m").distinct().count() == 3 and picked.count() == 600
