@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import epoch_days_to_date, parse_date
 from ..functions.predicates import clean_date
-from ..functions.text import Repair, drop_matching, extract_columns, repair
+from ..functions.text import Repair, extract_columns, repair
 from ..operators.aggregates import group_profile
 from ..operators.calendar import build_date_dimension
 from ..operators.joins import enrich, validate_fk
@@ -22,8 +22,10 @@ COUNTRY_LINE = r"^\s*(\d+)\s*=\s*'(.*)'"
 PORT_LINE = r"^\s*'([^']*)'\s*=\s*'(.+) ([\w/]+)"
 STATE_LINE = r"^\s*'(\w+)'\s*=\s*'([^']+)'"
 
-# Country names that are no countries, and the default member.
-INVALID_COUNTRIES = (r"^No Country Code (.*)", r"^.*\((should not show)\)", r"^INVALID:.*")
+# Texts by which country names that are no countries begin, a text
+# that such names have anywhere, and the default member.
+NO_COUNTRY_STARTS = ("No Country Code ", "INVALID:")
+NO_COUNTRY_MARK = "(should not show)"
 DEFAULT_COUNTRY = 999
 
 # Texts for port labels without a usable name or state.
@@ -58,8 +60,11 @@ def stage_countries(lines: DataFrame) -> DataFrame:
     labels = extract_columns(
         lines, "value", COUNTRY_LINE, {"st_ic_country_code": (1, "int"), "st_ic_country_name": (2, "string")}
     ).distinct()
-    valid = drop_matching(labels, "st_ic_country_name", INVALID_COUNTRIES)
-    return valid.unionByName(labels.where(F.col("st_ic_country_code") == DEFAULT_COUNTRY)).distinct()
+    name = F.col("st_ic_country_name")
+    invalid = name.contains(NO_COUNTRY_MARK)
+    for text in NO_COUNTRY_STARTS:
+        invalid = invalid | name.startswith(text)
+    return labels.where(~invalid | (F.col("st_ic_country_code") == DEFAULT_COUNTRY))
 
 
 def stage_airports(lines: DataFrame) -> DataFrame:

@@ -254,18 +254,15 @@ def concat_name(t):
 
 @query(
     "initcap",
-    """SELECT c_custkey, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ' ' ||
-              upper(r_name[1]) || lower(r_name[2:]) AS title
-       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-       WHERE r_name NOT LIKE '% %'""",
+    """SELECT c_custkey, list_aggregate(list_transform(string_split(c_mktsegment || ' ' || r_name, ' '),
+                lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') AS title
+       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 def initcap(t):
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return rows.where(~F.col("r_name").contains(" ")).select(
-        "c_custkey", F.initcap(F.concat_ws(" ", "c_mktsegment", "r_name")).alias("title")
-    )
+    return rows.select("c_custkey", F.initcap(F.concat_ws(" ", "c_mktsegment", "r_name")).alias("title"))
 
 
 URL = r"^(https?)://([a-z0-9-]+)\.([a-z0-9.-]+)/([a-z]{2})/([0-9]+)"
