@@ -36,7 +36,8 @@ class Rules:
     soft_upper: float = 0.2
     hard_upper: float = 0.5
     word_length: tuple[float, float] = (2.0, 14.0)
-    host_rate: float = 0.4
+    host_factor: float = 1.3
+    host_deviations: float = 2.0
 
 
 def measure(text: bytes) -> tuple[int, int, int, int, int, int]:
@@ -97,21 +98,27 @@ def measure_documents(docs: DataFrame, host: Column) -> DataFrame:
     )
 
 
-def host_verdicts(failures: DataFrame, limit: float) -> DataFrame:
-    """``host, n, failed`` to ``host, n, failed, rate, rejected``.
+def host_verdicts(failures: DataFrame, factor: float, deviations: float) -> DataFrame:
+    """``host, n, failed`` to ``host, n, failed, prior, rate, deviation, rejected``.
 
-    The prior's mean and strength come from the hosts' own rates by the method
-    of moments: strength = mean (1 - mean) / variance - 1, at least 1; where
-    the hosts do not differ it is 10 000. ``rate`` is the posterior mean.
+    The prior is the beta distribution of the hosts' own rates by the method of
+    moments, each host counting once, so that one with most of the rows does not
+    set the measure for itself: strength = mean (1 - mean) / variance - 1, at
+    least 1; where the hosts do not differ it is 10 000. ``prior`` is its mean;
+    ``rate`` and ``deviation`` are those of the host's posterior, so a host of few
+    documents has a rate near the prior and a wide deviation. A host is rejected
+    if ``rate - deviations * deviation > factor * prior``.
     """
     rate = F.col("failed") / F.col("n")
     # The driver holds two numbers: the prior.
-    mean, variance = failures.agg(F.sum("failed") / F.sum("n"), F.var_samp(rate)).first()
+    mean, variance = failures.agg(F.avg(rate), F.var_samp(rate)).first()
     mean = mean or 0.0
     strength = min(1e4, max(1.0, mean * (1 - mean) / variance - 1)) if variance else 1e4
-    posterior = (F.col("failed") + mean * strength) / (F.col("n") + strength)
-    out = failures.select("host", "n", "failed", posterior.alias("rate"))
-    return out.withColumn("rejected", F.col("rate") > limit)
+    weight = F.col("n") + strength
+    posterior = (F.col("failed") + mean * strength) / weight
+    out = failures.select("host", "n", "failed", F.lit(mean).alias("prior"), posterior.alias("rate"))
+    out = out.withColumn("deviation", F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + strength + 1)))
+    return out.withColumn("rejected", F.col("rate") - deviations * F.col("deviation") > factor * F.col("prior"))
 
 
 def apply_host_rules(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:
@@ -147,9 +154,10 @@ def apply_host_rules(docs: DataFrame, host: str = "source", rules: Rules = Rules
     judged = m.withColumns({"base_failed": base, "hard_failed": hard, "n_soft_failed": soft})
     bad = F.col("base_failed") | F.col("hard_failed") | (F.col("n_soft_failed") > 0)
     failures = judged.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(bad.cast("long")).alias("failed"))
-    verdicts = host_verdicts(failures, rules.host_rate).select(
-        F.col("host").alias("_host"), F.col("rate").alias("host_rate"), F.col("rejected").alias("host_rejected")
-    )
+    verdicts = host_verdicts(failures, rules.host_factor, rules.host_deviations).select(
+        F.col("host").alias("_host"), F.col("rate").alias("host_rate"), F.col("prior").alias("prior_rate"),
+        F.col("rejected").alias("host_rejected"),
+    )
     kept = ~(
         F.col("base_failed") | F.col("hard_failed") | (F.col("host_rejected") & (F.col("n_soft_failed") > 0))
     )

@@ -7,7 +7,8 @@ bits, a key being placed at the first level where no other key takes its
 position, and its index the number of set bits before it. The index leads into
 two compact arrays, a fingerprint and a count. Documents send their keys'
 hashes to the shards and get back those of common lines; no line is shuffled or
-joined.
+joined. A shard that a hot line gives too many probes has several copies, and
+every document asks one of them.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ from .common import map_lists, prepare, raw, signed, spare
 SHARD_KEYS = 8_192
 LEVELS = 24
 SPREAD = 2.0
-# Keys in at least this share of all (document, key) pairs, so at most its
-# inverse in number, are told to every task instead of being dealt to one.
-HOT_SHARE = 1 / 65_536
+# Probes, (document, key) pairs, that meet one copy of a shard: this many, or
+# this share of all pairs if that is more. A shard with more gets further copies,
+# so there are at most 65 536 of those, whatever a single line's share is.
+PROBES = 16_384
+COPY_SHARE = 1 / 65_536
 
 
 def line_key(line: bytes) -> bytes:
@@ -186,9 +189,12 @@ def common_keys(keys: DataFrame, least: int) -> DataFrame:
     shards = n_keys // SHARD_KEYS + 1
     built = materialise(build_shards(counts, shards, least if least > 255 else 255), "line-shards")
 
-    hot = counts.filter(F.col("n") >= max(least, n_pairs * HOT_SHARE)).select("high", "low", F.lit(True).alias("hot"))
-    told = keys.join(F.broadcast(hot), ["high", "low"], "left")
-    known = told.filter("hot").select("row", "high")
+    # Which shards have several copies: a routing table of at most 65 536 rows.
+    part = max(PROBES, n_pairs * COPY_SHARE)
+    shard = F.pmod("low", F.lit(shards)).alias("shard")
+    loads = counts.groupBy(shard).agg(F.sum("n").alias("pairs")).filter(F.col("pairs") > part)
+    copies = F.broadcast(loads.select("shard", F.ceil(F.col("pairs") / part).alias("copies")))
+    known = F.coalesce("copies", F.lit(1))
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -197,9 +203,16 @@ def common_keys(keys: DataFrame, least: int) -> DataFrame:
         n = table.count(left["high"].to_numpy().view(np.uint64), left["low"].to_numpy().view(np.uint64))
         return left.loc[n >= least, ["row", "high"]]
 
-    dealt = told.filter("hot is null").select("row", "high", "low", F.pmod("low", F.lit(shards)).alias("shard"))
-    found = dealt.groupBy("shard").cogroup(built.groupBy("shard")).applyInPandas(probe, "row long, high long")
-    return known.unionByName(found).groupBy("row").agg(F.collect_set("high").alias("common"))
+    # A document's probes of a split shard all meet the same copy.
+    dealt = keys.select("row", "high", "low", shard).join(copies, "shard", "left")
+    dealt = dealt.select("row", "high", "low", "shard", F.pmod(F.xxhash64("row"), known).alias("copy"))
+    spread = built.join(copies, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0), known - 1))).drop("copies")
+    found = (
+        dealt.groupBy("shard", "copy")
+        .cogroup(spread.groupBy("shard", "copy"))
+        .applyInPandas(probe, "row long, high long")
+    )
+    return found.groupBy("row").agg(F.collect_set("high").alias("common"))
 
 
 def drop_common_lines(docs: DataFrame, least: int = 10) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starforge.llm import language_model
 from starforge.llm.classifier import score_quality
-from starforge.llm.host_rules import apply_host_rules, host_verdicts
+from starforge.llm.host_rules import Rules, apply_host_rules, host_verdicts
 from starforge.llm.language_model import LogBilinear, Shape, Vocabulary, WordIndex, score_language_model
 from starforge.llm.piece_count import MARK, PieceCounter, count_pieces, load_pieces
 from starforge.llm.secret_scan import scan_secrets
@@ -63,12 +63,25 @@ def test_host_rules_measures(odd):
 
 def test_host_verdicts_shrink_small_hosts(spark):
     rows = [("big", 1000, 900), ("tiny", 1, 1), ("clean", 1000, 10), ("fair", 500, 50), (None, 10, 0)]
-    got = {r["host"]: r for r in host_verdicts(spark.createDataFrame(rows, "host string, n long, failed long"), 0.5).collect()}
+    got = {r["host"]: r for r in host_verdicts(spark.createDataFrame(rows, "host string, n long, failed long"), 1.5, 2.0).collect()}
     assert got["big"]["rejected"] and not got["clean"]["rejected"] and not got[None]["rejected"]
     mean = sum(r[2] for r in rows) / sum(r[1] for r in rows)
     assert mean < got["tiny"]["rate"] < 1.0
 
 
+def test_a_host_at_twice_the_usual_rate_is_rejected_and_one_of_chance_is_not(spark):
+    rows = [(f"h{i}", 400, 56 + i) for i in range(20)]
+    rows += [("twice", 1000, 300), ("huge", 30_000, 4_800), ("chance", 12, 4), ("some", 300, 55)]
+    frame = spark.createDataFrame(rows, "host string, n long, failed long")
+    rejected = host_verdicts(frame, Rules.host_factor, Rules.host_deviations).filter("rejected").collect()
+    assert [r["host"] for r in rejected] == ["twice"]
+    # Also where that host has most of all rows.
+    hot = frame.withColumn("n", F.when(F.col("host") == "twice", 1_000_000).otherwise(F.col("n"))).withColumn(
+        "failed", F.when(F.col("host") == "twice", 300_000).otherwise(F.col("failed"))
+    )
+    assert [r["host"] for r in host_verdicts(hot, Rules.host_factor, Rules.host_deviations).filter("rejected").collect()] == ["twice"]
+
+
 def test_host_verdict_reaches_the_documents(spark):
     prose = " ".join(f"word{i}" for i in range(80))
     soft = prose + " # # # # # # # # # # # #"
