@@ -1,4 +1,4 @@
-from . import aggregates, calendar, constraints, joins, keys, load, projection, quality, ranking
+from . import aggregates, calendar, constraints, joins, keys, load, projection, quality, ranking, sketches
 
 __all__ = [
     "aggregates",
@@ -10,4 +10,5 @@ __all__ = [
     "projection",
     "quality",
     "ranking",
+    "sketches",
 ]

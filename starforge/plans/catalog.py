@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,9 +56,9 @@ class Question:
     def tables(self) -> tuple[str, ...]:
         return (self.fact, *[table for table, _, _ in self.dims])
 
-    def answer(self, tables: Mapping[str, DataFrame], period: Period | None = None) -> DataFrame:
-        """The ordered answer; with ``period`` only the fact's folders of that
-        part of the calendar are read."""
+    def groups(self, tables: Mapping[str, DataFrame], period: Period | None = None) -> DataFrame:
+        """The rows of the answer in no order, hidden columns included; with
+        ``period`` only the fact's folders of that part of the calendar are read."""
         fact = tables[self.fact]
         if period is not None:
             fact = within(fact, tables[period.table].where(period.only()), period.columns)
@@ -65,13 +66,24 @@ class Question:
             fact = fact.where(self.only())
         fact = fact.withColumns({name: make() for name, make in self.derived.items()})
         dims = [(tables[table], key, key, how) for table, key, how in self.dims]
-        groups = star_query(fact, dims, self.group_by, self.measures)
-        order = [F.col(c) for c in self.order_by]
-        if self.rank is not None:
-            by = self.rank_by or next(iter(self.measures))
-            groups = rank_groups(groups, by, self.rank, self.dense)
-            order = [F.col(self.rank), *[F.col(c) for c in self.group_by]]
-        return groups.orderBy(*order).drop(*self.hidden)
+        found = star_query(fact, dims, self.group_by, self.measures)
+        if self.rank is None:
+            return found
+        return rank_groups(found, self.rank_by or next(iter(self.measures)), self.rank, self.dense)
+
+    def answer(self, tables: Mapping[str, DataFrame], period: Period | None = None) -> DataFrame:
+        """The ordered answer."""
+        order = self.order_by if self.rank is None else (self.rank, *self.group_by)
+        return self.groups(tables, period).orderBy(*order).drop(*self.hidden)
+
+    def as_rows(self, tables: Mapping[str, DataFrame], name: str, period: Period | None = None) -> DataFrame:
+        """The answer as ``question, rank, row``: rank null where none is asked for,
+        the other columns as a JSON text."""
+        found = self.groups(tables, period).drop(*self.hidden)
+        rank = F.lit(None) if self.rank is None else F.col(self.rank)
+        shown = [c for c in found.columns if c != self.rank]
+        row = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})
+        return found.select(F.lit(name).alias("question"), rank.cast("int").alias("rank"), row.alias("row"))
 
 
 @dataclass
@@ -132,3 +144,16 @@ class Catalog:
         if export_to is not None:
             write_json(result, export_to)
         return result
+
+    def answers(self, questions: Mapping[str, Question], period: Period | None = None) -> DataFrame:
+        """Several answers from one set of tables: ``question, rank, row``.
+
+        Every table is built once, and the answers are worked out as concurrent
+        jobs over what was stored.
+        """
+        calendar = [period.table] if period is not None else []
+        names = dict.fromkeys([table for q in questions.values() for table in q.tables] + calendar)
+        tables = self.build(*names)
+        with ThreadPoolExecutor(max_workers=max(1, len(questions))) as pool:
+            parts = pool.map(lambda item: item[1].as_rows(tables, item[0], period), questions.items())
+            return reduce(DataFrame.unionByName, parts)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_id
-from ..operators import aggregates, keys, projection, quality, ranking
+from ..operators import aggregates, keys, projection, quality, ranking, sketches
 from ..plans.songplay import level_popularity
+from ..session import materialise
 from .registry import query
 
 LABELLED = "(SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))"
@@ -114,6 +115,27 @@ def id_uniqueness(t):
     )
 
 
+@query(
+    "id_uniqueness_sketch",
+    """SELECT 'o_orderkey' AS column_name, count(o_orderkey) AS entries,
+              count(DISTINCT o_orderkey) = count(o_orderkey) AS may_be_unique, true AS within_bound FROM orders
+       UNION ALL
+       SELECT 'o_custkey', count(o_custkey), count(DISTINCT o_custkey) = count(o_custkey), true FROM orders
+       UNION ALL
+       SELECT 'o_orderstatus', count(o_orderstatus), false, true FROM orders""",
+)
+def id_uniqueness_sketch(t):
+    """Sketches kept by month of load, merged for the total; the exact counts only
+    say whether the estimates keep to their bound."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    rows = t.orders.select(*columns, F.trunc("o_orderdate", "month").alias("month"))
+    kept = materialise(sketches.distinct_sketches(rows, columns, ["month"]), "sketches")
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "exact")
+    off = F.abs(F.col("distinct_estimate") - F.col("exact")) / F.col("exact")
+    found = sketches.unique_candidates(kept).join(exact, "column_name")
+    return found.select("column_name", "entries", "may_be_unique", (off <= sketches.error_bound()).alias("within_bound"))
+
+
 @query(
     "missing_ratio",
     f"""SELECT unnest(['doc_id', 'lang', 'quality', 'toxic']) AS column_name,

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import constraints, load
 from ..operators.load import stats_frame
 from ..operators.joins import referenced_only
-from ..plans.staged_load import load_songplay_star
+from ..operators.quality import DataQualityError
+from ..plans.publish import STAR_RULES, load_audited_star
+from ..plans.staged_load import KEY_COLUMNS, load_songplay_star
 from ..sources import tables
+from ..session import materialise
 from .raw import SONGPLAYS_SQL, catalogue, event_log
 from .registry import query
 
@@ -212,3 +217,32 @@ def staged_star_report(t):
     """The quality report of a load of its own."""
     _, report = _loaded_star(t)
     return report
+
+
+@query(
+    "staged_star_audited",
+    STAR_LOAD_SQL.replace(
+        "SELECT step, CAST(0 AS BIGINT) AS before, n AS after, n AS inserted FROM (",
+        "SELECT step AS table_name, n AS entries FROM (",
+    ).rstrip()
+    + " WHERE step NOT LIKE 'staging%'",
+)
+def staged_star_audited(t):
+    """A second load whose plays lack their level fails its check: readers still
+    see the first one whole."""
+    root = t.scratch("audited-star")
+    prefix = f"star_{root[-32:]}_"
+    log = materialise(event_log(t), "event-log")
+    songs = materialise(catalogue(t), "catalogue")
+    load_audited_star(log, songs, root, "first", prefix, STAR_RULES)
+    try:
+        load_audited_star(log.withColumn("level", F.lit(None).cast("string")), songs, root, "second", prefix, STAR_RULES)
+    except DataQualityError:
+        pass
+    else:
+        raise RuntimeError("plays without a level were published")
+    counts = [
+        t.spark.table(prefix + name).agg(F.count(F.lit(1)).alias("entries")).select(F.lit(name).alias("table_name"), "entries")
+        for name in KEY_COLUMNS
+    ]
+    return reduce(DataFrame.unionByName, counts)

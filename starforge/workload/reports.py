@@ -247,3 +247,23 @@ def _register(name: str) -> None:
 
 for _name in immigration.QUESTIONS:
     _register(_name)
+
+
+def _answers_sql() -> str:
+    """All answers as (question, rank, row), the row as JSON of the columns in order."""
+    parts = []
+    for name, question in immigration.QUESTIONS.items():
+        shown = [*question.group_by, *[m for m in question.measures if m not in question.hidden]]
+        fields = ", ".join(f"{c} := {c}" for c in shown)
+        rank = question.rank or "NULL"
+        parts.append(
+            f"SELECT '{name}' AS question, CAST({rank} AS INTEGER) AS rank, "
+            f"CAST(to_json(struct_pack({fields})) AS VARCHAR) AS row FROM ({QUESTION_SQL['question_' + name]})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("immigration_answers", _answers_sql())
+def immigration_answers(t):
+    """One star, every answer."""
+    return _catalog(t).answers(immigration.QUESTIONS)

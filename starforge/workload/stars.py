@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import time_parts
-from ..operators import calendar, joins
+from ..operators import calendar, constraints, joins
 from ..plans import dictionary, immigration, query_tables, songplay
 from ..session import materialise
+from ..sources import tables
 from .raw import (
     AIRPORTS_SQL,
     ARRIVAL_LIMITS,
@@ -254,6 +255,7 @@ DESCRIBED = {
     "orders": "one row per order",
 }
 DESCRIBED_COLUMNS = {("customer", "c_custkey"): "primary key", ("orders", "o_custkey"): "buyer of the order"}
+KEYS = {"customer": ["c_custkey"], "orders": ["o_orderkey"]}
 SPARK_TYPES = {
     "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
                  "c_mktsegment": "string"},
@@ -268,7 +270,7 @@ def _dictionary_sql() -> str:
         f"""SELECT '{table}' AS table_name, '{DESCRIBED.get(table, "not set")}' AS table_description,
                    {i} AS position, '{c}' AS column_name,
                    '{DESCRIBED_COLUMNS.get((table, c), "not set")}' AS column_description,
-                   '{kind}' AS column_type, true AS column_nullable, count(*) AS table_entries, count({c}) AS column_entries
+                   '{kind}' AS column_type, {c not in KEYS.get(table, ())} AS column_nullable, count(*) AS table_entries, count({c}) AS column_entries
             FROM {table}"""
         for table, columns in SPARK_TYPES.items()
         for i, (c, kind) in enumerate(columns.items(), start=1)
@@ -277,8 +279,17 @@ def _dictionary_sql() -> str:
 
 @query("data_dictionary", _dictionary_sql())
 def data_dictionary(t):
-    """Written as quoted CSV and read back."""
-    rows = dictionary.data_dictionary(
-        {name: getattr(t, name) for name in SPARK_TYPES}, DESCRIBED, DESCRIBED_COLUMNS, with_entries=True
-    )
+    """Read from catalogue tables that carry their comments and keys, written as
+    quoted CSV and read back."""
+    names = {}
+    for table in SPARK_TYPES:
+        path = t.scratch(f"described-{table}")
+        names[table] = f"described_{table}_{path[-32:]}"
+        texts = {c: text for (owner, c), text in DESCRIBED_COLUMNS.items() if owner == table}
+        rows = tables.described(getattr(t, table), texts)
+        tables.ensure_table(
+            t.spark, names[table], rows.schema, path, primary_key=KEYS.get(table, ()), comment=DESCRIBED.get(table)
+        )
+        constraints.load_table(rows, names[table], "truncate_load")
+    rows = dictionary.catalogue_dictionary(t.spark, names, with_entries=True)
     return dictionary.export_dictionary(rows, t.scratch("dictionary"))

@@ -2,7 +2,9 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from starforge.operators.joins import within
 from starforge.plans import catalog, dictionary, immigration, query_tables, songplay, staged_load
 
 
@@ -259,6 +261,27 @@ def test_fact_and_questions(star, tmp_path, rows, spark):
     assert rows(star.answer(immigration.QUESTIONS["stay_lengths"])) == [(6, 1, 1)]
 
 
+def test_all_answers_of_one_star(star, rows, plan):
+    got = rows(star.answers(immigration.QUESTIONS))
+    top = next(json.loads(row) for q, r, row in got if (q, r) == ("origin_countries", 1))
+    assert list(top) == ["country_id", "country", "immigrants"] and (top["country_id"], top["immigrants"]) == (236, 2)
+    assert ("departure_months", None, '{"year_month_arrival":"2016/02","year_month_departure":"1900/01","immigrants":2}') in got
+    for name, question in immigration.QUESTIONS.items():
+        assert sum(q == name for q, _, _ in got) == star.answer(question).count()
+
+
+def test_answers_for_a_period_read_its_months_only(star, rows, plan):
+    january = catalog.Period(
+        "d_date_arrivals", {"f_i94_year": "d_da_year", "f_i94_month": "d_da_month"}, lambda: F.col("d_da_month") == 1
+    )
+    question = immigration.QUESTIONS["arrival_months"]
+    assert rows(star.answer(question, period=january)) == [("2016/01", 2, 1)]
+    tables = star.build(*question.tables)
+    picked = within(tables[question.fact], tables["d_date_arrivals"].where("d_da_month = 1"), january.columns)
+    assert "dynamicpruning" in plan(picked)
+    assert {q for q, _, _ in rows(star.answers({"months": question}, january))} == {"months"}
+
+
 def test_catalog_builds_once_and_reuses_stored_tables(spark, tmp_path):
     built = []
 
