@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import discard, materialise
 from .common import WORD, map_lists, prepare, raw, signed, spare
 from .components import connected_components
+from .words import word_groups
 
 WIDTH = 5
 HASHES = 64
@@ -33,7 +34,6 @@ CHUNK = 4
 # The largest distance for which some chunk of 16 has at most one error.
 DISTANCE = 2 * (HASHES // CHUNK) - 1
 SIMILAR = 75
-REMEMBERED = 300_000
 # Classes of one bucket that are compared in one step; larger buckets are cut.
 BLOCK = 4096
 
@@ -42,27 +42,32 @@ FACTORS = (_RNG.integers(1, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).as
 SHIFTS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a text."""
-    words = text.lower().split()
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    width = min(WIDTH, n)
-    key = np.full(n - width + 1, width, np.uint64)
+def mixed(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` consecutive word hashes."""
+    n = max(0, len(words) - width + 1)
+    key = np.full(n, width, np.uint64)
     for i in range(width):
-        key = (key ^ ids[i : n - width + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= words[i : n + i]
+        key *= np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(31)
-    return np.unique(key)
+    return key
+
+
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """Sorted 64-bit hashes of the distinct shingles of each text."""
+    out = []
+    for words, sizes in word_groups(texts):
+        keys = mixed(words, WIDTH)
+        start = 0
+        for n in sizes.tolist():
+            own = keys[start : start + n - WIDTH + 1] if n >= WIDTH else mixed(words[start : start + n], n)
+            # A text of fewer words is one shingle; one without words has none.
+            found = np.sort(own) if n else np.empty(0, np.uint64)
+            distinct = np.ones(len(found), bool)
+            np.not_equal(found[1:], found[:-1], out=distinct[1:])
+            out.append(found[distinct])
+            start += n
+    return out
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -95,12 +100,9 @@ def describe(docs: DataFrame) -> DataFrame:
     null for an empty one, and row a hash of id and text."""
 
     def make():
-        hashes = WordHashes()
-
         def step(ids, rows, texts):
             n, classes, sigs = [], [], []
-            for text in texts:
-                found = shingles(text, hashes)
+            for found in shingle_sets(texts):
                 n.append(len(found))
                 classes.append(signed(xxhash.xxh3_64_intdigest(found.tobytes())) if len(found) else None)
                 sigs.append(signature(found).tobytes() if len(found) else None)
@@ -135,9 +137,10 @@ def shared_counts(sets: DataFrame) -> DataFrame:
     An intersection cannot be larger, so classes that share less than the
     similarity asks for link with nothing, and two classes are compared only if
     their shared shingles could suffice. A shingle of one set names its class in
-    the same aggregate, so the shingles are shuffled once.
+    the same aggregate, so the shingles are shuffled once; one that is in very
+    many sets is one row per task by then.
     """
-    rows = sets.select("class", F.explode("found").alias("shingle")).repartition("shingle")
+    rows = sets.select("class", F.explode("found").alias("shingle"))
     once = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("class")).filter("n = 1")
     alone = once.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
     sizes = sets.select("class", F.size("found").alias("n"))
@@ -165,8 +168,11 @@ NEAREST = 4
 
 def neighbour_lists(members: DataFrame) -> DataFrame:
     """``a, to``: for every class its nearest neighbours in its buckets, each
-    sorted by signature; a few for every class however large a bucket is."""
-    dealt = members.repartition("key").sortWithinPartitions("key", "sig", "class")
+    sorted by signature; a few for every class however large a bucket is. A large
+    bucket lies in several range partitions; neighbours across their borders are
+    left to the later rounds, which compare all that is not yet joined."""
+    order = ("key", "sig", "class")
+    dealt = members.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches):
         last: tuple | None = None
@@ -282,40 +288,57 @@ def cross_lists(members: DataFrame, most: int | None) -> DataFrame:
     return dealt.mapInArrow(run, "a long, to array<long>")
 
 
-# Sets that a task holds while candidates stream past.
-SET_ROWS = 2048
+# Shingles of the sets of a block, 8 MB, which a task holds while candidates stream past.
+BLOCK_SHINGLES = 1 << 20
+# Classes that ask one copy of a block: this many, or this share of all if that
+# is more. A block that more ask has further copies, at most 65 536 in all.
+ASKING = 4096
+COPY_SHARE = 1 / 65_536
 
 
-def confirm(lists: DataFrame, sets: DataFrame, n_sets: int) -> DataFrame:
+def confirm(lists: DataFrame, sets: DataFrame, n_shingles: int) -> DataFrame:
     """``a, b`` of the candidates ``a, to`` whose full sets are similar enough.
 
-    Sets are dealt into blocks of bounded size. A class is sent, with its set,
-    to each block that holds some of its candidates; a task holds one block at a
-    time and streams those who ask. No row is made for a pair.
+    Sets are dealt into blocks of some ``BLOCK_SHINGLES`` (a longer set is a
+    block's worth by itself). A class is sent, with its set, to each block that
+    holds some of its candidates, or to one of the copies of a block that many
+    ask; a task holds one block at a time and streams those who ask. No row is
+    made for a pair.
     """
-    blocks = n_sets // SET_ROWS + 1
+    blocks = n_shingles // BLOCK_SHINGLES + 1
     block_of = lambda c: F.pmod(c, F.lit(blocks))
     where = F.explode(F.array_distinct(F.transform("to", block_of))).alias("block")
-    asking = lists.select("a", "to", where).select(
-        "block", F.lit(1).alias("asks"), "a", F.expr(f"filter(to, c -> pmod(c, {blocks}) = block)").alias("to")
-    )
+    lists = materialise(lists, "near-lists")
+    asking = lists.select("a", "to", where)
+    loads = asking.groupBy("block").agg(F.count(F.lit(1)).alias("asks"))
+    part = max(ASKING, (loads.agg(F.sum("asks")).first()[0] or 0) * COPY_SHARE)
+    copies = loads.filter(F.col("asks") > part).select("block", F.ceil(F.col("asks") / part).alias("copies"))
+    copies = F.broadcast(copies)
+    known = F.coalesce("copies", F.lit(1))
+    asking = asking.join(copies, "block", "left").select(
+        "block", F.pmod(F.xxhash64("a"), known).alias("copy"), F.lit(1).alias("asks"), "a",
+        F.expr(f"filter(to, c -> pmod(c, {blocks}) = block)").alias("to"),
+    )
     asking = asking.join(sets.select(F.col("class").alias("a"), "found"), "a")
-    held = sets.select(
-        block_of(F.col("class")).alias("block"),
+    held = sets.select(block_of(F.col("class")).alias("block"), "class", "found").join(copies, "block", "left")
+    held = held.select(
+        "block",
+        F.explode(F.sequence(F.lit(0).cast("long"), known - 1)).alias("copy"),
         F.lit(0).alias("asks"),
         F.col("class").alias("a"),
         F.lit(None).cast("array<long>").alias("to"),
         "found",
     )
-    rows = held.unionByName(asking).repartition("block").sortWithinPartitions("block", "asks", "a")
+    order = ("block", "copy")
+    rows = held.unionByName(asking).repartition(*order).sortWithinPartitions(*order, "asks", "a")
 
     def run(batches):
         block, own = None, {}
         for batch in batches:
             out: list[list] = [[], []]
-            numbers = batch.column(0).to_numpy(zero_copy_only=False)
-            ids, wanted = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            found = batch.column(4)
+            numbers = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            ids, wanted = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            found = batch.column(5)
             for i in range(batch.num_rows):
                 if numbers[i] != block:
                     block, own = numbers[i], {}
@@ -331,7 +354,7 @@ def confirm(lists: DataFrame, sets: DataFrame, n_sets: int) -> DataFrame:
                         out[1].append(other)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
-    return rows.select("block", "asks", "a", "to", "found").mapInArrow(run, "a long, b long")
+    return rows.select("block", "copy", "asks", "a", "to", "found").mapInArrow(run, "a long, b long")
 
 
 # 64-bit words of the bitmap that tells which rows' sets are wanted: 2 MB. The
@@ -355,12 +378,12 @@ def full_sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def make():
-        hashes, bitmap = WordHashes(), shared.value
+        bitmap = shared.value
 
         def step(rows, texts):
             at = np.array(rows, np.int64)
             wanted = (bitmap[at % BITMAP_WORDS] >> ((at >> 20) % 64)) & 1
-            found = [s for i in np.flatnonzero(wanted) if len(s := shingles(texts[i], hashes))]
+            found = [s for s in shingle_sets([texts[i] for i in np.flatnonzero(wanted)]) if len(s)]
             return [[signed(xxhash.xxh3_64_intdigest(f.tobytes())) for f in found], [f.view(np.int64) for f in found]]
 
         return step
@@ -379,11 +402,11 @@ def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     usable = classes.join(shared_counts(sets), "class").filter(100 * F.col("shared") >= SIMILAR * F.col("n"))
     usable = materialise(usable.select("class", "n", "shared", "sig"), "near-usable")
     members = materialise(shared.join(usable, "class"), "near-members")
-    n_usable = usable.count()
+    n_shingles = usable.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     own_sets = materialise(sets.join(usable.select("class"), "class", "left_semi"), "near-own-sets")
     discard(shared, sets)
 
-    links = materialise(confirm(neighbour_lists(members), own_sets, n_usable), "near-links")
+    links = materialise(confirm(neighbour_lists(members), own_sets, n_shingles), "near-links")
     # First the nearest of each class, which join most of what belongs together;
     # then all candidates between the components that are left. Components that
     # the last links join have no candidates that were not among those.
@@ -393,7 +416,7 @@ def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         own = own.withColumn("component", F.coalesce("component", "class"))
         mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         open_members = own.join(mixed.filter("low <> high").select("key"), "key")
-        more = materialise(confirm(cross_lists(open_members, most), own_sets, n_usable), "near-links")
+        more = materialise(confirm(cross_lists(open_members, most), own_sets, n_shingles), "near-links")
         links = links.unionByName(more)
     parts = connected_components(links)
     discard(usable, members, own_sets)
