@@ -1,16 +1,24 @@
 """Language-model scores of a log-bilinear model trained with noise-contrastive estimation.
 
-Words are mapped to ``classes`` outputs: one for the end of a text, one for each
-of the most frequent words, and the others by the last bytes of a word, with one
-class for the rest. The log-bilinear model predicts a class from the two classes
-before it; within a class, words have their smoothed share of the class's count.
-Over all words of the training texts and one unseen word per class, the
-probabilities after any context add up to 1.
+Words are mapped to classes: one for the end of a text, one for each of the most
+frequent words, and the others by the last bytes of a word, with one class for
+the rest. The number K of classes grows with the square root of the training
+tokens, up to ``MOST_CLASSES``, for which the tables that every task is told take
+48 MB. The log-bilinear model predicts a class from the two classes before it;
+within a class, words have their smoothed share of the class's count. Over all
+words of the training texts and one unseen word per class, the probabilities
+after any context add up to 1.
 
 The model's score of class w after (u, v) is
 ``(C1 * R[v] + C2 * R[u]) . Q[w] + b[w]``. Being linear in the context it is the
-sum of two entries of K x K tables, and its normaliser, one number per context,
-comes from batched matrix products over all contexts and outputs.
+sum of two entries of K x K tables, and the normalisers of all contexts are one
+product of the tables' exponentials.
+
+Training texts are dealt to lanes by a hash of the document, some million tokens
+each. In a pass the lanes train on from one model, each by itself and in the order
+of its hashes, and the results are averaged; neither the partitions of the input
+nor the schedule has a part in it. Passes go on until the score of development
+texts, which no lane learns from, rises by less than ``Shape.least_gain``.
 """
 
 from __future__ import annotations
@@ -21,10 +29,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 from .common import crc_mod, hash64, map_lists, prepare, raw
 
 END = b""
@@ -40,23 +47,36 @@ def lowered(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+# The largest K: three K x K tables of floats are told to every task.
+LEAST_CLASSES, MOST_CLASSES = 128, 2048
+# Of the classes, those of one word.
+SINGLE_SHARE = 0.6
+# Tokens of a lane, the part of the training texts that one task learns from.
+LANE_TOKENS = 2_000_000
+# One in so many training texts is kept for development.
+DEVELOPMENT = 50
+
+
 @dataclass(frozen=True)
 class Shape:
-    """Sizes and rates of the model. ``rounds`` are the shares of the training
-    texts that each round of parallel training reads; together all of them."""
+    """Sizes and rates of the model, and the passes that it is trained for at most."""
 
     single_words: int = 600
     tail_classes: int = 423
     dim: int = 24
-    noise: int = 32
+    noise: int = 64
     batch: int = 2048
-    rate: float = 0.25
-    rounds: tuple[int, ...] = (1, 9)
+    rate: float = 0.1
+    passes: int = 8
+    least_gain: float = 0.01
     seed: int = 1
 
-    @property
-    def classes(self) -> int:
-        return 1 + self.single_words + self.tail_classes
+    @classmethod
+    def sized(cls, tokens: int) -> "Shape":
+        """The shape for so many training tokens."""
+        classes = min(MOST_CLASSES, max(LEAST_CLASSES, int(tokens**0.5)))
+        single = int(SINGLE_SHARE * classes)
+        return cls(single, classes - 1 - single)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -205,15 +225,16 @@ class LogBilinear:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores by last and by second last class, and the log normaliser of
-        every context (last, second last)."""
+        every context (last, second last).
+
+        The normaliser sums exp(one[v, w] + two[u, w]) over w for all v and u: a
+        matrix product of exponentials, each row less its largest score.
+        """
         one = ((self.r * self.c[0]) @ self.q.T + self.b).astype(np.float32)
         two = ((self.r * self.c[1]) @ self.q.T).astype(np.float32)
-        norm = np.empty((len(one), len(one)), np.float32)
-        for v in range(len(one)):
-            logits = two + one[v]
-            top = logits.max(1, keepdims=True)
-            norm[v] = np.log(np.exp(logits - top).sum(1)) + top[:, 0]
-        return one, two, norm
+        top_one, top_two = one.max(1, keepdims=True), two.max(1, keepdims=True)
+        sums = np.exp((one - top_one).astype(np.float64)) @ np.exp((two - top_two).astype(np.float64)).T
+        return one, two, (np.log(sums) + top_one + top_two.T).astype(np.float32)
 
 
 def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,44 +300,78 @@ def contexts(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return w, v, u
 
 
-def train_round(spark: SparkSession, docs: DataFrame, words: Vocabulary, model: LogBilinear, shape: Shape, part: int):
-    """One pass: every partition trains on from ``model``; the results are
-    averaged by tokens. Parameters are cut into blocks and summed per block, in
-    two steps, so that what meets in one task or the driver is bounded."""
+def packed(classes: np.ndarray) -> bytes:
+    return classes.astype(np.uint16).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint16).astype(np.int64)
+
+
+def encode(docs: DataFrame, words: Vocabulary, lanes: int) -> DataFrame:
+    """``lane, key, ids`` of every training text: its lane (-1 for development
+    texts), a hash of id and text, and the classes of its words."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(words))
+
+    def make():
+        words = Vocabulary(**shared.value)
+        index = WordIndex(words)
+
+        def step(lanes, keys, texts):
+            return [lanes, keys, [packed(classes_of(index.of(lowered(t)), words)) for t in texts]]
+
+        return step
+
+    key = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    turn = F.pmod(F.xxhash64(key, F.lit("development")), F.lit(DEVELOPMENT))
+    lane = F.when(turn == 0, -1).otherwise(F.pmod(key, F.lit(lanes))).cast("int")
+    given = docs.select(lane.alias("lane"), key.alias("key"), raw("text").alias("text"))
+    return map_lists(given, make, "lane int, key long, ids binary")
+
+
+def train_pass(
+    encoded: DataFrame, words: Vocabulary, model: LogBilinear, shape: Shape, lanes: int, number: int
+) -> LogBilinear:
+    """One pass: every lane trains on from ``model``; the results are averaged by
+    tokens. Parameters are cut into blocks and summed per block, in two steps, so
+    that what meets in one task or the driver is bounded."""
     k, d = len(words.mass), shape.dim
     noise = (words.mass + 0.5) / (words.mass + 0.5).sum()
-    shared = spark.sparkContext.broadcast((vars(words), model.pack(), noise))
+    shared = encoded.sparkSession.sparkContext.broadcast((model.pack(), noise))
+    order = ("lane", "key", "ids")
+    dealt = encoded.repartition(lanes, "lane").sortWithinPartitions(*order)
 
     def run(batches):
-        given, flat, noise = shared.value
-        words = Vocabulary(**given)
-        pid = TaskContext.get().partitionId()
-        index, trainer = WordIndex(words), None
-        seen, held, size = 0, [], 0
+        flat, noise = shared.value
+        lane, trainer, seen, held, size = None, None, 0, [], 0
 
         def learn():
             w, v, u = contexts(held)
             trainer.pass_over(w, v, u)
             return len(w)
 
+        def finished():
+            rest = learn() if held else 0
+            return pd_batch(lane, seen + rest, np.array_split(trainer.m.pack() * np.float64(seen + rest), BLOCKS))
+
         for batch in batches:
-            if trainer is None:
-                trainer = Trainer(LogBilinear.unpack(flat, k, d), noise, shape, shape.seed * 1000 + part * 100 + pid)
-            for text in batch.column(0).to_pylist():
-                at = index.of(lowered(text))
-                held.append(classes_of(at, words))
-                size += len(at) + 1
+            for own, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if own != lane:
+                    if trainer is not None:
+                        yield finished()
+                    lane, seen, held, size = own, 0, [], 0
+                    seed = (shape.seed * 1000 + number) * 1_000_003 + lane
+                    trainer = Trainer(LogBilinear.unpack(flat, k, d), noise, shape, seed)
+                held.append(unpacked(data))
+                size += len(held[-1]) + 1
                 if size > 1 << 17:
                     seen += learn()
                     held, size = [], 0
         if trainer is not None:
-            if held:
-                seen += learn()
-            blocks = np.array_split(trainer.m.pack() * np.float64(seen), BLOCKS)
-            yield pd_batch(pid, seen, blocks)
+            yield finished()
 
-    partial = docs.select(raw("text").alias("text")).mapInArrow(run, PARAMETERS)
-    for keys in (("block", "lane"), ("block",)):
+    partial = dealt.mapInArrow(run, PARAMETERS)
+    for keys in (("block", "part"), ("block",)):
         partial = partial.groupBy(*keys).applyInPandas(add_parameters, PARAMETERS)
     rows = sorted(partial.collect(), key=lambda r: r["block"])
     if not rows or not rows[0]["seen"]:
@@ -325,46 +380,74 @@ def train_round(spark: SparkSession, docs: DataFrame, words: Vocabulary, model:
     return LogBilinear.unpack(flat, k, d)
 
 
+def class_score(encoded: DataFrame, model: LogBilinear) -> float:
+    """Natural log probability of the classes of some texts, summed up."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model.tables())
+
+    def run(batches):
+        one, two, norm = shared.value
+        total = 0.0
+        for batch in batches:
+            w, v, u = contexts([unpacked(x) for x in batch.column(0).to_pylist()])
+            total += float((one[v, w] + two[u, w] - norm[v, u]).sum(dtype=np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([total])], ["score"])
+
+    return encoded.select("ids").mapInArrow(run, "score double").agg(F.sum("score")).first()[0] or 0.0
+
+
 BLOCKS = 32
-LANES = 64
-PARAMETERS = "block int, lane int, pid int, seen long, sums binary"
+GROUPS = 64
+PARAMETERS = "block int, part int, lane int, seen long, sums binary"
 
 
-def pd_batch(pid: int, seen: int, blocks: list[np.ndarray]) -> pa.RecordBatch:
+def pd_batch(lane: int, seen: int, blocks: list[np.ndarray]) -> pa.RecordBatch:
     n = len(blocks)
     columns = [
         pa.array(range(n), pa.int32()),
-        pa.array([pid % LANES] * n, pa.int32()),
-        pa.array([pid] * n, pa.int32()),
+        pa.array([lane % GROUPS] * n, pa.int32()),
+        pa.array([lane] * n, pa.int32()),
         pa.array([seen] * n, pa.int64()),
         pa.array([b.tobytes() for b in blocks], pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["block", "lane", "pid", "seen", "sums"])
+    return pa.RecordBatch.from_arrays(columns, ["block", "part", "lane", "seen", "sums"])
 
 
 def add_parameters(pdf: pd.DataFrame) -> pd.DataFrame:
     # In a fixed order: sums of floats then do not depend on the schedule.
-    pdf = pdf.sort_values(["lane", "pid"])
+    pdf = pdf.sort_values(["part", "lane"])
     sums = np.sum([np.frombuffer(b, np.float64) for b in pdf["sums"]], axis=0)
     first = pdf.iloc[0]
     return pd.DataFrame(
-        [{"block": first["block"], "lane": first["lane"], "pid": first["pid"], "seen": pdf["seen"].sum(), "sums": sums.tobytes()}]
+        [{"block": first["block"], "part": first["part"], "lane": first["lane"], "seen": pdf["seen"].sum(), "sums": sums.tobytes()}]
     )
 
 
 def train_model(docs: DataFrame, words: Vocabulary, shape: Shape) -> LogBilinear:
+    """Passes over all training texts until the development texts' score rises by
+    less than ``least_gain`` of itself. Where there are ten lanes or more, a first
+    pass over a tenth of them brings the model near enough for the lanes' results
+    to be averaged."""
+    lanes = words.total // LANE_TOKENS + 1
+    encoded = materialise(encode(docs, words, lanes), "lm-classes")
+    own, development = encoded.filter("lane >= 0"), encoded.filter("lane < 0")
     model = LogBilinear.start(words.mass, shape)
-    parts = sum(shape.rounds)
-    turn, first = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("round")), F.lit(parts)), 0
-    for i, share in enumerate(shape.rounds):
-        mine = docs.filter((turn >= first) & (turn < first + share))
-        model = train_round(docs.sparkSession, mine, words, model, shape, i)
-        first += share
+    if lanes >= 10:
+        model = train_pass(own.filter(F.col("lane") < lanes // 10), words, model, shape, lanes // 10, 0)
+    best = class_score(development, model)
+    for number in range(1, shape.passes + 1):
+        trained = train_pass(own, words, model, shape, lanes, number)
+        score = class_score(development, trained)
+        gain, best = score - best, max(best, score)
+        if gain > 0 or not best:
+            model = trained
+        if gain < shape.least_gain * abs(best):
+            break
+    discard(encoded)
     return model
 
 
 def score_language_model(
-    docs: DataFrame, folds: int = 5, held_fold: int = 1, shape: Shape = Shape()
+    docs: DataFrame, folds: int = 5, held_fold: int = 1, shape: Shape | None = None
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -374,9 +457,11 @@ def score_language_model(
     training texts have, ``train_tokens`` all of theirs. ``base_score`` is the
     smoothed unigram log10 probability, ``score`` the model's.
 
-    Counts are of all training texts, and so is the training: rounds of parallel
-    passes whose results are averaged. Whole texts are read, long ones too. A
-    null or empty text is its end alone. Every input row, with null or repeated
+    Counts are of all training texts, and the model learns from all of them but
+    one in ``DEVELOPMENT``, which tells when to stop. ``shape`` is chosen by the
+    number of training tokens if it is not given. Scores do not depend on how the
+    rows are partitioned, but for the last digits of sums. Whole texts are read,
+    long ones too. A null or empty text is its end alone. Every input row, with null or repeated
     ids, gives one row; other columns are not read. Without training texts all
     words are unknown; an empty table gives an empty result.
 
@@ -387,6 +472,8 @@ def score_language_model(
     spark = prepare(docs.sparkSession)
     held = crc_mod(F.col("doc_id"), folds) == held_fold
     counts = materialise(count_words(docs.filter(~held)), "lm-counts")
+    if shape is None:
+        shape = Shape.sized(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     words = build_vocabulary(counts, shape)
     model = train_model(docs.filter(~held), words, shape)
 

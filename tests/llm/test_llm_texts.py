@@ -217,6 +217,69 @@ def test_language_model_is_normalised_and_learns(spark):
     assert WordIndex(vocabulary).of([b"xa", b"qxa", b"zz"]).tolist() == [1, -1 - vocabulary.rest, -1 - vocabulary.rest]
 
 
+def test_language_model_score_is_that_of_its_parameters(odd, monkeypatch):
+    """Every word's probability, worked out one by one from a fixed model."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    kept = {}
+
+    def fixed(docs, words, shape):
+        k = len(words.mass)
+        made = [rng.normal(0, 0.7, size).astype(np.float32) for size in ((k, 5), (k, 5), (k,), (2, 5))]
+        kept["model"], kept["words"] = LogBilinear(*made), words
+        return kept["model"]
+
+    monkeypatch.setattr(language_model, "train_model", fixed)
+    out = score_language_model(odd, shape=Shape(single_words=6, tail_classes=5, dim=5))
+    got = by_text(out.withColumn("score", F.round("score", 2)), odd, "score")
+    model, words = kept["model"], kept["words"]
+    held = lambda r: r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 1
+    tokens = lambda r: [w.encode() for w in WORDS.findall(lower(r["text"] or ""))]
+    counts = Counter(t for r in odd.collect() if not held(r) for t in [*tokens(r), b""])
+    index, cache = WordIndex(words), {}
+
+    def class_of(word):
+        at = index[word]
+        return int(words.classes[at]) if at >= 0 else -1 - at
+
+    def logs(v, u):
+        if (v, u) not in cache:
+            logits = (model.c[0] * model.r[v] + model.c[1] * model.r[u]) @ model.q.T + model.b
+            logits = logits.astype(float) - logits.max()
+            cache[v, u] = (logits - np.log(np.exp(logits).sum())) / np.log(10)
+        return cache[v, u]
+
+    def score(r):
+        total, v, u = 0.0, 0, 0
+        for t in [*tokens(r), b""]:
+            c = class_of(t)
+            within = 0.0 if words.single[c] else math.log10((counts[t] + 0.5) / words.mass[c])
+            total += logs(v, u)[c] + within
+            v, u = c, v
+        return (total,)
+
+    for doc, want in expected(odd, score).items():
+        for (a,), (b,) in zip(sorted(got[doc]), sorted(want)):
+            assert abs(a - b) < 0.02 + 1e-5 * abs(b)
+
+
+def test_language_model_beats_its_base_and_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    scored = [score_language_model(docs.repartition(n)) for n in (2, 7)]
+    rows = [{r["doc_id"]: r["score"] for r in df.collect()} for df in scored]
+    assert all(abs(rows[0][i] - rows[1][i]) < 1e-6 for i in rows[0])
+    held = scored[0].filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.avg((F.col("score") > F.col("base_score")).cast("int")))
+    score, base, share = held.first()
+    assert score > 0.95 * base and share > 0.9
+
+
+def test_classes_grow_with_the_tokens():
+    sizes = [Shape.sized(10**n) for n in range(3, 9)]
+    classes = [1 + s.single_words + s.tail_classes for s in sizes]
+    assert classes == [128, 128, 316, 1000, 2048, 2048] and all(s.single_words > s.tail_classes for s in sizes)
+
+
 def test_language_model_without_training_texts(spark, none):
     assert score_language_model(none).count() == 0
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
