@@ -53,9 +53,9 @@ def mixed(words: np.ndarray, width: int) -> np.ndarray:
     return key
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """Sorted 64-bit hashes of the distinct shingles of each text."""
-    out = []
+def shingle_sets(texts: list[bytes]) -> tuple[list[np.ndarray], list[int]]:
+    """Sorted 64-bit hashes of the distinct shingles of each text, and its words."""
+    out, counts = [], []
     for words, sizes in word_groups(texts):
         keys = mixed(words, WIDTH)
         start = 0
@@ -66,8 +66,9 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
             distinct = np.ones(len(found), bool)
             np.not_equal(found[1:], found[:-1], out=distinct[1:])
             out.append(found[distinct])
+            counts.append(n)
             start += n
-    return out
+    return out, counts
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -95,26 +96,27 @@ def keys_of(signatures: np.ndarray) -> np.ndarray:
     return out.reshape(len(signatures), HASHES).view(np.int64)
 
 
-def describe(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, n, class, sig`` of every row; class is a hash of the set,
-    null for an empty one, and row a hash of id and text."""
+def describe(docs: DataFrame, carry: str | None) -> DataFrame:
+    """``doc_id, row, n, n_words, class, sig`` of every row, and the text column
+    ``carry``; class is a hash of the set, null for an empty one, and row a hash
+    of id and text."""
 
     def make():
-        def step(ids, rows, texts):
-            n, classes, sigs = [], [], []
-            for found in shingle_sets(texts):
-                n.append(len(found))
-                classes.append(signed(xxhash.xxh3_64_intdigest(found.tobytes())) if len(found) else None)
-                sigs.append(signature(found).tobytes() if len(found) else None)
-            return [ids, rows, n, classes, sigs]
+        def step(ids, rows, carried, texts):
+            sets, words = shingle_sets(texts)
+            n = [len(found) for found in sets]
+            classes = [signed(xxhash.xxh3_64_intdigest(f.tobytes())) if len(f) else None for f in sets]
+            sigs = [signature(f).tobytes() if len(f) else None for f in sets]
+            return [ids, rows, carried, n, words, classes, sigs]
 
         return step
 
     kind = dict(docs.dtypes)["doc_id"]
+    carried = F.lit(None).cast("string") if carry is None else F.col(carry)
     return map_lists(
-        docs.select("doc_id", "row", raw("text").alias("text")),
+        docs.select("doc_id", "row", carried.alias("carried"), raw("text").alias("text")),
         make,
-        f"doc_id {kind}, row long, n long, class long, sig binary",
+        f"doc_id {kind}, row long, carried string, n long, n_words long, class long, sig binary",
     )
 
 
@@ -131,6 +133,30 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
     return classes.select("class", "sig").mapInArrow(run, "key long, class long")
 
 
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """``key, class`` of the keys that several classes have, by one shuffle: in
+    the order of keys, a row whose neighbours have other keys is alone."""
+    dealt = bucket_rows(classes).repartition("key").sortWithinPartitions("key")
+
+    def run(batches):
+        # The last row waits for its successor; ``twin`` tells whether it had its key's predecessor.
+        last, twin = None, False
+        for batch in batches:
+            keys, ids = (batch.column(i).to_numpy() for i in range(2))
+            if last is not None:
+                keys, ids = np.concatenate(([last[0]], keys)), np.concatenate(([last[1]], ids))
+            same = keys[1:] == keys[:-1]
+            kept = np.concatenate(([twin], same))
+            kept[:-1] |= same
+            last, twin = (keys[-1], ids[-1]), bool(kept[-1])
+            kept[-1] = False
+            yield pa.RecordBatch.from_arrays([pa.array(keys[kept]), pa.array(ids[kept])], ["key", "class"])
+        if twin:
+            yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]])], ["key", "class"])
+
+    return dealt.mapInArrow(run, "key long, class long")
+
+
 def shared_counts(sets: DataFrame) -> DataFrame:
     """``class, shared``: how many shingles of a set are in another set too.
 
@@ -237,6 +263,67 @@ def compare_group(key, ids, components, n, shared, sigs, side, most: int | None)
     return out
 
 
+# Classes of a group whose pairs are compared all at once with those of others.
+SMALL = 8
+
+
+class Members:
+    """Rows of groups of a bucket: group (key, i, j), side, class, component, n,
+    shared and signature, as arrays in the order of groups."""
+
+    def __init__(self, key, i, j, side, ids, components, n, shared, sigs):
+        self.columns = (key, i, j, side, ids, components, n, shared, sigs)
+        self.key, self.i, self.j, self.side, self.ids, self.components, self.n, self.shared, self.sigs = self.columns
+
+    @classmethod
+    def of(cls, batch) -> "Members":
+        numbers = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(8)]
+        return cls(*numbers, signatures(batch.column(8).to_pylist()))
+
+    def rows(self, at) -> "Members":
+        return Members(*(c[at] for c in self.columns))
+
+    @classmethod
+    def joined(cls, parts: list["Members"]) -> "Members":
+        return cls(*(np.concatenate(c) for c in zip(*(p.columns for p in parts))))
+
+    def starts(self) -> np.ndarray:
+        """The first row of every group."""
+        new = (self.key[1:] != self.key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
+        return np.concatenate(([0], np.flatnonzero(new) + 1))
+
+
+def compare_small(m: Members, sizes: np.ndarray, most: int | None) -> list[tuple[int, list[int]]]:
+    """As ``compare_group`` for many groups of ``SMALL`` rows at most: pairs are
+    the rows so many places apart; of a pair the class of the greater id asks."""
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    found: list[list] = [[], [], [], []]
+    for back in range(1, int(sizes.max(initial=1))):
+        low, high = np.arange(len(group) - back), np.arange(back, len(group))
+        both = np.minimum(m.shared[low], m.shared[high])
+        ok = (group[low] == group[high]) & (m.components[low] != m.components[high])
+        ok &= (m.side[low] != m.side[high]) | (m.side[low] < 0)
+        ok &= 100 * both >= SIMILAR * (m.n[low] + m.n[high] - both)
+        low, high = low[ok], high[ok]
+        wrong = m.sigs[low] != m.sigs[high]
+        apart = wrong.sum(1)
+        # The first key that the two share has to be this bucket's.
+        parts = wrong.reshape(len(low), HASHES // CHUNK, CHUNK)
+        chunk = (parts.sum(2) <= 1).argmax(1)
+        slot = parts[np.arange(len(low)), chunk].argmax(1)
+        first = keys_of(m.sigs[low])[np.arange(len(low)), chunk * CHUNK + slot]
+        ok = (apart <= DISTANCE) & (first == m.key[low])
+        a, b = m.ids[low[ok]], m.ids[high[ok]]
+        for column, values in zip(found, (group[low[ok]], np.maximum(a, b), apart[ok], np.minimum(a, b))):
+            column.append(values)
+    groups, asks, apart, to = (np.concatenate(c) if c else np.empty(0, np.int64) for c in found)
+    order = np.lexsort((to, apart, asks, groups))
+    groups, asks, to = groups[order], asks[order], to[order]
+    new = (groups[1:] != groups[:-1]) | (asks[1:] != asks[:-1])
+    cuts = np.flatnonzero(new) + 1
+    return [(int(a), x[:most].tolist()) for a, x in zip(asks[np.r_[0, cuts]] if len(asks) else [], np.split(to, cuts))]
+
+
 def cross_lists(members: DataFrame, most: int | None) -> DataFrame:
     """``a, to``: candidates between the components of each bucket, for rows
     ``key, class, component, n, shared, sig`` of buckets with several. Buckets
@@ -261,29 +348,36 @@ def cross_lists(members: DataFrame, most: int | None) -> DataFrame:
     # Rows of a block meet themselves once, as (i, i).
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "class")
 
-    def run(batches):
-        held: list = []
-
-        def compared(group):
-            keys, _, _, side, ids, components, n, shared, sigs = zip(*group)
-            numbers = map(np.array, (ids, components, n, shared))
-            return compare_group(keys[0], *numbers, signatures(sigs), np.array(side), most)
+    def lists(m: Members) -> list[tuple[int, list[int]]]:
+        starts = m.starts()
+        sizes = np.diff(starts, append=len(m.key))
+        small = np.repeat(sizes <= SMALL, sizes)
+        found = compare_small(m.rows(small), sizes[sizes <= SMALL], most) if small.any() else []
+        for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+            g = m.rows(slice(start, start + size))
+            found += compare_group(g.key[0], g.ids, g.components, g.n, g.shared, g.sigs, g.side, most)
+        return found
 
-        def emit(rows):
-            a, to = zip(*rows)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(to, pa.list_(pa.int64()))], ["a", "to"])
+    def emit(found):
+        a, to = zip(*found)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(to, pa.list_(pa.int64()))], ["a", "to"])
 
+    def run(batches):
+        parts: list[Members] = []
         for batch in batches:
-            rows = []
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and held[0][:3] != row[:3]:
-                    rows += compared(held)
-                    held = []
-                held.append(row)
-            if rows:
-                yield emit(rows)
-        if held and (rows := compared(held)):
-            yield emit(rows)
+            parts.append(Members.of(batch))
+            if (parts[0].key[0], parts[0].i[0], parts[0].j[0]) == (parts[-1].key[-1], parts[-1].i[-1], parts[-1].j[-1]):
+                continue  # one group so far
+            held = Members.joined(parts)
+            # The last group may go on in the next batch.
+            last = held.starts()[-1]
+            if found := lists(held.rows(slice(0, last))):
+                yield emit(found)
+            parts = [held.rows(slice(last, None))]
+        if parts:
+            held = Members.joined(parts)
+            if found := lists(held):
+                yield emit(found)
 
     return dealt.mapInArrow(run, "a long, to array<long>")
 
@@ -383,7 +477,7 @@ def full_sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
         def step(rows, texts):
             at = np.array(rows, np.int64)
             wanted = (bitmap[at % BITMAP_WORDS] >> ((at >> 20) % 64)) & 1
-            found = [s for s in shingle_sets([texts[i] for i in np.flatnonzero(wanted)]) if len(s)]
+            found = [s for s in shingle_sets([texts[i] for i in np.flatnonzero(wanted)])[0] if len(s)]
             return [[signed(xxhash.xxh3_64_intdigest(f.tobytes())) for f in found], [f.view(np.int64) for f in found]]
 
         return step
@@ -393,9 +487,7 @@ def full_sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
 def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``node, component`` of the classes that are linked."""
-    buckets = bucket_rows(classes)
-    ends = buckets.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    shared = materialise(buckets.join(ends.select("key"), "key"), "near-buckets")
+    shared = materialise(shared_buckets(classes), "near-buckets")
 
     involved = shared.select("class").distinct().join(classes, "class").select("row")
     sets = materialise(full_sets(docs, row_bitmap(involved)).dropDuplicates(["class"]), "near-sets")
@@ -423,10 +515,11 @@ def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return parts
 
 
-def label_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, n_shingles, component, component_id`` of every row of
-    ``docs`` (doc_id, text, row); ``component`` names the group, null without words."""
-    described = materialise(describe(docs), "near-rows")
+def label_rows(docs: DataFrame, carry: str | None = None) -> DataFrame:
+    """``doc_id, row, n_words, n_shingles, component, component_id`` of every row
+    of ``docs`` (doc_id, text, row), and the text column ``carry`` if one is named;
+    ``component`` names the group, null without words."""
+    described = materialise(describe(docs, carry), "near-rows")
     filled = described.filter("class is not null")
     classes = filled.groupBy("class").agg(F.min(F.struct("row", "n", "sig")).alias("first"))
     classes = materialise(classes.select("class", "first.*"), "near-classes")
@@ -439,7 +532,9 @@ def label_rows(docs: DataFrame) -> DataFrame:
     labelled = materialise(labelled, "near-labels")
     lowest = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
     ids = labelled.join(lowest, "component").select("class", "component", "component_id")
-    out = described.select("doc_id", "row", F.col("n").alias("n_shingles"), "class").join(ids, "class", "left")
+    carried = [] if carry is None else [F.col("carried").alias(carry)]
+    out = described.select("doc_id", "row", *carried, "n_words", F.col("n").alias("n_shingles"), "class")
+    out = out.join(ids, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.withColumn("component_id", component).drop("class")
 

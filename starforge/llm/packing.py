@@ -135,7 +135,7 @@ def pack_documents(
     empty table gives an empty result. A bin's name is (shard, bin).
 
     One shuffle, of sizes and hashes; with ``near_copies`` those of the search
-    and a join by row hash before it. Shards are told by a hash of the row, so
+    before it, which counts the words as well. Shards are told by a hash of the row, so
     sources and clusters of any size are spread evenly; a task streams its
     shards and holds one, at most ``4 * shard_rows`` rows, at a time.
     """
@@ -143,7 +143,15 @@ def pack_documents(
     n = docs.count()
     shards = n // shard_rows + 1
     limit = 4 * shard_rows
-    measured = measure_rows(docs, cluster)
+    if near_copies:
+        given = docs.select("doc_id", "text", row_key().alias("row"), F.col("source").cast("string").alias("source"))
+        measured = label_rows(given, carry="source").select(
+            "doc_id", "source", F.col("row").alias("key"), F.col("component").alias("cluster"), F.col("n_words").alias("size")
+        )
+    else:
+        measured = measure_rows(docs, cluster)
+    # Numbers only; rows with and without words are both taken from here.
+    measured = materialise(measured, "pack-rows")
     kind = dict(docs.dtypes)["doc_id"]
     empty = measured.filter("size = 0").select(
         "doc_id",
@@ -155,12 +163,6 @@ def pack_documents(
         F.lit(None).cast("long").alias("bin"),
     )
     filled = measured.filter("size > 0")
-    if near_copies:
-        labelled = label_rows(docs.select("doc_id", "text", row_key().alias("row"))).filter("component is not null")
-        named = labelled.select(F.col("row").alias("key"), "component").dropDuplicates(["key"])
-        filled = filled.join(materialise(named, "pack-clusters"), "key", "left")
-        filled = filled.withColumn("cluster", F.coalesce("component", "cluster"))
-        filled = filled.select("doc_id", "source", "key", "cluster", "size")
     dealt = filled.withColumn("shard", F.pmod("key", F.lit(shards)))
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "key", "size")
 

@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starforge.llm import components, line_dedup
+from starforge.llm import components, line_dedup, near_dup
 from starforge.llm.components import connected_components
 from starforge.llm.line_dedup import PerfectHash, drop_common_lines
 from starforge.llm.mixing import mix_sources
 from starforge.llm.near_dup import HASHES, drop_near_duplicates, keys_of, near_duplicates
-from starforge.llm.packing import pack_documents
+from starforge.llm.packing import pack_documents, pack_shard
 from starforge.llm.pivot_search import exact_top_k
 from starforge.llm.queries import ORACLE, QUERIES
 
@@ -316,3 +316,102 @@ def test_queries_match_their_sql(spark, name):
 def test_every_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
+
+
+def random_members(rng, sizes):
+    """Groups of one bucket each, whose signatures differ in some places."""
+    columns = [[] for _ in range(9)]
+    for g, size in enumerate(sizes):
+        base = rng.integers(0, 1 << 16, HASHES).astype(np.uint16)
+        key = int(keys_of(base[None, :])[0][0])
+        split = rng.random() < 0.4
+        for _ in range(size):
+            sig = base.copy()
+            at = rng.permutation(np.arange(4, HASHES))[: rng.integers(0, 40)]
+            sig[at] ^= 1
+            row = (key, 0, int(split), int(rng.integers(0, 2)) if split else -1, int(rng.integers(-(1 << 40), 1 << 40)),
+                   int(rng.integers(0, 3)), int(rng.integers(80, 120)), int(rng.integers(70, 80)), sig)
+            for column, value in zip(columns, row):
+                column.append(value)
+    return near_dup.Members(*(np.array(c) for c in columns))
+
+
+@pytest.mark.parametrize("most", [None, 2])
+def test_small_groups_give_the_pairs_of_large_ones(most):
+    rng = np.random.default_rng(9)
+    sizes = rng.integers(2, near_dup.SMALL + 1, 300)
+    m = random_members(rng, sizes)
+    starts = m.starts()
+    assert np.diff(starts, append=len(m.key)).tolist() == sizes.tolist()
+    pairs = lambda found: Counter(frozenset((a, b)) for a, to in found for b in to)
+    got = near_dup.compare_small(m, sizes, most)
+    want = []
+    for start, size in zip(starts.tolist(), sizes.tolist()):
+        g = m.rows(slice(start, start + size))
+        want += near_dup.compare_group(g.key[0], g.ids, g.components, g.n, g.shared, g.sigs, g.side, None)
+    if most is None:
+        assert pairs(got) == pairs(want) and len(got) > 50
+    else:
+        assert all(len(to) <= most for _, to in got) and set(pairs(got)) <= set(pairs(want))
+
+
+def test_a_shingle_and_a_bucket_in_all_documents(spark, monkeypatch):
+    """A passage that all texts have, and signatures that all fall in one bucket."""
+    rng = random.Random(11)
+    passage = " ".join(f"licence{i}" for i in range(12))
+    texts = []
+    for i in range(90):
+        own = [f"t{i // 3}x{j}" for j in range(60)]
+        if i % 3:
+            own[rng.randrange(60)] = f"edit{i}"
+        texts.append(" ".join(own) + " " + passage)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, component, _ = groups(docs.orderBy("doc_id").collect())
+    plain = near_dup.keys_of
+
+    def one_bucket(sigs):
+        keys = plain(sigs)
+        keys[:, 0] = 5
+        return keys
+
+    monkeypatch.setattr(near_dup, "keys_of", one_bucket)
+    monkeypatch.setattr(near_dup, "BLOCK", 20)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(near_dup, "ASKING", 3)
+    monkeypatch.setattr(near_dup, "COPY_SHARE", 0.0)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == component
+
+
+def plain_best_fit(rows, capacity, max_sources):
+    """Every piece, largest first, into the fullest bin that takes it."""
+    pieces = sorted(
+        ((-min(capacity, size - start), key, p, i, source, cluster)
+         for i, (key, source, cluster, size) in enumerate(rows) for p, start in enumerate(range(0, size, capacity)))
+    )
+    bins, out = [], {}
+    for size, key, p, i, source, cluster in pieces:
+        size = -size
+        fits = [
+            (b["room"], n) for n, b in enumerate(bins)
+            if b["room"] >= size and cluster not in b["clusters"] and len(b["sources"] | {source}) <= max_sources
+        ]
+        if fits:
+            n = min(fits)[1]
+        else:
+            n = len(bins)
+            bins.append({"room": capacity, "sources": set(), "clusters": set()})
+        bins[n]["room"] -= size
+        bins[n]["sources"].add(source)
+        bins[n]["clusters"].add(cluster)
+        out[i, p] = n
+    return out
+
+
+def test_successor_search_is_a_plain_best_fit():
+    rng = random.Random(3)
+    for _ in range(60):
+        n = rng.randint(1, 120)
+        rows = [(rng.randrange(10**6), f"s{rng.randrange(6)}", rng.randrange(max(1, n // 2)), rng.randint(1, 260)) for _ in range(n)]
+        got = {(i, p): b for i, p, _, _, b in pack_shard(rows, 100, 3)}
+        assert got == plain_best_fit(rows, 100, 3)
