@@ -7,10 +7,11 @@ compare keys with what the target already holds, ``truncate_load`` replaces it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..session import materialise, path_exists
@@ -29,9 +30,61 @@ class LoadStats(NamedTuple):
     inserted: int | None
 
 
+# Beside the data files, not seen by readers: the rows that the last load left.
+ROWS_FILE = "_rows"
+
+
+def _file(spark: SparkSession, path: str):
+    """File system and Hadoop path."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _content(spark: SparkSession, target: str) -> list[int]:
+    """Number and bytes of a table's files, but for the note of its rows."""
+    fs, path = _file(spark, target)
+    whole = fs.getContentSummary(path)
+    note = _file(spark, f"{target}/{ROWS_FILE}")[1]
+    own = [1, fs.getFileStatus(note).getLen()] if fs.exists(note) else [0, 0]
+    return [whole.getFileCount() - own[0], whole.getLength() - own[1]]
+
+
+def note_rows(spark: SparkSession, target: str, rows: int) -> None:
+    """Note how many rows a load left, with the files that it left."""
+    fs, path = _file(spark, f"{target}/{ROWS_FILE}")
+    text = json.dumps({"rows": rows, "content": _content(spark, target)})
+    out = fs.create(path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def noted_rows(spark: SparkSession, target: str) -> int | None:
+    """The noted rows, if the table's files are still those of the note."""
+    fs, path = _file(spark, f"{target}/{ROWS_FILE}")
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        note = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return note["rows"] if note["content"] == _content(spark, target) else None
+
+
 def row_count(spark: SparkSession, path: str) -> int:
-    """Rows of a Parquet table, taken from the file footers; 0 when it is not there."""
-    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+    """Rows of a Parquet table: as the last load noted them, or from the file
+    footers where something else has changed the files; 0 when it is not there."""
+    if not path_exists(spark, path):
+        return 0
+    noted = noted_rows(spark, path)
+    return spark.read.parquet(path).count() if noted is None else noted
+
+
+def write_counted(df: DataFrame, target: str, partition_by: Sequence[str], mode: str) -> int:
+    """Write, and return the number of rows written, observed by the write itself."""
+    seen = Observation()
+    write_parquet(df, target, partition_by, mode=mode, counted=seen)
+    return seen.get["rows"]
 
 
 def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -41,23 +94,22 @@ def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _stats(spark: SparkSession, target: str, before: int | None) -> LoadStats:
+def _write(df: DataFrame, target: str, partition_by: Sequence[str], mode: str, before: int | None) -> LoadStats:
+    """Write and count; ``before`` is None where the caller asked not to count."""
     if before is None:
+        write_parquet(df, target, partition_by, mode=mode)
         return LoadStats(None, None, None)
-    after = row_count(spark, target)
-    return LoadStats(before, after, after - before)
+    written = write_counted(df, target, partition_by, mode)
+    after = written if mode == "overwrite" else before + written
+    note_rows(df.sparkSession, target, after)
+    return LoadStats(before, after, written)
 
 
 def load(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()) -> LoadStats:
-    """Truncate-and-load or append, with row counts."""
+    """Truncate-and-load or append, with row counts that the write takes itself."""
     check_mode(mode)
-    spark = df.sparkSession
-    before = row_count(spark, target)
-    write_parquet(df, target, partition_by, mode="overwrite" if mode == "truncate_load" else "append")
-    if mode == "truncate_load":
-        after = row_count(spark, target)
-        return LoadStats(before, after, after)
-    return _stats(spark, target, before)
+    before = row_count(df.sparkSession, target)
+    return _write(df, target, partition_by, "overwrite" if mode == "truncate_load" else "append", before)
 
 
 def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
@@ -104,14 +156,14 @@ def append_new(
     an hourly batch does not read all of history: folders and row groups outside
     the range are skipped. The reduced batch is then written once to the shared
     folder, since both the range and the comparison need it.
-    ``counted=False`` skips the row counts, which open every footer of the target.
+    ``counted=False`` skips the row counts: those of the write, and the note that
+    it leaves for the next load.
     """
     spark = batch.sparkSession
     order = list(order_by or [c for c in batch.columns if c not in key] or key)
     fresh = first_per_key(batch, key, order).select(*batch.columns)
     if not path_exists(spark, target):
-        write_parquet(fresh, target, partition_by, mode="append")
-        return _stats(spark, target, 0 if counted else None)
+        return _write(fresh, target, partition_by, "append", 0 if counted else None)
     before = row_count(spark, target) if counted else None
     known = read_target(spark, target, batch.schema)
     if between:
@@ -122,8 +174,7 @@ def append_new(
             lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
             if lo is not None:
                 known = known.where(F.col(c).between(lo, hi) | F.col(c).isNull())
-    write_parquet(anti(fresh, known, list(key)), target, partition_by, mode="append")
-    return _stats(spark, target, before)
+    return _write(anti(fresh, known, list(key)), target, partition_by, "append", before)
 
 
 def key_bucket(key: Sequence[str], buckets: int) -> Column:
@@ -205,8 +256,9 @@ def upsert(
 
 
 def drop_superseded(spark: SparkSession, target: str) -> list[str]:
-    """Delete the folders that the last state does not list; for when no reader is at work."""
-    _, versions = _versions(spark, target)
+    """Delete the folders that the last state does not list, and the listings of
+    the states before it; for when no reader is at work. Returns the folders."""
+    state, versions = _versions(spark, target)
     kept = {f"version={v}/{BUCKET}={f}" for f, v in versions.items()}
     root = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -218,6 +270,10 @@ def drop_superseded(spark: SparkSession, target: str) -> list[str]:
                 if folder.isDirectory() and name not in kept:
                     fs.delete(folder.getPath(), True)
                     dropped.append(name)
+    listings = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_states")
+    for listing in fs.listStatus(listings) if fs.exists(listings) else []:
+        if listing.getPath().getName() != str(state):
+            fs.delete(listing.getPath(), True)
     return sorted(dropped)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def write_parquet(
@@ -15,8 +15,10 @@ def write_parquet(
     sort_within: Sequence[str] = (),
     compression: str | None = None,
     max_records_per_file: int | None = None,
+    counted: Observation | None = None,
 ) -> str:
-    """Write Parquet laid out by ``partition_by``.
+    """Write Parquet laid out by ``partition_by``; ``counted`` observes the number
+    of rows as ``rows``.
 
     Rows are rebalanced on the partition columns first: small partitions end up
     in one file, and a partition that holds much of the data is split by AQE
@@ -27,6 +29,9 @@ def write_parquet(
         out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_within:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
+    if counted is not None:
+        # Above the shuffle: below it Spark may skip the step where there are no rows.
+        out = out.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)

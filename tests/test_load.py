@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +105,41 @@ def test_uncounted_loads_return_no_numbers(spark, target):
 def test_stats_frame(spark, rows):
     frame = load.stats_frame(spark, {"d": load.LoadStats(1, 3, 2)})
     assert rows(frame) == [("d", 1, 3, 2)]
+
+
+def test_loads_count_what_they_write_and_nothing_else(spark, target, monkeypatch):
+    load.load(spark.range(10), target, "append_only")
+
+    def counts(self):
+        raise AssertionError("a job that only counts")
+
+    monkeypatch.setattr(type(spark.range(1)), "count", counts)
+    assert load.load(spark.range(5), target, "append_only") == (10, 15, 5)
+    assert load.append_new(target, spark.range(12), ["id"]) == (15, 17, 2)
+    assert load.append_new(target, spark.range(12), ["id"], between=["id"]) == (17, 17, 0)
+    assert load.load(spark.range(0), target, "append_only") == (17, 17, 0)
+    assert load.load(spark.range(4), target, "truncate_load") == (17, 4, 4)
+    monkeypatch.undo()
+    assert spark.read.parquet(target).count() == 4
+
+
+def test_a_note_is_not_believed_when_the_files_have_changed(spark, target):
+    load.load(spark.range(10), target, "append_only")
+    spark.range(7).write.mode("append").parquet(target)
+    assert load.noted_rows(spark, target) is None and load.row_count(spark, target) == 17
+    assert load.append_new(target, spark.range(20), ["id"]) == (17, 27, 10)
+    assert load.noted_rows(spark, target) == 27
+
+
+def test_partitioned_loads_are_counted_too(spark, target):
+    rows = spark.range(20).withColumn("p", F.col("id") % 3)
+    assert load.load(rows, target, "truncate_load", ["p"]) == (0, 20, 20)
+    assert load.append_new(target, rows.where("id < 5"), ["id"], partition_by=["p"]).inserted == 0
+
+
+def test_dropping_superseded_folders_keeps_one_listing(spark, target):
+    for n in range(3):
+        load.upsert(target, users(spark, (1, n, "a"), (2 + n, n, "b")), ["id"], ["ts"], buckets=2, counted=False)
+    load.drop_superseded(spark, target)
+    listings = [s.name for s in Path(target, "_states").iterdir() if not s.name.startswith(".")]
+    assert listings == ["3"] and load.read_upserted(spark, target).count() == 4
