@@ -266,7 +266,10 @@ def test_pivot_search(spark):
     for q, v in queries.items():
         scores = sorted((-sum(a * b for a, b in zip(v, x)), i) for i, x in ok if i != q)[:5]
         want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)}
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, "123")
     got = exact_top_k(df, n_pivots=8)
+    assert spark.conf.get(batch) == "123"
     assert {tuple(r) for r in got.collect()} == want
     assert exact_top_k(df.filter("false")).count() == 0
     assert [tuple(r) for r in exact_top_k(df.filter("vec_id = 50")).collect()] == []
