@@ -81,6 +81,15 @@ def count_terms(rows: DataFrame, key: str) -> DataFrame:
     return map_lists(given, make, f"key {kind}, n long, terms binary, tfs binary")
 
 
+def count_lengths(rows: DataFrame) -> DataFrame:
+    """``n``: the number of terms of every row."""
+
+    def make():
+        return lambda texts: [[len(text.translate(FOLD).split()) for text in texts]]
+
+    return map_lists(rows.select(raw("text").alias("text")), make, "n long")
+
+
 class SearchIndex(NamedTuple):
     """The blocks, the number of documents with a term and that of all terms."""
 
@@ -93,13 +102,19 @@ BLOCK = "m long, terms binary, dfs binary, runs binary, run_tfs binary, run_docs
 
 
 def build_index(docs: DataFrame) -> SearchIndex:
-    """The index of every document of ``doc_id, text`` that has a term."""
-    counted = materialise(count_terms(docs, "doc_id"), "search-terms").filter("n > 0")
-    n_docs, n_terms = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    """The index of every document of ``doc_id, text`` that has a term.
+
+    Texts are read twice: for their lengths, which say the normalisers and the
+    blocks, and for their terms, which are shuffled once.
+    """
+    lengths = materialise(count_lengths(docs).filter("n > 0"), "search-lengths")
+    n_docs, n_terms = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     normaliser = F.expr(f"{BASE} + (({SLOPE}L * n * {n_docs}L) div {max(n_terms, 1)}L)")
-    placed = counted.withColumn("m", normaliser)
-    shares = F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum(F.length("terms")) / BLOCK_BYTES)
-    strata = materialise(placed.groupBy("m").agg(F.ceil(shares).alias("parts")), "search-strata")
+    # A document has at most as many distinct terms, of 8 bytes, as terms.
+    shares = F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum(F.col("n") * 8) / BLOCK_BYTES)
+    strata = lengths.groupBy(normaliser.alias("m")).agg(F.ceil(shares).alias("parts"))
+    strata = materialise(strata, "search-strata")
+    placed = count_terms(docs, "doc_id").filter("n > 0").withColumn("m", normaliser)
     dealt = placed.join(strata, "m").withColumn("part", F.pmod(F.xxhash64("terms", "tfs", "key"), "parts"))
 
     schema = StructType(
