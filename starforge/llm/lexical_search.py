@@ -260,6 +260,8 @@ def visit(index: SearchIndex, asked: Asked, kinds, k: int, floors: dict, first_o
     def run(batches):
         best = [Best(k, floors.get(row, 1)) for row in asked.rows]
         for batch in batches:
+            if not batch.num_rows:
+                continue
             blocks = [Block(row, asked.terms) for row in batch.to_pylist()]
             bounds = np.stack([np.add.reduceat(weights * b.tops[terms], firsts) for b in blocks])
             order = np.argsort(-bounds, axis=0)[: 1 if first_only else None]
