@@ -309,8 +309,8 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def encode(docs: DataFrame, words: Vocabulary, lanes: int) -> DataFrame:
-    """``lane, key, ids`` of every training text: its lane (-1 for development
-    texts), a hash of id and text, and the classes of its words."""
+    """``lane, key, ids`` of every training text, written: its lane (-1 for
+    development texts), a hash of id and text, and the classes of its words."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(words))
 
     def make():
@@ -326,7 +326,10 @@ def encode(docs: DataFrame, words: Vocabulary, lanes: int) -> DataFrame:
     turn = F.pmod(F.xxhash64(key, F.lit("development")), F.lit(DEVELOPMENT))
     lane = F.when(turn == 0, -1).otherwise(F.pmod(key, F.lit(lanes))).cast("int")
     given = docs.select(lane.alias("lane"), key.alias("key"), raw("text").alias("text"))
-    return map_lists(given, make, "lane int, key long, ids binary")
+    written = materialise(map_lists(given, make, "lane int, key long, ids binary"), "lm-classes")
+    # What was told lies on the disks of driver and executors until it is destroyed.
+    shared.destroy()
+    return written
 
 
 def train_pass(
@@ -374,6 +377,7 @@ def train_pass(
     for keys in (("block", "part"), ("block",)):
         partial = partial.groupBy(*keys).applyInPandas(add_parameters, PARAMETERS)
     rows = sorted(partial.collect(), key=lambda r: r["block"])
+    shared.destroy()
     if not rows or not rows[0]["seen"]:
         return model
     flat = np.concatenate([np.frombuffer(r["sums"], np.float64) for r in rows]) / rows[0]["seen"]
@@ -392,7 +396,9 @@ def class_score(encoded: DataFrame, model: LogBilinear) -> float:
             total += float((one[v, w] + two[u, w] - norm[v, u]).sum(dtype=np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([total])], ["score"])
 
-    return encoded.select("ids").mapInArrow(run, "score double").agg(F.sum("score")).first()[0] or 0.0
+    total = encoded.select("ids").mapInArrow(run, "score double").agg(F.sum("score")).first()[0]
+    shared.destroy()
+    return total or 0.0
 
 
 BLOCKS = 32
@@ -428,7 +434,7 @@ def train_model(docs: DataFrame, words: Vocabulary, shape: Shape) -> LogBilinear
     pass over a tenth of them brings the model near enough for the lanes' results
     to be averaged."""
     lanes = words.total // LANE_TOKENS + 1
-    encoded = materialise(encode(docs, words, lanes), "lm-classes")
+    encoded = encode(docs, words, lanes)
     own, development = encoded.filter("lane >= 0"), encoded.filter("lane < 0")
     model = LogBilinear.start(words.mass, shape)
     if lanes >= 10:
@@ -524,6 +530,7 @@ def score_language_model(
         " rare array<long>, times array<int>",
     )
     partial = materialise(partial.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    shared.destroy()
     rare = partial.select("row", F.inline(F.arrays_zip("rare", "times")))
     by_hash = counts.groupBy(F.xxhash64("word").alias("rare")).agg(F.max("n").alias("n"))
     count = F.coalesce("n", F.lit(0))
