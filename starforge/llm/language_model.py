@@ -239,7 +239,8 @@ class LogBilinear:
 
 def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows ``at`` with the sums of ``rows`` that go to them."""
-    order = np.argsort(at, kind="stable")
+    # Classes fit 16 bits, which numpy sorts by radix.
+    order = np.argsort(at.astype(np.uint16), kind="stable")
     ranked = at[order]
     starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
     return ranked[starts], np.add.reduceat(rows[order], starts, axis=0)
