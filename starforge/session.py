@@ -20,6 +20,17 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# For work on tables of any size: what one task reads is bounded, so that its sorts
+# and hash tables are too and do not spill. Narrow rows compress well: 8 MB of a
+# shuffle may be a million rows.
+TASK_SETTINGS = {
+    # Shuffles start with many partitions, which AQE puts together by size; up to
+    # 200 they are written without a sort.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "32m",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators count on."""
@@ -28,6 +39,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def configure_tables(spark: SparkSession) -> SparkSession:
+    """The same with bounds on what one task reads, for loads and queries of tables."""
+    for key, value in TASK_SETTINGS.items():
+        configure(spark).conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors can reach, as named by ``spark.checkpoint.dir``.
 

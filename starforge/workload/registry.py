@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import configure, scratch_path
+from ..session import configure_tables, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name!r} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(configure(spark), folder))
+            return fn(Tables(configure_tables(spark), folder))
 
         QUERIES[name] = run
         if sql is not None:
