@@ -80,10 +80,10 @@ def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count() if noted is None else noted
 
 
-def write_counted(df: DataFrame, target: str, partition_by: Sequence[str], mode: str) -> int:
+def write_counted(df: DataFrame, target: str, partition_by: Sequence[str], mode: str, dealt: bool = False) -> int:
     """Write, and return the number of rows written, observed by the write itself."""
     seen = Observation()
-    write_parquet(df, target, partition_by, mode=mode, counted=seen)
+    write_parquet(df, target, partition_by, mode=mode, counted=seen, dealt=dealt)
     return seen.get["rows"]
 
 
@@ -94,22 +94,25 @@ def read_target(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _write(df: DataFrame, target: str, partition_by: Sequence[str], mode: str, before: int | None) -> LoadStats:
+def _write(
+    df: DataFrame, target: str, partition_by: Sequence[str], mode: str, before: int | None, dealt: bool = False
+) -> LoadStats:
     """Write and count; ``before`` is None where the caller asked not to count."""
     if before is None:
-        write_parquet(df, target, partition_by, mode=mode)
+        write_parquet(df, target, partition_by, mode=mode, dealt=dealt)
         return LoadStats(None, None, None)
-    written = write_counted(df, target, partition_by, mode)
+    written = write_counted(df, target, partition_by, mode, dealt)
     after = written if mode == "overwrite" else before + written
     note_rows(df.sparkSession, target, after)
     return LoadStats(before, after, written)
 
 
-def load(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()) -> LoadStats:
-    """Truncate-and-load or append, with row counts that the write takes itself."""
+def load(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = (), dealt: bool = False) -> LoadStats:
+    """Truncate-and-load or append, with row counts that the write takes itself.
+    ``dealt``: the rows are with their partition already (``writers.deal``)."""
     check_mode(mode)
     before = row_count(df.sparkSession, target)
-    return _write(df, target, partition_by, "overwrite" if mode == "truncate_load" else "append", before)
+    return _write(df, target, partition_by, "overwrite" if mode == "truncate_load" else "append", before, dealt)
 
 
 def replace_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
@@ -148,6 +151,8 @@ def append_new(
     partition_by: Sequence[str] = (),
     between: Sequence[str] = (),
     counted: bool = True,
+    unique: bool = False,
+    dealt: bool = False,
 ) -> LoadStats:
     """Append the rows whose natural key the target does not hold yet.
 
@@ -157,13 +162,15 @@ def append_new(
     the range are skipped. The reduced batch is then written once to the shared
     folder, since both the range and the comparison need it.
     ``counted=False`` skips the row counts: those of the write, and the note that
-    it leaves for the next load.
+    it leaves for the next load. ``unique`` says that no two rows of the batch
+    have one key, which saves the reduction; ``dealt`` that they are with their
+    partition already, which holds for a first load only.
     """
     spark = batch.sparkSession
     order = list(order_by or [c for c in batch.columns if c not in key] or key)
-    fresh = first_per_key(batch, key, order).select(*batch.columns)
+    fresh = batch if unique else first_per_key(batch, key, order).select(*batch.columns)
     if not path_exists(spark, target):
-        return _write(fresh, target, partition_by, "append", 0 if counted else None)
+        return _write(fresh, target, partition_by, "append", 0 if counted else None, dealt and unique)
     before = row_count(spark, target) if counted else None
     known = read_target(spark, target, batch.schema)
     if between:

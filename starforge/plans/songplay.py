@@ -11,6 +11,7 @@ from ..functions.text import hash_id
 from ..operators.aggregates import group_count
 from ..operators.joins import first_per_key, latest_by, lookup_join, referenced_only, star_query
 from ..operators.ranking import rank_bounded
+from ..sources.writers import deal
 
 # The raw schemas and the page name of a play.
 EVENT_SCHEMA = (
@@ -84,10 +85,18 @@ def build_user_tuples(events: DataFrame, fact: DataFrame) -> DataFrame:
     return referenced_only(_user_columns(played).distinct(), fact, {"user_id": "user_id"})
 
 
-def build_time(events: DataFrame, only_plays: bool = False, weekday_base: str = "sunday1") -> DataFrame:
+def build_time(
+    events: DataFrame, only_plays: bool = False, weekday_base: str = "sunday1", dealt: bool = False
+) -> DataFrame:
+    """Distinct start times and their parts; ``dealt`` for a write by year and month."""
     source = events.where(F.col("page") == PLAY_PAGE) if only_plays else events
     times = source.select(epoch_ms_to_ts("ts").alias("start_time")).distinct()
-    return times.select("start_time", *[c.alias(n) for n, c in time_parts("start_time", weekday_base).items()])
+    parts = time_parts("start_time", weekday_base)
+    if dealt:
+        months = ["year", "month"]
+        times = deal(times.withColumns({c: parts[c] for c in months}), *months)
+        parts |= {c: F.col(c) for c in months}
+    return times.select("start_time", *[c.alias(n) for n, c in parts.items()])
 
 
 def build_songplays(
@@ -96,11 +105,13 @@ def build_songplays(
     key: str = "title+artist",
     normalise=F.trim,
     salts: int | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Plays with song and artist ids; unmatched plays keep null ids.
 
     The id is a hash of session, start time, user and item, so it is the same on
-    every run. Repeated plays (same natural key) count once.
+    every run. Repeated plays (same natural key) count once. ``dealt`` rebalances
+    them for a write by year and month, before their ids are worked out.
     """
     on = SONG_KEYS[key]
     rules: Mapping[str, object] = {c: normalise for c in on if c != "length" and normalise is not None}
@@ -117,6 +128,12 @@ def build_songplays(
         played, catalogue, on, {"song_id": "song_id", "artist_id": "artist_id"},
         order_by=["song_id", "artist_id"], normalise=rules, salts=salts,
     )
+    found = found.select(
+        "userId", "sessionId", "itemInSession", "start_time", "song_id", "artist_id", "level", "location", "userAgent",
+        F.year("start_time").alias("year"), F.month("start_time").alias("month"),
+    )
+    if dealt:
+        found = deal(found, "year", "month")
     return found.select(
         hash_id("sessionId", F.unix_micros("start_time"), "userId", "itemInSession").alias("songplay_id"),
         F.col("userId").alias("user_id"),
@@ -127,8 +144,8 @@ def build_songplays(
         "level",
         "location",
         F.col("userAgent").alias("user_agent"),
-        F.year("start_time").alias("year"),
-        F.month("start_time").alias("month"),
+        "year",
+        "month",
     )
 
 

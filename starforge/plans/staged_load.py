@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.load import LoadStats, append_new, load, stats_frame
 from ..operators.quality import dq_report
+from ..session import path_exists
 from ..sources.staging import check_mode
 from . import songplay
 
@@ -69,19 +70,25 @@ def load_songplay_star(
         return name, lambda: load(rows, f"{root}/{name}", staging_mode)
 
     def fact() -> LoadStats:
-        rows = songplay.build_songplays(table("staging_events"), table("staging_songs"))
+        target = f"{root}/f_songplays"
+        # New plays are compared with the known ones before they are dealt.
+        dealt = fact_mode != "append_new" or not path_exists(spark, target)
+        rows = songplay.build_songplays(table("staging_events"), table("staging_songs"), dealt=dealt)
         if fact_mode == "append_new":
+            # A play is in the batch once, and the id is a hash of what tells plays apart.
             return append_new(
-                f"{root}/f_songplays", rows, ["songplay_id", "start_time"],
-                partition_by=["year", "month"], between=["year", "start_time"],
+                target, rows, ["songplay_id", "start_time"],
+                partition_by=["year", "month"], between=["year", "start_time"], unique=True, dealt=dealt,
             )
-        return load(rows, f"{root}/f_songplays", fact_mode, ["year", "month"])
+        return load(rows, target, fact_mode, ["year", "month"], dealt)
 
-    def dim(name: str, key: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()):
+    def dim(
+        name: str, key: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (), dealt: bool = False
+    ):
         def step() -> LoadStats:
             if dim_mode == "append_only":
                 return append_new(f"{root}/{name}", build(), [key], partition_by=partition_by)
-            return load(build(), f"{root}/{name}", dim_mode, partition_by)
+            return load(build(), f"{root}/{name}", dim_mode, partition_by, dealt)
 
         return name, step
 
@@ -94,7 +101,10 @@ def load_songplay_star(
             dim("d_artists", "artist_id", lambda: songplay.build_artists(table("staging_songs"))),
             dim(
                 "d_time", "start_time",
-                lambda: songplay.build_time(table("staging_events"), only_plays=True), ["year", "month"],
+                lambda: songplay.build_time(
+                    table("staging_events"), only_plays=True, dealt=dim_mode != "append_only"
+                ),
+                ["year", "month"], dim_mode != "append_only",
             ),
         ],
     )

@@ -16,17 +16,19 @@ def write_parquet(
     compression: str | None = None,
     max_records_per_file: int | None = None,
     counted: Observation | None = None,
+    dealt: bool = False,
 ) -> str:
     """Write Parquet laid out by ``partition_by``; ``counted`` observes the number
     of rows as ``rows``.
 
     Rows are rebalanced on the partition columns first: small partitions end up
     in one file, and a partition that holds much of the data is split by AQE
-    over several tasks, so no single task has to write it.
+    over several tasks, so no single task has to write it. ``dealt`` says that the
+    rows are with their partition already: see ``deal``.
     """
     out = df
-    if partition_by:
-        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
+    if partition_by and not dealt:
+        out = deal(out, *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     if counted is not None:
@@ -43,6 +45,12 @@ def write_parquet(
     return path
 
 
+def deal(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Rebalance rows for a write partitioned by these columns. Columns that follow
+    from others can then be worked out afterwards, so that they are not shuffled."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def write_csv(
     df: DataFrame,
     path: str,
