@@ -90,6 +90,7 @@ class Question:
 class _Entry:
     builder: Builder
     partition_by: tuple[str, ...]
+    dealt: bool = False
     lock: Lock = field(default_factory=Lock)
 
 
@@ -106,9 +107,11 @@ class Catalog:
     _entries: dict[str, _Entry] = field(default_factory=dict)
     _open: dict[str, DataFrame] = field(default_factory=dict)
 
-    def add(self, name: str, builder: Builder, partition_by: Sequence[str] = ()) -> "Catalog":
-        """Declare a table."""
-        self._entries[name] = _Entry(builder, tuple(partition_by))
+    def add(
+        self, name: str, builder: Builder, partition_by: Sequence[str] = (), dealt: bool = False
+    ) -> "Catalog":
+        """Declare a table; ``dealt``: the builder's rows are with their partition already."""
+        self._entries[name] = _Entry(builder, tuple(partition_by), dealt)
         return self
 
     def names(self) -> list[str]:
@@ -127,7 +130,7 @@ class Catalog:
         with entry.lock:  # builders form no cycles, so waiting for a dependency ends
             if name not in self._open:
                 if not self.is_stored(name):
-                    write_parquet(entry.builder(self), self.path(name), entry.partition_by)
+                    write_parquet(entry.builder(self), self.path(name), entry.partition_by, dealt=entry.dealt)
                 self._open[name] = self.spark.read.parquet(self.path(name))
             return self._open[name]
 

@@ -287,6 +287,8 @@ def immigration_catalog(
             "f_i94_immigrations",
             _fact,
             months,
+            # A file of the staging table, numbered by year and month, holds few months.
+            dealt=True,
         )
     )
 

@@ -1,7 +1,9 @@
 """Rows of loads are shuffled once for a write, without what can be worked out later."""
 
 from starforge.operators import load
-from starforge.plans import songplay, staged_load
+from starforge.plans import immigration, songplay, staged_load
+from starforge.plans.catalog import Catalog
+from starforge.sources import writers
 
 EVENT = {
     "artist": "a", "firstName": "f", "gender": "F", "itemInSession": 1, "lastName": "l", "length": 2.0,
@@ -50,3 +52,13 @@ def test_plays_are_reduced_once(spark, rows, tmp_path, monkeypatch):
     assert rows(spark.read.parquet(f"{root}/f_songplays").select("song_id", "user_id")) == sorted(
         [(None, "1"), ("S1", "1"), ("S1", None)], key=str  # of equal keys the first song
     )
+
+
+def test_dealt_tables_are_written_without_a_shuffle(spark, rows, tmp_path, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(writers, "deal", lambda df, *by: dealt.append(by) or df)
+    built = spark.range(0, 20, 1, 2).selectExpr("id", "id div 10 AS m")
+    catalog = Catalog(spark, str(tmp_path)).add("t", lambda c: built, ["m"], dealt=True)
+    assert rows(catalog.get("t"), "id", "m") == rows(built) and not dealt
+    entries = immigration.immigration_catalog(spark, str(tmp_path), *[lambda: None] * 5)._entries
+    assert entries["f_i94_immigrations"].dealt
