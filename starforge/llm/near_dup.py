@@ -192,13 +192,13 @@ FIRST = 3
 NEAREST = 4
 
 
-def neighbour_lists(members: DataFrame) -> DataFrame:
-    """``a, to``: for every class its nearest neighbours in its buckets, each
+def neighbour_lists(members: DataFrame, usable: DataFrame) -> DataFrame:
+    """``a, to`` for rows ``key, class`` and the classes ``class, n, shared, sig``: for every class its nearest neighbours in its buckets, each
     sorted by signature; a few for every class however large a bucket is. A large
     bucket lies in several range partitions; neighbours across their borders are
     left to the later rounds, which compare all that is not yet joined."""
     order = ("key", "sig", "class")
-    dealt = members.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = members.join(usable, "class").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches):
         last: tuple | None = None
@@ -324,15 +324,13 @@ def compare_small(m: Members, sizes: np.ndarray, most: int | None) -> list[tuple
     return [(int(a), x[:most].tolist()) for a, x in zip(asks[np.r_[0, cuts]] if len(asks) else [], np.split(to, cuts))]
 
 
-def cross_lists(members: DataFrame, most: int | None) -> DataFrame:
+def cross_lists(members: DataFrame, usable: DataFrame, most: int | None) -> DataFrame:
     """``a, to``: candidates between the components of each bucket, for rows
-    ``key, class, component, n, shared, sig`` of buckets with several. Buckets
-    above ``BLOCK`` classes are cut into blocks; each pair of blocks is a group
-    of its own, so no task holds a whole hot bucket."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    rows = members.join(sizes, "key")
+    ``key, class, component, size`` of buckets with several and the classes
+    ``class, n, shared, sig``. Buckets above ``BLOCK`` classes are cut into blocks;
+    each pair of blocks is a group of its own, so no task holds a whole hot bucket."""
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    rows = members.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select(
         "key",
@@ -341,10 +339,9 @@ def cross_lists(members: DataFrame, most: int | None) -> DataFrame:
         F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
         "class",
         "component",
-        "n",
-        "shared",
-        "sig",
     )
+    rows = rows.join(usable, "class")
+    rows = rows.select("key", "i", "j", "side", "class", "component", "n", "shared", "sig")
     # Rows of a block meet themselves once, as (i, i).
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "class")
 
@@ -390,8 +387,54 @@ ASKING = 4096
 COPY_SHARE = 1 / 65_536
 
 
+# 64-bit words of the bitmaps that tell which rows' and classes' sets are wanted:
+# 2 MB. The more are, the more others pass; what it lets through is never wrong.
+BITMAP_WORDS = 1 << 18
+
+
+def hash_bitmap(rows: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for every hash in ``rows``, whose columns
+    are hashes or lists of them. A task sets the bits of its rows first, so lists
+    are not made rows."""
+
+    def run(batches):
+        bitmap = np.zeros(BITMAP_WORDS, np.int64)
+        for batch in batches:
+            for column in batch.columns:
+                values = column.flatten() if pa.types.is_list(column.type) else column
+                hashes = values.to_numpy(zero_copy_only=False)
+                np.bitwise_or.at(bitmap, hashes % BITMAP_WORDS, np.int64(1) << ((hashes >> 20) % 64))
+        at = np.flatnonzero(bitmap)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(bitmap[at])], ["word", "bits"])
+
+    words = rows.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    bitmap = np.zeros(BITMAP_WORDS, np.int64)
+    for word, bits in words.collect():
+        bitmap[word] = bits
+    return bitmap
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return (bitmap[hashes % BITMAP_WORDS] >> ((hashes >> 20) % 64)) & 1 == 1
+
+
+def listed_sets(sets: DataFrame, lists: DataFrame) -> DataFrame:
+    """The sets of the classes that ``lists`` names, written (and some others, which
+    are never asked for), so that the joins shuffle no more than these."""
+    shared = sets.sparkSession.sparkContext.broadcast(hash_bitmap(lists.select("a", "to")))
+
+    def run(batches):
+        bitmap = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bitmap, batch.column(0).to_numpy())))
+
+    written = materialise(sets.select("class", "found").mapInArrow(run, "class long, found array<long>"), "near-listed")
+    shared.destroy()
+    return written
+
+
 def confirm(lists: DataFrame, sets: DataFrame, n_shingles: int) -> DataFrame:
-    """``a, b`` of the candidates ``a, to`` whose full sets are similar enough.
+    """``a, b`` of the candidates ``a, to`` whose full sets are similar enough, written.
 
     Sets are dealt into blocks of some ``BLOCK_SHINGLES`` (a longer set is a
     block's worth by itself). A class is sent, with its set, to each block that
@@ -403,6 +446,7 @@ def confirm(lists: DataFrame, sets: DataFrame, n_shingles: int) -> DataFrame:
     block_of = lambda c: F.pmod(c, F.lit(blocks))
     where = F.explode(F.array_distinct(F.transform("to", block_of))).alias("block")
     lists = materialise(lists, "near-lists")
+    sets = listed_sets(sets, lists)
     asking = lists.select("a", "to", where)
     loads = asking.groupBy("block").agg(F.count(F.lit(1)).alias("asks"))
     part = max(ASKING, (loads.agg(F.sum("asks")).first()[0] or 0) * COPY_SHARE)
@@ -448,22 +492,10 @@ def confirm(lists: DataFrame, sets: DataFrame, n_shingles: int) -> DataFrame:
                         out[1].append(other)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
-    return rows.select("block", "copy", "asks", "a", "to", "found").mapInArrow(run, "a long, b long")
-
-
-# 64-bit words of the bitmap that tells which rows' sets are wanted: 2 MB. The
-# more rows, the more others pass; what it lets through is never wrong.
-BITMAP_WORDS = 1 << 18
-
-
-def row_bitmap(rows: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with a bit for the hash of every row."""
-    bit = F.expr("shiftleft(1L, CAST(pmod(shiftright(row, 20), 64) AS INT))")
-    words = rows.groupBy(F.pmod("row", F.lit(BITMAP_WORDS)).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    bitmap = np.zeros(BITMAP_WORDS, np.int64)
-    for word, bits in words.collect():
-        bitmap[word] = bits
-    return bitmap
+    rows = rows.select("block", "copy", "asks", "a", "to", "found")
+    links = materialise(rows.mapInArrow(run, "a long, b long"), "near-links")
+    discard(lists, sets)
+    return links
 
 
 def full_sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -475,8 +507,7 @@ def full_sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
         bitmap = shared.value
 
         def step(rows, texts):
-            at = np.array(rows, np.int64)
-            wanted = (bitmap[at % BITMAP_WORDS] >> ((at >> 20) % 64)) & 1
+            wanted = in_bitmap(bitmap, np.array(rows, np.int64))
             found = [s for s in shingle_sets([texts[i] for i in np.flatnonzero(wanted)])[0] if len(s)]
             return [[signed(xxhash.xxh3_64_intdigest(f.tobytes())) for f in found], [f.view(np.int64) for f in found]]
 
@@ -490,28 +521,30 @@ def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     shared = materialise(shared_buckets(classes), "near-buckets")
 
     involved = shared.select("class").distinct().join(classes, "class").select("row")
-    sets = materialise(full_sets(docs, row_bitmap(involved)).dropDuplicates(["class"]), "near-sets")
+    sets = materialise(full_sets(docs, hash_bitmap(involved)).dropDuplicates(["class"]), "near-sets")
     usable = classes.join(shared_counts(sets), "class").filter(100 * F.col("shared") >= SIMILAR * F.col("n"))
     usable = materialise(usable.select("class", "n", "shared", "sig"), "near-usable")
-    members = materialise(shared.join(usable, "class"), "near-members")
+    # Two numbers a row: signatures are joined to the rows that are compared.
+    members = materialise(shared.join(usable.select("class"), "class", "left_semi").select("key", "class"), "near-members")
     n_shingles = usable.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    own_sets = materialise(sets.join(usable.select("class"), "class", "left_semi"), "near-own-sets")
-    discard(shared, sets)
+    discard(shared)
 
-    links = materialise(confirm(neighbour_lists(members), own_sets, n_shingles), "near-links")
+    links = confirm(neighbour_lists(members, usable), sets, n_shingles)
     # First the nearest of each class, which join most of what belongs together;
     # then all candidates between the components that are left. Components that
     # the last links join have no candidates that were not among those.
     for most in (NEAREST, None):
         parts = connected_components(links)
-        own = members.join(parts, F.col("class") == F.col("node"), "left").drop("node")
-        own = own.withColumn("component", F.coalesce("component", "class"))
-        mixed = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_members = own.join(mixed.filter("low <> high").select("key"), "key")
-        more = materialise(confirm(cross_lists(open_members, most), own_sets, n_shingles), "near-links")
-        links = links.unionByName(more)
+        labels = usable.select("class").join(parts, F.col("class") == F.col("node"), "left")
+        labels = labels.select("class", F.coalesce("component", "class").alias("component"))
+        own = members.join(labels, "class")
+        mixed = own.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+        )
+        open_members = own.join(mixed.filter("low <> high").select("key", "size"), "key")
+        links = links.unionByName(confirm(cross_lists(open_members, usable, most), sets, n_shingles))
     parts = connected_components(links)
-    discard(usable, members, own_sets)
+    discard(usable, members, sets)
     return parts
 
 

@@ -418,3 +418,38 @@ def test_successor_search_is_a_plain_best_fit():
         rows = [(rng.randrange(10**6), f"s{rng.randrange(6)}", rng.randrange(max(1, n // 2)), rng.randint(1, 260)) for _ in range(n)]
         got = {(i, p): b for i, p, _, _, b in pack_shard(rows, 100, 3)}
         assert got == plain_best_fit(rows, 100, 3)
+
+
+def test_only_sets_of_listed_classes_are_shuffled(spark, monkeypatch):
+    """Of many sets the joins get those that a list names, and a row of a bucket is two numbers."""
+    written = {}
+    write = near_dup.materialise
+
+    def kept(df, label):
+        out = write(df, label)
+        written.setdefault(label, []).append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dup, "materialise", kept)
+    sets = [(c * 1_000_003, list(range(c // 2 * 100, c // 2 * 100 + 50))) for c in range(400)]
+    lists = [(1_000_003, [0, 5 * 1_000_003]), (7 * 1_000_003, [6 * 1_000_003])]
+    links = near_dup.confirm(
+        spark.createDataFrame(lists, "a long, to array<long>"),
+        spark.createDataFrame(sets, "class long, found array<long>"),
+        400 * 50,
+    )
+    assert sorted(map(tuple, links.collect())) == [(1_000_003, 0), (7 * 1_000_003, 6 * 1_000_003)]
+    assert 5 <= written["near-listed"][0][1] <= 20
+    hashes = [(-(1 << 63), [(1 << 63) - 1, -1]), (63 << 20, [])]
+    bitmap = near_dup.hash_bitmap(spark.createDataFrame(hashes, "a long, to array<long>"))
+    asked = np.array([-(1 << 63), (1 << 63) - 1, -1, 63 << 20, 1, 62 << 20])
+    assert near_dup.in_bitmap(bitmap, asked).tolist() == [True] * 4 + [False] * 2
+
+    # Four groups of similar texts, and texts that share nothing.
+    texts = [" ".join([f"g{i % 4}w{j}" for j in range(80)] + [f"own{i}"]) for i in range(16)]
+    texts += [" ".join(f"a{i}w{j}" for j in range(80)) for i in range(16)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert got == {i: i % 4 if i < 16 else i for i in range(32)}
+    assert written["near-members"][0][0] == ["key", "class"]
+    assert written["near-listed"][1][1] >= 16
