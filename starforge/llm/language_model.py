@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import discard, materialise
+from ..session import materialise
 from .common import crc_mod, hash64, map_lists, prepare, raw
 
 END = b""
@@ -243,7 +243,34 @@ def add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.nda
     order = np.argsort(at.astype(np.uint16), kind="stable")
     ranked = at[order]
     starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-    return ranked[starts], np.add.reduceat(rows[order], starts, axis=0)
+    return ranked[starts], sums_from(rows.take(order, axis=0), starts)
+
+
+# Rows of a segment up to which segments are summed all at once.
+SHORT = 8
+
+
+def sums_from(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``np.add.reduceat(rows, starts, axis=0)``, to the last digit: a segment's sum
+    is its first row plus the sum of the others, which are added up in their order
+    where they are few."""
+    sizes = np.diff(starts, append=len(rows))
+    out = rows.take(starts, axis=0)
+    some = np.flatnonzero((sizes > 1) & (sizes <= SHORT))
+    if len(some):
+        # The longest first, so that those which have an i-th row are a prefix.
+        some = some[np.argsort(-sizes[some], kind="stable")]
+        begin, more = starts[some], sizes[some]
+        rest = rows.take(begin + 1, axis=0)
+        for i in range(2, int(more[0])):
+            n = np.count_nonzero(more > i)
+            rest[:n] += rows.take(begin[:n] + i, axis=0)
+        out[some] += rest
+    long = sizes > SHORT
+    if long.any():
+        begin = np.cumsum(sizes[long]) - sizes[long]
+        out[long] = np.add.reduceat(rows.compress(np.repeat(long, sizes), axis=0), begin, axis=0)
+    return out
 
 
 class Trainer:
@@ -261,19 +288,32 @@ class Trainer:
         m, rate = self.m, self.shape.rate
         x = np.searchsorted(self.edges, self.rng.random(self.shape.noise) * self.edges[-1])
         x = np.minimum(x, len(self.edges) - 1)
-        rv, ru, qw, qx = m.r[v], m.r[u], m.q[w], m.q[x]
-        h = rv * m.c[0] + ru * m.c[1]
+        rv, ru, qw, qx = (table.take(at, axis=0) for table, at in ((m.r, v), (m.r, u), (m.q, w), (m.q, x)))
+        h = rv * m.c[0]
+        h += ru * m.c[1]
         data = 1 / (1 + np.exp(np.einsum("ij,ij->i", h, qw) + m.b[w] - self.log_noise[w]))
-        lure = -1 / (1 + np.exp(self.log_noise[x] - m.b[x] - h @ qx.T))
-        dh = data[:, None] * qw + lure @ qx
-        ids, sums = add_rows(m.q, np.r_[w, x], np.concatenate([data[:, None] * h, lure.T @ h]))
+        # The widest array, worked out in place.
+        lure = h @ qx.T
+        np.subtract(self.log_noise[x] - m.b[x], lure, out=lure)
+        np.exp(lure, out=lure)
+        lure += 1
+        np.divide(-1, lure, out=lure)
+        rows = np.empty((len(w) + len(x), h.shape[1]), np.float32)
+        np.multiply(data[:, None], h, out=rows[: len(w)])
+        np.matmul(lure.T, h, out=rows[len(w) :])
+        dh = lure @ qx
+        dh += data[:, None] * qw
+        ids, sums = add_rows(m.q, np.concatenate((w, x)), rows)
         self.gq[ids] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
         m.q[ids] += rate * sums / np.sqrt(self.gq[ids])[:, None]
         db = np.bincount(w, data, len(m.b)) + np.bincount(x, lure.sum(0), len(m.b))
         self.gb += db * db
         m.b += (rate * db / np.sqrt(self.gb)).astype(np.float32)
         dc = np.stack([(dh * rv).sum(0), (dh * ru).sum(0)])
-        ids, sums = add_rows(m.r, np.r_[v, u], np.concatenate([dh * m.c[0], dh * m.c[1]]))
+        rows = np.empty((len(v) + len(u), h.shape[1]), np.float32)
+        np.multiply(dh, m.c[0], out=rows[: len(v)])
+        np.multiply(dh, m.c[1], out=rows[len(v) :])
+        ids, sums = add_rows(m.r, np.concatenate((v, u)), rows)
         self.gr[ids] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
         m.r[ids] += rate * sums / np.sqrt(self.gr[ids])[:, None]
         self.gc += float((dc * dc).mean())
@@ -309,30 +349,97 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint16).astype(np.int64)
 
 
-def encode(docs: DataFrame, words: Vocabulary, lanes: int) -> DataFrame:
-    """``lane, key, ids`` of every training text, written: its lane (-1 for
-    development texts), a hash of id and text, and the classes of its words."""
+def encode(docs: DataFrame, held: F.Column, words: Vocabulary, lanes: int) -> DataFrame:
+    """Every row's share in the score that no model has a part in, and the classes
+    of its words, written: texts are cut into words once.
+
+    ``doc_id, held_out, lane, key, ids, n_tokens, n_known, base_score, inner, rare,
+    times, row``. ``lane`` is -1 for development texts and -2 for held out ones,
+    ``key`` a hash of id and text; ``inner`` is the score within the classes, and
+    ``rare`` are the hashes of the words that are not told to the tasks, whose
+    counts are to be added."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(words))
+    base_total = np.log10(words.total + 0.5 * (words.distinct + 1))
 
     def make():
         words = Vocabulary(**shared.value)
-        index = WordIndex(words)
+        index, share = WordIndex(words), words.share()
+        log_count = np.log10(words.counts + 0.5)
+        found, several = words.counts > 0, ~words.single[words.classes]
+        ends = words.words.index(END)
 
-        def step(lanes, keys, texts):
-            return [lanes, keys, [packed(classes_of(index.of(lowered(t)), words)) for t in texts]]
+        def step(ids, held, lanes, keys, texts):
+            out: list[list] = [[] for _ in range(11)]
+            for i, h, lane, key, text in zip(ids, held, lanes, keys, texts):
+                tokens = lowered(text)
+                at = np.append(index.of(tokens), np.int32(ends))
+                known = at >= 0
+                classes = classes_of(at, words)
+                own = at[known]
+                logs = log_count[own]
+                # Within a class of several words: (count + 0.5) / mass; the
+                # counts of words that are not known here are added later.
+                inner = logs[several[own]].sum() - share[classes].sum()
+                rare: dict[int, int] = {}
+                for j in np.flatnonzero(~known).tolist():
+                    word = hash64(tokens[j])
+                    rare[word] = rare.get(word, 0) + 1
+                row = (
+                    i, h, lane, key, packed(classes[:-1]), len(at), int(np.count_nonzero(found[own])),
+                    logs.sum() - len(at) * base_total, inner, list(rare), list(rare.values()),
+                )
+                for column, value in zip(out, row):
+                    column.append(value)
+            return out
 
         return step
 
+    kind = dict(docs.dtypes)["doc_id"]
     key = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
     turn = F.pmod(F.xxhash64(key, F.lit("development")), F.lit(DEVELOPMENT))
-    lane = F.when(turn == 0, -1).otherwise(F.pmod(key, F.lit(lanes))).cast("int")
-    given = docs.select(lane.alias("lane"), key.alias("key"), raw("text").alias("text"))
-    written = materialise(map_lists(given, make, "lane int, key long, ids binary"), "lm-classes")
+    lane = F.when(held, -2).when(turn == 0, -1).otherwise(F.pmod(key, F.lit(lanes))).cast("int")
+    given = docs.select("doc_id", held.alias("held_out"), lane.alias("lane"), key.alias("key"), raw("text").alias("text"))
+    rows = map_lists(
+        given,
+        make,
+        f"doc_id {kind}, held_out boolean, lane int, key long, ids binary, n_tokens long, n_known long,"
+        " base_score double, inner double, rare array<long>, times array<int>",
+    )
+    written = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     # What was told lies on the disks of driver and executors until it is destroyed.
     shared.destroy()
     return written
 
 
+def score_rows(encoded: DataFrame, model: LogBilinear) -> DataFrame:
+    """``row, doc_id, held_out, n_tokens, n_known, base_score, score`` of every
+    encoded row, written, without the counts of its rare words."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model.tables())
+
+    def make():
+        one, two, norm = shared.value
+
+        def step(rows, docs, held, tokens, known, base, inner, ids):
+            scores = []
+            for within, data in zip(inner, ids):
+                w, v, u = contexts([unpacked(data)])
+                model_log = (one[v, w] + two[u, w] - norm[v, u]).sum(dtype=np.float64) / np.log(10)
+                scores.append(model_log + within)
+            return [rows, docs, held, tokens, known, base, scores]
+
+        return step
+
+    kind = dict(encoded.dtypes)["doc_id"]
+    scored = map_lists(
+        encoded.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "inner", "ids"),
+        make,
+        f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double",
+    )
+    written = materialise(scored, "lm-scores")
+    shared.destroy()
+    return written
+
+
 def train_pass(
     encoded: DataFrame, words: Vocabulary, model: LogBilinear, shape: Shape, lanes: int, number: int
 ) -> LogBilinear:
@@ -343,7 +450,7 @@ def train_pass(
     noise = (words.mass + 0.5) / (words.mass + 0.5).sum()
     shared = encoded.sparkSession.sparkContext.broadcast((model.pack(), noise))
     order = ("lane", "key", "ids")
-    dealt = encoded.repartition(lanes, "lane").sortWithinPartitions(*order)
+    dealt = encoded.select(*order).repartition(lanes, "lane").sortWithinPartitions(*order)
 
     def run(batches):
         flat, noise = shared.value
@@ -429,14 +536,17 @@ def add_parameters(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def train_model(docs: DataFrame, words: Vocabulary, shape: Shape) -> LogBilinear:
+def lanes_of(words: Vocabulary) -> int:
+    return words.total // LANE_TOKENS + 1
+
+
+def train_model(encoded: DataFrame, words: Vocabulary, shape: Shape) -> LogBilinear:
     """Passes over all training texts until the development texts' score rises by
     less than ``least_gain`` of itself. Where there are ten lanes or more, a first
     pass over a tenth of them brings the model near enough for the lanes' results
     to be averaged."""
-    lanes = words.total // LANE_TOKENS + 1
-    encoded = encode(docs, words, lanes)
-    own, development = encoded.filter("lane >= 0"), encoded.filter("lane < 0")
+    lanes = lanes_of(words)
+    own, development = encoded.filter("lane >= 0"), encoded.filter("lane = -1")
     model = LogBilinear.start(words.mass, shape)
     if lanes >= 10:
         model = train_pass(own.filter(F.col("lane") < lanes // 10), words, model, shape, lanes // 10, 0)
@@ -449,7 +559,6 @@ def train_model(docs: DataFrame, words: Vocabulary, shape: Shape) -> LogBilinear
             model = trained
         if gain < shape.least_gain * abs(best):
             break
-    discard(encoded)
     return model
 
 
@@ -476,63 +585,15 @@ def score_language_model(
     which also takes the hot keys out of the join; the others meet their counts
     in a join by 64-bit word hash of (row, word) pairs, numbers only.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     held = crc_mod(F.col("doc_id"), folds) == held_fold
     counts = materialise(count_words(docs.filter(~held)), "lm-counts")
     if shape is None:
         shape = Shape.sized(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     words = build_vocabulary(counts, shape)
-    model = train_model(docs.filter(~held), words, shape)
-
-    tables, share = model.tables(), words.share()
-    shared = spark.sparkContext.broadcast((vars(words), tables, share))
-    base_total = np.log10(words.total + 0.5 * (words.distinct + 1))
-
-    def make():
-        given, (one, two, norm), share = shared.value
-        words = Vocabulary(**given)
-        index = WordIndex(words)
-        log_count = np.log10(words.counts + 0.5)
-        ends = words.words.index(END)
-
-        def step(ids, held, texts):
-            out: list[list] = [[] for _ in range(8)]
-            for i, h, text in zip(ids, held, texts):
-                tokens = lowered(text)
-                at = np.append(index.of(tokens), np.int32(ends))
-                known = at >= 0
-                classes = classes_of(at, words)
-                v, u = np.r_[0, classes[:-1]], np.r_[0, 0, classes[:-2]][: len(classes)]
-                model_log = (one[v, classes] + two[u, classes] - norm[v, u]).sum(dtype=np.float64) / np.log(10)
-                own = at[known]
-                counted = log_count[own].sum()
-                # Within a class of several words: (count + 0.5) / mass; the
-                # counts of words that are not known here are added later.
-                inner = log_count[own][~words.single[words.classes[own]]].sum() - share[classes].sum()
-                rare: dict[int, int] = {}
-                for j in np.flatnonzero(~known):
-                    key = hash64(tokens[j])
-                    rare[key] = rare.get(key, 0) + 1
-                row = (
-                    i, h, len(tokens) + 1, int((words.counts[own] > 0).sum()),
-                    counted - len(at) * base_total, model_log + inner, list(rare), list(rare.values()),
-                )
-                for column, value in zip(out, row):
-                    column.append(value)
-            return out
-
-        return step
-
-    kind = dict(docs.dtypes)["doc_id"]
-    partial = map_lists(
-        docs.select("doc_id", held.alias("held_out"), raw("text").alias("text")),
-        make,
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double,"
-        " rare array<long>, times array<int>",
-    )
-    partial = materialise(partial.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    shared.destroy()
-    rare = partial.select("row", F.inline(F.arrays_zip("rare", "times")))
+    encoded = encode(docs, held, words, lanes_of(words))
+    partial = score_rows(encoded, train_model(encoded, words, shape))
+    rare = encoded.select("row", F.inline(F.arrays_zip("rare", "times")))
     by_hash = counts.groupBy(F.xxhash64("word").alias("rare")).agg(F.max("n").alias("n"))
     count = F.coalesce("n", F.lit(0))
     added = (

@@ -310,3 +310,29 @@ def test_classifier_odd_rows(odd, none, labels):
 
 def test_empty_tables(none):
     assert apply_host_rules(none).count() == 0
+
+
+def test_segments_are_summed_as_by_numpy():
+    """To the last digit, short and long segments alike."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for share in (0.01, 0.1, 0.5, 0.9, 1.0):
+        rows = rng.normal(0, 1, (int(rng.integers(1, 3000)), 24)).astype(np.float32)
+        starts = np.flatnonzero(np.r_[True, rng.random(len(rows) - 1) < share])
+        assert np.array_equal(language_model.sums_from(rows, starts), np.add.reduceat(rows, starts, axis=0))
+
+
+def test_language_model_cuts_texts_into_words_once(odd, monkeypatch):
+    """After the count of all words one pass reads texts; training and scores take what it wrote."""
+    read = []
+    run = language_model.map_lists
+
+    def kept(df, make, ddl):
+        read.append(df.columns)
+        return run(df, make, ddl)
+
+    monkeypatch.setattr(language_model, "map_lists", kept)
+    out = score_language_model(odd, shape=Shape(single_words=6, tail_classes=5, dim=5))
+    assert out.count() == odd.count()
+    assert ["text" in columns for columns in read] == [True, False]
