@@ -56,6 +56,12 @@ def build_artists(catalogue: DataFrame) -> DataFrame:
     return first_per_key(renamed, ["artist_id"], ["name", "location", "latitude", "longitude"])
 
 
+def build_song_keys(catalogue: DataFrame) -> DataFrame:
+    """What a lookup of plays by title and artist needs: the first song per pair."""
+    columns = ["title", "artist_name", "song_id", "artist_id"]
+    return first_per_key(catalogue.select(*columns), columns[:2], columns[2:])
+
+
 def _user_columns(played: DataFrame, *extra: str) -> DataFrame:
     return played.select(
         F.col("userId").alias("user_id"),

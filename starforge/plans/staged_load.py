@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.load import LoadStats, append_new, load, stats_frame
 from ..operators.quality import dq_report
-from ..session import path_exists
+from ..session import discard, materialise, path_exists, sparing_disk
 from ..sources.staging import check_mode
 from . import songplay
 
@@ -73,14 +73,19 @@ def load_songplay_star(
         target = f"{root}/f_songplays"
         # New plays are compared with the known ones before they are dealt.
         dealt = fact_mode != "append_new" or not path_exists(spark, target)
-        rows = songplay.build_songplays(table("staging_events"), table("staging_songs"), dealt=dealt)
-        if fact_mode == "append_new":
-            # A play is in the batch once, and the id is a hash of what tells plays apart.
-            return append_new(
-                target, rows, ["songplay_id", "start_time"],
-                partition_by=["year", "month"], between=["year", "start_time"], unique=True, dealt=dealt,
-            )
-        return load(rows, target, fact_mode, ["year", "month"], dealt)
+        # Written first, so that its size is known before the plays are shuffled for the lookup.
+        keys = materialise(songplay.build_song_keys(table("staging_songs")), "song-keys")
+        rows = songplay.build_songplays(table("staging_events"), keys, dealt=dealt)
+        try:
+            if fact_mode == "append_new":
+                # A play is in the batch once, and the id is a hash of what tells plays apart.
+                return append_new(
+                    target, rows, ["songplay_id", "start_time"],
+                    partition_by=["year", "month"], between=["year", "start_time"], unique=True, dealt=dealt,
+                )
+            return load(rows, target, fact_mode, ["year", "month"], dealt)
+        finally:
+            discard(keys)
 
     def dim(
         name: str, key: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (), dealt: bool = False
@@ -92,21 +97,22 @@ def load_songplay_star(
 
         return name, step
 
-    counts = StagedLoad(spark).run(
-        [staging("staging_events", events), staging("staging_songs", catalogue)],
-        [("f_songplays", fact)],
-        [
-            dim("d_users", "user_id", lambda: songplay.build_users_latest(table("staging_events"))),
-            dim("d_songs", "song_id", lambda: songplay.build_songs(table("staging_songs")), ["year"]),
-            dim("d_artists", "artist_id", lambda: songplay.build_artists(table("staging_songs"))),
-            dim(
-                "d_time", "start_time",
-                lambda: songplay.build_time(
-                    table("staging_events"), only_plays=True, dealt=dim_mode != "append_only"
+    with sparing_disk(spark):
+        counts = StagedLoad(spark).run(
+            [staging("staging_events", events), staging("staging_songs", catalogue)],
+            [("f_songplays", fact)],
+            [
+                dim("d_users", "user_id", lambda: songplay.build_users_latest(table("staging_events"))),
+                dim("d_songs", "song_id", lambda: songplay.build_songs(table("staging_songs")), ["year"]),
+                dim("d_artists", "artist_id", lambda: songplay.build_artists(table("staging_songs"))),
+                dim(
+                    "d_time", "start_time",
+                    lambda: songplay.build_time(
+                        table("staging_events"), only_plays=True, dealt=dim_mode != "append_only"
+                    ),
+                    ["year", "month"], dim_mode != "append_only",
                 ),
-                ["year", "month"], dim_mode != "append_only",
-            ),
-        ],
-    )
+            ],
+        )
     report = dq_report({name: (table(name), columns) for name, columns in KEY_COLUMNS.items()})
     return counts, report

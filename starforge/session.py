@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,26 @@ TASK_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "32m",
 }
 
+# For loads that write much: what they leave on disk at any time.
+LOAD_SETTINGS = {
+    # The shuffle files of a query go when it ends, not when the driver next collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
+@contextmanager
+def sparing_disk(spark: SparkSession):
+    """``LOAD_SETTINGS`` while a load runs; the session's own hold again afterwards."""
+    before = {key: spark.conf.get(key, None) for key in LOAD_SETTINGS}
+    for key, value in LOAD_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators count on."""

@@ -9,21 +9,29 @@ from .registry import Tables
 
 def event_log(t: Tables) -> DataFrame:
     """One log event per line item: the buyer plays the part's name by its supplier."""
+    # Line items are shuffled while they are narrow; what belongs to an order joins the orders.
+    buyers = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    ship_ms = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
+    sold = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        (F.col("l_returnflag") != "R").alias("is_play"),
+        (F.col("l_linestatus") == "O").alias("is_paid"),
+        (ship_ms + F.col("l_linenumber") * 1001).alias("ts"),
+    )
     rows = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        sold.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    is_play = F.col("l_returnflag") != "R"
+    is_play, is_paid = F.col("is_play"), F.col("is_paid")
     # Titles with blanks at the end match, live versions are in no catalogue.
     padded = (
         F.when(F.col("l_linenumber") % 3 == 0, F.concat("p_name", F.lit(" (live)")))
-        .when(F.col("l_linestatus") == "O", F.concat("p_name", F.lit("  ")))
+        .when(is_paid, F.concat("p_name", F.lit("  ")))
         .otherwise(F.col("p_name"))
     )
-    ship_ms = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     return rows.select(
         F.when(is_play, F.col("s_name")).alias("artist"),
         F.lit("Logged In").alias("auth"),
@@ -32,7 +40,7 @@ def event_log(t: Tables) -> DataFrame:
         F.col("l_linenumber").cast("long").alias("itemInSession"),
         F.col("c_name").alias("lastName"),
         F.when(is_play, F.col("p_retailprice")).alias("length"),
-        F.when(F.col("l_linestatus") == "O", "paid").otherwise("free").alias("level"),
+        F.when(is_paid, "paid").otherwise("free").alias("level"),
         F.col("n_name").alias("location"),
         F.lit("PUT").alias("method"),
         F.when(is_play, "NextSong").otherwise("Home").alias("page"),
@@ -40,7 +48,7 @@ def event_log(t: Tables) -> DataFrame:
         F.col("l_orderkey").alias("sessionId"),
         F.when(is_play, padded).alias("song"),
         F.lit(200).cast("long").alias("status"),
-        (ship_ms + F.col("l_linenumber") * 1001).alias("ts"),
+        "ts",
         F.col("o_orderpriority").alias("userAgent"),
         F.col("o_custkey").cast("string").alias("userId"),
     )
