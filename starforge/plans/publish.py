@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.quality import DataQualityError, orphans
+from ..session import sparing_disk
 from . import staged_load
 
 # A rule looks at all tables of a candidate; its rows have table_name and status.
@@ -104,9 +105,10 @@ def load_audited_star(
     current = [published_folder(spark, prefix + name) for name in names]
     if any(path == f"{folder}/{name}" for name, path in zip(names, current)):
         raise ValueError(f"load {load_id!r} is published, build the next one under an id of its own")
-    _, report = staged_load.load_songplay_star(events, catalogue, folder, fact_mode="truncate_load")
-    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in names}
-    found = audit(tables, [lambda _: report, *rules])
+    with sparing_disk(spark):
+        _, report = staged_load.load_songplay_star(events, catalogue, folder, fact_mode="truncate_load")
+        tables = {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+        found = audit(tables, [lambda _: report, *rules])
     publish_views(spark, {prefix + name: f"{folder}/{name}" for name in names})
     return found
 

@@ -13,7 +13,7 @@ from ..operators.quality import DataQualityError
 from ..plans.publish import STAR_RULES, load_audited_star
 from ..plans.staged_load import KEY_COLUMNS, load_songplay_star
 from ..sources import tables
-from ..session import materialise
+from ..session import materialise, sparing_disk
 from .raw import SONGPLAYS_SQL, catalogue, event_log
 from .registry import query
 
@@ -232,8 +232,9 @@ def staged_star_audited(t):
     see the first one whole."""
     root = t.scratch("audited-star")
     prefix = f"star_{root[-32:]}_"
-    log = materialise(event_log(t), "event-log")
-    songs = materialise(catalogue(t), "catalogue")
+    with sparing_disk(t.spark):
+        log = materialise(event_log(t), "event-log")
+        songs = materialise(catalogue(t), "catalogue")
     load_audited_star(log, songs, root, "first", prefix, STAR_RULES)
     try:
         load_audited_star(log.withColumn("level", F.lit(None).cast("string")), songs, root, "second", prefix, STAR_RULES)

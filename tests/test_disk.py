@@ -4,8 +4,11 @@ import glob
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from starforge.operators.quality import DataQualityError
 from starforge.plans import songplay, staged_load
+from starforge.plans.publish import STAR_RULES, load_audited_star
 from starforge.session import LOAD_SETTINGS, sparing_disk
 from starforge.workload import raw
 from starforge.workload.registry import Tables
@@ -59,6 +62,17 @@ def test_a_load_leaves_no_shuffle_files(spark, events, songs, tmp_path):
     assert fact.count() == 400 and fact.select(want.columns).exceptAll(want).isEmpty()
 
 
+def test_an_audited_load_leaves_no_shuffle_files(spark, events, songs, tmp_path):
+    def runs():
+        load_audited_star(events, songs, str(tmp_path), "one", "disk_", STAR_RULES)
+        with pytest.raises(DataQualityError):
+            load_audited_star(events.withColumn("level", F.lit("")), songs, str(tmp_path), "two", "disk_", STAR_RULES)
+
+    assert not left_by(spark, runs)
+    for name in staged_load.KEY_COLUMNS:
+        spark.sql(f"DROP VIEW disk_{name}")
+
+
 def test_settings_hold_again_after_a_load_that_died(spark):
     before = {key: spark.conf.get(key) for key in LOAD_SETTINGS}
     with pytest.raises(OSError), sparing_disk(spark):
